@@ -52,3 +52,31 @@ def solar_potential(spark: SparkSession, root: str) -> DataFrame:
 
 def dim_year(spark: SparkSession, root: str) -> DataFrame:
     return gold.dim_year(region_year(spark, root))
+
+
+def merged_kpis(spark: SparkSession, root: str) -> DataFrame:
+    """Dashboard frame: climate and solar facts merged per region x year."""
+    from agroclim.operators.report import merge_kpis
+
+    return merge_kpis(climate_kpi(spark, root), solar_potential(spark, root))
+
+
+def place_aliases(spark: SparkSession, root: str) -> DataFrame:
+    """Place names (nations) -> region code: the proxy's capital-like aliases."""
+    from pyspark.sql import functions as F
+
+    nations = proxy.nation_region(spark, root)
+    return nations.select(F.col("n_name").alias("place_name"), proxy.region_code(F.col("n_regionkey")).alias("region_code"))
+
+
+def region_aliases(spark: SparkSession, root: str) -> DataFrame:
+    from agroclim.operators.cleaning import aliases_from_dimension
+
+    return aliases_from_dimension(dim_region(spark, root), place_aliases(spark, root))
+
+
+def dirty_agriculture_csv(spark: SparkSession, root: str) -> DataFrame:
+    """The messy agriculture text rows, after header normalisation (region -> region_code)."""
+    from agroclim.operators.cleaning import normalize_columns
+
+    return normalize_columns(proxy.dirty_agriculture(spark, root))

@@ -33,6 +33,8 @@ AGRI_LAST_YEAR = 1999
 
 # Nation count is fixed by the TPC-H schema; it is the dimension we broadcast.
 NATION_MAX_ROWS = 1000
+# supplier key -> region map: (bigint, int) rows, 2M rows is about 32 MB per executor.
+SUPPLIER_MAP_MAX_ROWS = 2_000_000
 
 
 def region_code(regionkey: Column) -> Column:
@@ -69,9 +71,12 @@ def weather_observations(spark: SparkSession, root: str) -> DataFrame:
         "lineitem",
         ["l_shipdate", "l_suppkey", *[c for c in INGEST_ORDER if c != "l_suppkey"]],
     )
-    # supplier grows with the data: no hint, AQE picks broadcast only when the
-    # runtime size is under spark.sql.autoBroadcastJoinThreshold, else sort-merge.
-    obs = li.join(supplier_region(spark, root), F.col("l_suppkey") == F.col("s_suppkey"))
+    # supplier grows with the data (10k rows per SF): broadcast its 2-column key map
+    # only while it is proven small, else a sort-merge join on the supplier key.
+    # Never let the planner pick lineitem as the build side.
+    obs = join_bounded(
+        li, supplier_region(spark, root), F.col("l_suppkey") == F.col("s_suppkey"), max_rows=SUPPLIER_MAP_MAX_ROWS
+    )
     rk = F.col("n_regionkey")
     first_line = F.col("l_linenumber") == 1
     temp_mean = _dec((F.col("l_partkey") % 850 - 250) / F.lit(10.0), 5, 2)
@@ -164,9 +169,16 @@ def dirty_agriculture(spark: SparkSession, root: str) -> DataFrame:
     )
     rows = rows.join(names, "region_code")
     v = (F.col("annee") + F.length("region_code") + F.col("region_code").substr(2, 2).cast("int")) % 5
-    accented = F.translate(F.initcap(F.col("r_name")), "aeiAEI", "àéîÀÉÎ")
+    capitalised = F.concat(F.upper(F.substring("r_name", 1, 1)), F.lower(F.expr("substring(r_name, 2)")))
+    accented = F.translate(capitalised, "aeiAEI", "àéîÀÉÎ")
     label = (
-        F.when(v == 0, F.lower(F.col("region_code")))
+        F.when(
+            v == 0,
+            F.when(
+                F.col("annee") % 3 == 0,  # shaped like a code but absent from the dimension
+                F.concat(F.lit("r"), F.lpad((F.col("region_code").substr(2, 2).cast("int") + 5).cast("string"), 2, "0")),
+            ).otherwise(F.lower(F.col("region_code"))),
+        )
         .when(v == 1, F.concat(F.lit("  "), F.regexp_replace(accented, " ", "-"), F.lit(" ")))
         .when(v == 2, F.concat(F.lit("L'"), F.col("capital")))
         .when(v == 3, F.col("capital"))
