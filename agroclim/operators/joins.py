@@ -9,13 +9,31 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_MAX_ROWS = 100_000
 
 
+# Per-session memo of size checks, keyed by the plan's semantic hash: one answer per
+# distinct plan. Only "at most N rows" answers for bounded dimensions are kept, and a
+# session that rewrites an input can call ``forget_sizes`` (the upsert writers do).
+_SIZE_MEMO: dict[tuple[int, int, int], bool] = {}
+
+
+def _session_key(df: DataFrame) -> int:
+    return id(df.sparkSession._jsparkSession)
+
+
+def forget_sizes() -> None:
+    _SIZE_MEMO.clear()
+
+
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` holds at most ``max_rows`` rows.
 
     Runs ``limit(max_rows + 1).count()``: the scan stops early on a big input, so the
-    check costs at most ``max_rows + 1`` rows, never a full pass.
+    check costs at most ``max_rows + 1`` rows, never a full pass. Answers are
+    memoised per session and plan.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    key = (_session_key(df), df.semanticHash(), max_rows)
+    if key not in _SIZE_MEMO:
+        _SIZE_MEMO[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _SIZE_MEMO[key]
 
 
 def join_bounded(

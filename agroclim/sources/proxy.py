@@ -59,12 +59,9 @@ def supplier_region(spark: SparkSession, root: str) -> DataFrame:
     ).select("s_suppkey", "n_regionkey")
 
 
-def weather_observations(spark: SparkSession, root: str) -> DataFrame:
-    """Every ingestion of a region x day with raw.weather_daily measures (not deduplicated).
-
-    Columns: region_code, date, 8 NUMERIC measures, audit columns, the ingest-order
-    columns (``INGEST_ORDER``).
-    """
+def ingestions(spark: SparkSession, root: str) -> DataFrame:
+    """Every ingestion of a region x day, narrow: region_code, date, region key and
+    the raw columns the measures derive from (the ingest-order columns)."""
     li = read_table(
         spark,
         root,
@@ -77,13 +74,27 @@ def weather_observations(spark: SparkSession, root: str) -> DataFrame:
     obs = join_bounded(
         li, supplier_region(spark, root), F.col("l_suppkey") == F.col("s_suppkey"), max_rows=SUPPLIER_MAP_MAX_ROWS
     )
+    return obs.select(
+        region_code(F.col("n_regionkey")).alias("region_code"),
+        F.col("l_shipdate").cast("date").alias("date"),
+        "n_regionkey",
+        *INGEST_ORDER,
+    )
+
+
+def with_measures(ing: DataFrame) -> DataFrame:
+    """raw.weather_daily measures and audit columns of ingestion rows.
+
+    Kept apart from ``ingestions`` so the newest-per-key filter can run on the
+    narrow rows first and the expressions only on the winners.
+    """
     rk = F.col("n_regionkey")
     first_line = F.col("l_linenumber") == 1
     temp_mean = _dec((F.col("l_partkey") % 850 - 250) / F.lit(10.0), 5, 2)
     spread = _dec(F.col("l_linenumber"), 5, 2)
-    return obs.select(
-        region_code(rk).alias("region_code"),
-        F.col("l_shipdate").cast("date").alias("date"),
+    return ing.select(
+        "region_code",
+        "date",
         _dec(temp_mean + spread, 5, 2).alias("temperature_2m_max"),
         _dec(temp_mean - spread, 5, 2).alias("temperature_2m_min"),
         temp_mean.alias("temperature_2m_mean"),
@@ -105,11 +116,20 @@ def weather_observations(spark: SparkSession, root: str) -> DataFrame:
             F.lit("&line="),
             F.col("l_linenumber").cast("string"),
         ).alias("_source_url"),
-        F.concat(F.lit("batch-"), F.year("l_shipdate").cast("string")).alias("_batch_id"),
+        F.concat(F.lit("batch-"), F.year("date").cast("string")).alias("_batch_id"),
         *[F.col(c) for c in INGEST_ORDER],
     )
 
 
+def weather_observations(spark: SparkSession, root: str) -> DataFrame:
+    """Every ingestion of a region x day with raw.weather_daily measures (not deduplicated).
+
+    Columns: region_code, date, 8 NUMERIC measures, audit columns, the ingest-order
+    columns (``INGEST_ORDER``).
+    """
+    return with_measures(ingestions(spark, root))
+
+
 def dim_region(spark: SparkSession, root: str) -> DataFrame:
     """Region reference rows: code, name, capital (first nation name), coordinates."""
     region = read_table(spark, root, "region", ["r_regionkey", "r_name"])
