@@ -161,3 +161,31 @@ def run_checks(tables: Sequence[TableChecks]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out.withColumn("violations", F.col("violations").cast("bigint"))
+
+
+def check_dim(dim: DataFrame, expected_rows: int | None = None, lat=(20.0, 36.0), lon=(-18.0, -1.0)) -> DataFrame:
+    """Region dimension integrity: unique codes, no blank text, coordinates inside
+    the country box, altitude >= 0, and (optionally) the expected row count.
+    Returns (rule, detail) violation rows."""
+    text = ("region_code", "region_name", "capital")
+    blank = F.lit(False)
+    for c in text:
+        blank = blank | F.col(c).isNull() | (F.trim(F.col(c)) == "")
+    row_rules = {
+        "blank_text": blank,
+        "latitude_box": ~F.col("latitude").between(*lat),
+        "longitude_box": ~F.col("longitude").between(*lon),
+        "altitude_negative": F.col("altitude_m") < 0,
+    }
+    parts = [
+        dim.where(F.coalesce(pred, F.lit(True))).select(F.lit(name).alias("rule"), F.col("region_code").alias("detail"))
+        for name, pred in row_rules.items()
+    ]
+    dups = check_unique(dim, ["region_code"]).select(F.lit("duplicate_code").alias("rule"), F.col("region_code").alias("detail"))
+    out = dups
+    for p in parts:
+        out = out.unionByName(p)
+    if expected_rows is not None:
+        count = dim.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") != expected_rows)
+        out = out.unionByName(count.select(F.lit("row_count").alias("rule"), F.col("n").cast("string").alias("detail")))
+    return out

@@ -96,10 +96,10 @@ def with_audit(
     )
 
 
-def stg_weather(raw: DataFrame) -> DataFrame:
+def stg_weather(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """raw.weather_daily -> silver weather: unit-explicit names, kWh, two data flags.
 
-    Nulls from the source stay null (never imputed).
+    Nulls from the source stay null (never imputed). ``keep``: extra columns to carry.
     """
     cols = [
         F.col("region_code"),
@@ -120,7 +120,7 @@ def stg_weather(raw: DataFrame) -> DataFrame:
     ]
     if "_ingested_at" in raw.columns:
         cols.append(F.col("_ingested_at").alias("ingested_at"))
-    return raw.select(*cols)
+    return raw.select(*cols, *keep)
 
 
 def stg_agriculture(raw: DataFrame) -> DataFrame:
