@@ -128,19 +128,27 @@ def missing_days(observed: DataFrame, spans: DataFrame, date_col: str = "date")
 
 
 def missing_chunks(missing: DataFrame, chunks: DataFrame) -> DataFrame:
-    """Roll missing days up to the request chunks that must be re-run: the repair
-    list. Equi-join on region, then the day must fall in the chunk (a region has
-    only a few chunks, so each day meets a few candidates)."""
-    c = chunks.select(
-        F.col("region_code").alias("_rc"), "chunk_index", "chunk_start", "chunk_end", *([c for c in ("url",) if c in chunks.columns])
+    """Roll missing days up to the request chunks that must be re-run: the repair list.
+
+    A chunk spans at most 3 calendar years, so each chunk is listed once per year it
+    touches and the join key is (region_code, year): no region becomes one hot key,
+    and each missing day meets at most two candidate chunks before the range test.
+    The chunk list is broadcast when proven small.
+    """
+    extra = [c for c in ("url",) if c in chunks.columns]
+    per_year = chunks.select(
+        F.col("region_code").alias("_rc"),
+        F.explode(F.sequence(F.year("chunk_start"), F.year("chunk_end"))).alias("_y"),
+        "chunk_index", "chunk_start", "chunk_end", *extra,
     )
+    days = missing.withColumn("_dy", F.year("date"))
     cond = (
         (F.col("region_code") == F.col("_rc"))
-        & (F.col("date") >= F.col("chunk_start"))
-        & (F.col("date") <= F.col("chunk_end"))
+        & (F.col("_dy") == F.col("_y"))
+        & F.col("date").between(F.col("chunk_start"), F.col("chunk_end"))
     )
-    joined = join_bounded(missing, c, cond, max_rows=CHUNKS_MAX_ROWS)
-    keys = ["region_code", "chunk_index", "chunk_start", "chunk_end"] + (["url"] if "url" in c.columns else [])
+    joined = join_bounded(days, per_year, cond, max_rows=CHUNKS_MAX_ROWS)
+    keys = ["region_code", "chunk_index", "chunk_start", "chunk_end", *extra]
     return joined.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("missing_days"), F.min("date").alias("first_missing"), F.max("date").alias("last_missing")
     )

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agroclim.constants import DAYS_OBSERVED_MIN, DROUGHT_CLASSES
+from agroclim.operators.joins import join_bounded
 
 DIM_MAX_ROWS = 100_000
 
@@ -40,7 +41,7 @@ def check_relationship(df: DataFrame, key: str, parent: DataFrame, parent_key: s
     """Rows whose non-null ``key`` has no match in ``parent`` (LEFT ANTI)."""
     parent_key = parent_key or key
     right = parent.select(F.col(parent_key).alias("_parent_key")).distinct()
-    return df.where(F.col(key).isNotNull()).join(right, F.col(key) == F.col("_parent_key"), "left_anti")
+    return join_bounded(df.where(F.col(key).isNotNull()), right, F.col(key) == F.col("_parent_key"), "left_anti", DIM_MAX_ROWS)
 
 
 def out_of_range(col: str, min_value: float | None = None, max_value: float | None = None) -> Column:
