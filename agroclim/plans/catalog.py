@@ -501,3 +501,34 @@ def q_ingest_summary(spark, root):
     raw = panel.raw_weather(spark, root)
     failed = planning.missing_chunks(planning.missing_days(raw, planning.observed_span(raw)), _chunks(spark, root))
     return planning.ingest_summary(raw, panel.raw_agriculture(spark, root), failed)
+
+
+# --- upserts (two loads of the same data) ---------------------------------------------------
+
+
+@register("upsert_weather")
+def q_upsert_weather(spark, root):
+    """H1: the table holds the newest ingestion per key from order lines 1-3; a second
+    load (lines 4-7, newest per key) is upserted: its rows replace every column of
+    the stored ones, keys only in the table stay."""
+    from agroclim.plans.upsert import upsert_rows
+
+    ing = proxy.ingestions(spark, root)
+    first = silver.latest_wins(ing.where(F.col("l_linenumber") <= 3), WEATHER_KEYS, proxy.INGEST_ORDER)
+    second = silver.latest_wins(ing.where(F.col("l_linenumber") >= 4), WEATHER_KEYS, proxy.INGEST_ORDER)
+    cols = ["region_code", "date", "precipitation_sum", "et0_fao_evapotranspiration", "shortwave_radiation_sum", "_source_url"]
+    target = proxy.with_measures(first).select(*cols)
+    batch = proxy.with_measures(second).select(*cols)
+    return upsert_rows(target, batch, WEATHER_KEYS)
+
+
+@register("upsert_agriculture")
+def q_upsert_agriculture(spark, root):
+    """H2: proxy agriculture rows, then the cleaned CSV rows upserted on
+    (region_code, annee) under the 'datagovma' source."""
+    from agroclim.plans.upsert import upsert_rows
+
+    target = silver.coerce_raw_agriculture(panel.raw_agriculture(spark, root))
+    clean = cleaning.clean_agriculture(panel.dirty_agriculture_csv(spark, root), panel.region_aliases(spark, root), CODE_PATTERN)
+    batch = silver.coerce_raw_agriculture(clean).withColumn("_source", F.lit("datagovma"))
+    return upsert_rows(target, batch, AGRICULTURE_KEYS)

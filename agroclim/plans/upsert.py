@@ -40,6 +40,13 @@ def assert_unique_keys(batch: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"batch repeats key {tuple(dup[0][k] for k in keys)}")
 
 
+def upsert_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows after ``INSERT .. ON CONFLICT (keys) DO UPDATE`` of every column:
+    target rows whose key the batch does not carry, plus all batch rows."""
+    keys = list(keys)
+    return target.join(batch.select(*keys), keys, "left_anti").unionByName(batch.select(*target.columns))
+
+
 def _write(df: DataFrame, path: str, partition_col: str | None) -> None:
     writer = df.write.mode("overwrite")
     if partition_col:
@@ -82,7 +89,7 @@ def upsert(
     if newest_wins:
         merged = latest_wins(target.unionByName(batch), keys, list(newest_wins))
     else:
-        merged = target.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
+        merged = upsert_rows(target, batch, keys)
     merged = merged.checkpoint(eager=True)
     _write(merged, path, partition_col)
     forget_sizes()

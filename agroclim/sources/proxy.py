@@ -33,7 +33,8 @@ AGRI_LAST_YEAR = 1999
 
 # Nation count is fixed by the TPC-H schema; it is the dimension we broadcast.
 NATION_MAX_ROWS = 1000
-# supplier key -> region map: (bigint, int) rows, 2M rows is about 32 MB per executor.
+# key -> region maps (supplier, customer): (bigint, int) rows, 2M rows is about
+# 32 MB per executor.
 SUPPLIER_MAP_MAX_ROWS = 2_000_000
 
 
@@ -154,7 +155,8 @@ def agriculture_rows(spark: SparkSession, root: str) -> DataFrame:
     cust_region = join_bounded(
         customer, nation_region(spark, root), F.col("c_nationkey") == F.col("n_nationkey"), max_rows=NATION_MAX_ROWS
     ).select("c_custkey", "n_regionkey")
-    joined = orders.join(cust_region, F.col("o_custkey") == F.col("c_custkey"))
+    # customer grows with the data (150k rows per SF): same rule as the supplier map.
+    joined = join_bounded(orders, cust_region, F.col("o_custkey") == F.col("c_custkey"), max_rows=SUPPLIER_MAP_MAX_ROWS)
     year = F.year("o_orderdate").cast("int")
     grouped = joined.groupBy(F.col("n_regionkey"), year.alias("annee")).agg(
         F.sum(_dec(F.col("o_totalprice"), 12, 2)).alias("price_total"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from oracle.base import AVG, D, with_ctes
+from oracle.base import INGEST_ORDER as INGEST_ORDER_SQL
 
 ORACLE: dict[str, str] = {}
 
@@ -462,3 +463,35 @@ def _suite_sql() -> str:
 
 
 ORACLE["dq_report"] = _suite_sql()
+
+
+# --- upserts ------------------------------------------------------------------------------------
+
+_UW = """
+loads as (
+  select *, row_number() over (partition by region_code, date, l_linenumber <= 3 order by {order}) as rn
+  from proxy_weather_obs
+),
+first_load as (select * from loads where l_linenumber <= 3 and rn = 1),
+second_load as (select * from loads where l_linenumber >= 4 and rn = 1)"""
+
+ORACLE["upsert_weather"] = with_ctes(["proxy_weather_obs"], """
+select region_code, date, cast(precipitation_sum as double) as precipitation_sum,
+  cast(et0_fao_evapotranspiration as double) as et0_fao_evapotranspiration,
+  cast(shortwave_radiation_sum as double) as shortwave_radiation_sum, _source_url
+from first_load f where not exists (select 1 from second_load s where s.region_code = f.region_code and s.date = f.date)
+union all
+select region_code, date, cast(precipitation_sum as double), cast(et0_fao_evapotranspiration as double),
+  cast(shortwave_radiation_sum as double), _source_url
+from second_load""", extra=[_UW.format(order=INGEST_ORDER_SQL)])
+
+ORACLE["upsert_agriculture"] = with_ctes(["raw_agriculture", "clean_agri"], """
+select region_code, cast(annee as bigint) as annee, cast(production_tonnes as double) as production_tonnes,
+  cast(surface_irriguee_ha as double) as surface_irriguee_ha, cast(ressource_hydrique_m3 as double) as ressource_hydrique_m3,
+  _source
+from raw_agriculture r where not exists (select 1 from clean_agri c where c.region_code = r.region_code and c.annee = r.annee)
+union all
+select region_code, cast(annee as bigint), cast(cast(production_tonnes as decimal(12,2)) as double),
+  cast(cast(surface_irriguee_ha as decimal(12,2)) as double), cast(cast(ressource_hydrique_m3 as decimal(14,2)) as double),
+  'datagovma'
+from clean_agri""")
