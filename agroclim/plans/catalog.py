@@ -267,7 +267,7 @@ def q_format_number(spark, root):
 
 @register("merge_kpis")
 def q_merge_kpis(spark, root):
-    return panel.merged_kpis(spark, root)
+    return report.ordered(panel.merged_kpis(spark, root))
 
 
 @register("filter_kpis")
