@@ -14,6 +14,7 @@ from agroclim.functions.numbers import parse_decimal, parse_year
 from agroclim.operators import cleaning, gold, silver
 from agroclim.operators.report import merge_kpis
 from agroclim.plans import serving
+from agroclim.plans.upsert import assert_unique_keys
 from agroclim.schemas import AGRICULTURE_KEYS, WEATHER_KEYS
 from agroclim.sources import bronze, sinks
 
@@ -50,6 +51,9 @@ def silver_agriculture_from_bronze(
         "ingest_date",
         (~F.col("source").startswith(MOCK_PREFIX)).alias("_real"),
     ).where(F.col("region_code").isNotNull() & F.col("annee").isNotNull())
+    # Two labels of one load resolving to the same region-year (legacy names) would
+    # make the result depend on row order: refuse, as a keyed insert would.
+    assert_unique_keys(rows, [*AGRICULTURE_KEYS, "ingest_date", "_source"])
     newest = silver.latest_wins(rows, AGRICULTURE_KEYS, ["ingest_date", "_real", "_source"])
     typed = silver.coerce_raw_agriculture(newest.drop("_real"))
     return silver.stg_agriculture(typed.withColumn("_ingested_at", F.to_timestamp("ingest_date")))

@@ -57,3 +57,15 @@ def test_medallion_jobs(spark, tmp_path):
     version = jobs.gold_to_serving(spark, str(tmp_path / "gold"), str(tmp_path / "serving"))
     assert serving.read_serving(spark, str(tmp_path / "serving"), "fct_solar_potential").count() == 3 and version
     assert jobs.read_marts(spark, str(tmp_path / "gold")).count() == 3
+
+
+def test_colliding_labels_in_one_load_raise(spark, tmp_path):
+    import pytest
+
+    bronze_root = tmp_path / "bronze"
+    agri = spark.createDataFrame(
+        [("Souss-Massa", "2020", "1", "1", "1"), ("Souss-Massa-Drâa", "2020", "2", "2", "2")],
+        "region string, annee string, production_tonnes string, surface_irriguee_ha string, ressource_hydrique_m3 string")
+    sinks.land_bronze_agriculture(agri, str(bronze_root / "agriculture"), "2025-01-03", "datagovma")
+    with pytest.raises(ValueError, match="repeats key"):
+        jobs.silver_agriculture_from_bronze(spark, str(bronze_root), cleaning.alias_table(spark)).collect()
