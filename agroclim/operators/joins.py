@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from agroclim.session import session_key
+
 # Upper bound on rows we are willing to ship to every executor.
 DEFAULT_BROADCAST_MAX_ROWS = 100_000
 
@@ -12,11 +14,11 @@ DEFAULT_BROADCAST_MAX_ROWS = 100_000
 # Per-session memo of size checks, keyed by the plan's semantic hash: one answer per
 # distinct plan. Only "at most N rows" answers for bounded dimensions are kept, and a
 # session that rewrites an input can call ``forget_sizes`` (the upsert writers do).
-_SIZE_MEMO: dict[tuple[int, int, int], bool] = {}
+_SIZE_MEMO: dict[tuple[str, int, int], bool] = {}
 
 
-def _session_key(df: DataFrame) -> int:
-    return id(df.sparkSession._jsparkSession)
+def _session_key(df: DataFrame) -> str:
+    return session_key(df.sparkSession)
 
 
 def forget_sizes() -> None:

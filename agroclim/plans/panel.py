@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from agroclim.operators import gold, silver
 from agroclim.schemas import WEATHER_KEYS
+from agroclim.session import session_key
 from agroclim.sources import proxy
 
 
-_PLANS: dict[tuple[str, int, str], DataFrame] = {}
+_PLANS: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def shared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -28,7 +29,7 @@ def shared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 
     @functools.wraps(fn)
     def get(spark: SparkSession, root: str) -> DataFrame:
-        key = (fn.__name__, id(spark._jsparkSession), root)
+        key = (fn.__name__, session_key(spark), root)
         if key not in _PLANS:
             _PLANS[key] = fn(spark, root)
         return _PLANS[key]

@@ -71,3 +71,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="agroclim-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def session_key(spark: SparkSession) -> str:
+    """A key unique to this session for the lifetime of the process (memo keys):
+    the session UUID plus the application id, never a reusable object address."""
+    jss = spark._jsparkSession
+    try:
+        uuid = jss.sessionUUID()
+    except Exception:  # noqa: BLE001 - older JVM side
+        uuid = str(jss.hashCode())
+    return f"{spark.sparkContext.applicationId}/{uuid}"

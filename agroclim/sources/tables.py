@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from agroclim.session import session_key
+
 # Readers of immutable input tables, per session: listing the files and reading the
 # Parquet footer once per table instead of once per sub-plan. Tables this library
 # writes (silver, gold, serving) are never read through this memo.
-_READERS: dict[tuple[int, str], DataFrame] = {}
+_READERS: dict[tuple[str, str], DataFrame] = {}
 
 
 def table_path(root: str, name: str) -> str:
@@ -17,7 +19,7 @@ def table_path(root: str, name: str) -> str:
 def read_table(spark: SparkSession, root: str, name: str, columns: list[str] | tuple[str, ...] | None = None) -> DataFrame:
     """Read one immutable parquet table; ``columns`` become the scan's ReadSchema."""
     path = table_path(root, name)
-    key = (id(spark._jsparkSession), path)
+    key = (session_key(spark), path)
     df = _READERS.get(key)
     if df is None:
         df = _READERS[key] = spark.read.parquet(path)
