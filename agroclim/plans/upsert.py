@@ -73,27 +73,32 @@ def upsert(
     keys = list(keys)
     if partition_col and partition_of is not None:
         batch = batch.withColumn(partition_col, partition_of)
-    n = batch.count()
-    if n == 0:
-        return 0
-    assert_unique_keys(batch, keys)
-    checkpoint_dir(spark)
-    if not _exists(spark, path):
-        _write(batch, path, partition_col)
+    batch = batch.persist()  # counted, checked and merged: computed once
+    try:
+        n = batch.count()
+        if n == 0:
+            return 0
+        assert_unique_keys(batch, keys)
+        checkpoint_dir(spark)
+        if not _exists(spark, path):
+            _write(batch, path, partition_col)
+            return n
+        target = spark.read.parquet(path)
+        aligned = batch.select(*target.columns)
+        if partition_col:
+            # distinct partition values of one batch (calendar years): a small, bounded set
+            touched = aligned.select(partition_col).distinct()
+            target = target.join(F.broadcast(touched), partition_col, "left_semi")
+        if newest_wins:
+            merged = latest_wins(target.unionByName(aligned), keys, list(newest_wins))
+        else:
+            merged = upsert_rows(target, aligned, keys)
+        merged = merged.checkpoint(eager=True)
+        _write(merged, path, partition_col)
+        forget_sizes()
         return n
-    target = spark.read.parquet(path)
-    batch = batch.select(*target.columns)
-    if partition_col:
-        touched = batch.select(partition_col).distinct()
-        target = target.join(F.broadcast(touched), partition_col, "left_semi")  # bounded: distinct partition values
-    if newest_wins:
-        merged = latest_wins(target.unionByName(batch), keys, list(newest_wins))
-    else:
-        merged = upsert_rows(target, batch, keys)
-    merged = merged.checkpoint(eager=True)
-    _write(merged, path, partition_col)
-    forget_sizes()
-    return n
+    finally:
+        batch.unpersist()
 
 
 def upsert_weather(spark: SparkSession, path: str, batch: DataFrame) -> int:

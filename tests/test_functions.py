@@ -121,3 +121,16 @@ def test_mj_to_kwh_no_ties(spark):
     df = spark.createDataFrame([(x / 100,) for x in range(0, 4000, 7)], "x double")
     got = df.select(F.col("x").cast("decimal(7,2)").alias("d")).select(numbers.mj_to_kwh(F.col("d")).cast("double")).collect()
     assert all(abs(r[0] - round(x / 100 / 3.6, 3)) < 1e-9 for r, x in zip(got, range(0, 4000, 7)))
+
+
+
+def test_latest_wins_with_a_hot_key(spark):
+    from agroclim.operators.silver import latest_wins
+
+    hot = spark.range(0, 30000).select(F.lit("R00").alias("k"), (F.col("id") % 7).alias("a"), F.col("id").alias("b"))
+    cold = spark.range(0, 60000).select(F.concat(F.lit("R"), (F.col("id") % 1000 + 1).cast("string")).alias("k"),
+                                        (F.col("id") % 3).alias("a"), F.col("id").alias("b"))
+    out = {r.k: (r.a, r.b) for r in latest_wins(hot.unionByName(cold).repartition(16), ["k"], ["a", "b"]).collect()}
+    assert len(out) == 1001
+    assert out["R00"] == max((i % 7, i) for i in range(30000))  # greatest (a, b) tuple
+    assert out["R1"] == max((i % 3, i) for i in range(0, 60000, 1000))
