@@ -410,7 +410,7 @@ select region_code, count(*) as days, min(date) as first_date, max(date) as last
 
 ORACLE["ingest_summary"] = with_ctes(["missing", "chunks", "raw_agriculture"], """
 select t.*, f.n as failed_chunks,
-  case when f.n > 0 or t.source = 'mock-fallback-network-error' then 1 else 0 end as status
+  cast(case when f.n > 0 or t.source = 'mock-fallback-network-error' then 1 else 0 end as bigint) as status
 from (select 'weather_daily' as "table", _source as source, count(*) as rows from raw_weather group by _source
       union all
       select 'agriculture_regional', _source, count(*) from raw_agriculture group by _source) t,
