@@ -28,9 +28,10 @@ def forget_sizes() -> None:
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` holds at most ``max_rows`` rows.
 
-    Runs ``limit(max_rows + 1).count()``: the scan stops early on a big input, so the
-    check costs at most ``max_rows + 1`` rows, never a full pass. Answers are
-    memoised per session and plan.
+    Runs ``limit(max_rows + 1).count()``: every task stops after ``max_rows + 1``
+    rows, so the check reads at most (max_rows + 1) x tasks rows of a big input and
+    about the whole input only when it is small anyway. Answers are memoised per
+    session and plan.
     """
     key = (_session_key(df), df.semanticHash(), max_rows)
     if key not in _SIZE_MEMO:
