@@ -1,8 +1,9 @@
 """Data-quality checks. Each check returns a violations DataFrame (empty = pass);
 nulls pass range and accepted-values checks, as in declarative SQL tests.
 
-``run_checks`` evaluates every row-level rule of a table in ONE scan (one
-``count_if`` per rule), and only uniqueness and relationships add a shuffle.
+``run_checks`` evaluates every test of a table in ONE aggregation pass: row rules
+are counted per unique-key group, uniqueness and key relationships are read off the
+groups.
 """
 
 from __future__ import annotations
@@ -127,41 +128,64 @@ class TableChecks:
     relationships: list[tuple[str, DataFrame, str]] = field(default_factory=list)
 
 
-def run_checks(tables: Sequence[TableChecks]) -> DataFrame:
-    """One report row per test: (check, table, column, violations).
+def _table_report(t: TableChecks) -> DataFrame:
+    """All tests of one table from ONE aggregation over its rows.
 
-    Row-level tests of a table are counted together in a single aggregate; each
-    uniqueness or relationship test is its own (partially aggregated) job.
+    Rows are grouped by the table's (first) unique key, counting each row-level rule
+    per group (partial aggregation first, so hot keys are pre-counted in every map
+    task). Uniqueness is the number of groups holding more than one row; a
+    relationship on a key column is checked on the grouped rows (far fewer than the
+    rows) against the broadcast parent keys, weighted by group size.
     """
-    parts: list[DataFrame] = []
-    for t in tables:
-        row_rules: list[tuple[str, str, Column]] = []
-        row_rules += [("not_null", c, F.col(c).isNull()) for c in t.not_null]
-        row_rules += [("accepted_range", c, out_of_range(c, lo, hi)) for c, lo, hi in t.ranges]
-        row_rules += [("accepted_values", c, not_accepted(c, vals)) for c, vals in t.accepted]
-        if row_rules:
-            counts = t.df.agg(*[F.count_if(pred).alias(f"r{i}") for i, (_, _, pred) in enumerate(row_rules)])
-            stack = F.inline(
-                F.array(
-                    *[
-                        F.struct(F.lit(kind).alias("check"), F.lit(col).alias("column"), F.col(f"r{i}").alias("violations"))
-                        for i, (kind, col, _) in enumerate(row_rules)
-                    ]
-                )
-            )
-            parts.append(counts.select(stack).select("check", F.lit(t.name).alias("table"), "column", "violations"))
-        for keys in t.unique:
-            dup = check_unique(t.df, keys).agg(F.count(F.lit(1)).alias("violations"))  # duplicated key groups
-            parts.append(
-                dup.select(F.lit("unique").alias("check"), F.lit(t.name).alias("table"), F.lit(",".join(keys)).alias("column"), "violations")
-            )
-        for col, parent, parent_key in t.relationships:
-            bad = check_relationship(t.df, col, parent, parent_key).agg(F.count(F.lit(1)).alias("violations"))
-            parts.append(bad.select(F.lit("relationships").alias("check"), F.lit(t.name).alias("table"), F.lit(col).alias("column"), "violations"))
+    keys = list(t.unique[0]) if t.unique else []
+    row_rules: list[tuple[str, str, Column]] = []
+    row_rules += [("not_null", c, F.col(c).isNull()) for c in t.not_null]
+    row_rules += [("accepted_range", c, out_of_range(c, lo, hi)) for c, lo, hi in t.ranges]
+    row_rules += [("accepted_values", c, not_accepted(c, vals)) for c, vals in t.accepted]
+    grouped = t.df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.count_if(pred).alias(f"_r{i}") for i, (_, _, pred) in enumerate(row_rules)]
+    )
+    folded_rel = [(i, col, parent, pk) for i, (col, parent, pk) in enumerate(t.relationships) if col in keys]
+    for i, col, parent, pk in folded_rel:
+        hits = parent.select(F.col(pk).alias(f"_pk{i}")).distinct().withColumn(f"_hit{i}", F.lit(True))
+        grouped = join_bounded(grouped, hits, F.col(col) == F.col(f"_pk{i}"), "left", DIM_MAX_ROWS)
+    totals = [F.sum(f"_r{i}").alias(f"_r{i}") for i in range(len(row_rules))]
+    if keys:
+        totals.append(F.count_if(F.col("_n") > 1).alias("_unique"))
+    for i, col, _, _ in folded_rel:
+        totals.append(F.sum(F.when(F.col(col).isNotNull() & F.col(f"_hit{i}").isNull(), F.col("_n"))).alias(f"_rel{i}"))
+    report_rows = [F.struct(F.lit(kind).alias("check"), F.lit(col).alias("column"), F.col(f"_r{i}").alias("violations"))
+                   for i, (kind, col, _) in enumerate(row_rules)]
+    if keys:
+        report_rows.append(F.struct(F.lit("unique").alias("check"), F.lit(",".join(keys)).alias("column"),
+                                    F.col("_unique").alias("violations")))
+    for i, col, _, _ in folded_rel:
+        report_rows.append(F.struct(F.lit("relationships").alias("check"), F.lit(col).alias("column"),
+                                    F.coalesce(F.col(f"_rel{i}"), F.lit(0)).alias("violations")))
+    out = grouped.agg(*totals).select(F.inline(F.array(*report_rows)))
+    out = out.select("check", F.lit(t.name).alias("table"), "column", F.coalesce(F.col("violations"), F.lit(0)).cast("bigint").alias("violations"))
+    # tests the single pass cannot fold: further unique keys, relationships on non-key columns
+    for extra in t.unique[1:]:
+        dup = check_unique(t.df, extra).agg(F.count(F.lit(1)).alias("violations"))
+        out = out.unionByName(dup.select(F.lit("unique").alias("check"), F.lit(t.name).alias("table"),
+                                         F.lit(",".join(extra)).alias("column"), F.col("violations").cast("bigint")))
+    for i, (col, parent, pk) in enumerate(t.relationships):
+        if col in keys:
+            continue
+        bad = check_relationship(t.df, col, parent, pk).agg(F.count(F.lit(1)).alias("violations"))
+        out = out.unionByName(bad.select(F.lit("relationships").alias("check"), F.lit(t.name).alias("table"),
+                                         F.lit(col).alias("column"), F.col("violations").cast("bigint")))
+    return out
+
+
+def run_checks(tables: Sequence[TableChecks]) -> DataFrame:
+    """One report row per test: (check, table, column, violations), one aggregation
+    pass per table (see ``_table_report``)."""
+    parts = [_table_report(t) for t in tables]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.withColumn("violations", F.col("violations").cast("bigint"))
+    return out
 
 
 def check_dim(dim: DataFrame, expected_rows: int | None = None, lat=(20.0, 36.0), lon=(-18.0, -1.0)) -> DataFrame:
