@@ -134,3 +134,23 @@ def test_latest_wins_with_a_hot_key(spark):
     assert len(out) == 1001
     assert out["R00"] == max((i % 7, i) for i in range(30000))  # greatest (a, b) tuple
     assert out["R1"] == max((i % 3, i) for i in range(0, 60000, 1000))
+
+
+def test_fixed_text_matches_python_rounding(spark):
+    import random
+
+    random.seed(11)
+    vals = set()
+    for d in range(4):
+        for i in range(-400, 400):
+            vals.add(round(i / 10 ** (d + 1), d + 1))  # decimal ties: x.xx5 (binary value decides)
+            vals.add(i / 8)                           # exactly representable ties (to even)
+    for _ in range(3000):
+        vals.add(random.uniform(-1e4, 1e4))
+        vals.add(random.uniform(-1, 1))
+    vals |= {2.675, 1.005, 0.125, -2.5, 2.5, 3.5, 0.0005, -0.001, 1e-7, -1e-7, 9999999999.995, 3e12}
+    vals = sorted(vals)
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    for d in range(4):
+        got = [r[0] for r in df.select(display.fixed_text(F.col("v"), d)).collect()]
+        assert got == [f"{v:.{d}f}" for v in vals], d
