@@ -101,3 +101,10 @@ def test_staging_guard_and_projection(spark):
         sinks.staging_frame(empty, "dim_year")
     one = spark.createDataFrame([("x", 2020, True, "2020")], "region_code string, year int, is_complete_year boolean, year_label string")
     assert sinks.staging_frame(one, "dim_year").columns == ["year", "is_complete_year", "year_label"]
+
+
+def test_bom_header_is_recognised(spark, tmp_path):
+    path = tmp_path / "bom.csv"
+    path.write_bytes(("\ufeff" + HEADER + "\nRabat,2020,1,2,3\n").encode("utf-8"))
+    df = bronze.read_tabular_csv(spark, str(path))
+    assert df.columns[0] == "region_code" and df.first().region_code == "Rabat"
