@@ -18,8 +18,7 @@ from agroclim.plans.upsert import assert_unique_keys
 from agroclim.schemas import AGRICULTURE_KEYS, WEATHER_KEYS
 from agroclim.sources import bronze, sinks
 
-# Newest ingestion first for weather payloads: ingest date, request range, file.
-WEATHER_INGEST_ORDER = ("ingest_date", "range_start", "_file")
+from agroclim.sources.bronze import WEATHER_INGEST_ORDER  # noqa: E402
 
 
 def silver_weather_from_bronze(spark: SparkSession, bronze_root: str) -> DataFrame:
@@ -29,7 +28,7 @@ def silver_weather_from_bronze(spark: SparkSession, bronze_root: str) -> DataFra
     daily = silver.coerce_raw_weather(silver.explode_daily(payloads, extra=list(WEATHER_INGEST_ORDER)))
     newest = silver.latest_wins(daily, WEATHER_KEYS, WEATHER_INGEST_ORDER)
     return silver.with_year_partition(
-        silver.stg_weather(newest.withColumn("_ingested_at", F.to_timestamp("ingest_date")))
+        silver.stg_weather(newest.withColumn("_ingested_at", F.to_timestamp("ingest_date")), keep=WEATHER_INGEST_ORDER)
     )
 
 

@@ -22,6 +22,9 @@ from agroclim.schemas import BRONZE_AGRICULTURE, BRONZE_WEATHER, DIM_REGION
 WEATHER_LAYOUT = "ingest_date=*/region_code=*/range_start=*/*.json"
 AGRICULTURE_LAYOUT = "ingest_date=*/source=*/*.csv"
 SEPARATORS = (",", ";", "\t", "|")
+# Newest ingestion first for weather payloads: ingest date, request range, file.
+# Kept on silver rows by the batch job and the stream alike (provenance + merge order).
+WEATHER_INGEST_ORDER = ("ingest_date", "range_start", "_file")
 
 
 def read_bronze_weather(spark: SparkSession, root: str) -> DataFrame:

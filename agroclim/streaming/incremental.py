@@ -17,10 +17,9 @@ from pyspark.sql import types as T
 from agroclim.operators.silver import coerce_raw_weather, explode_daily, latest_wins, stg_weather
 from agroclim.plans.upsert import upsert
 from agroclim.schemas import BRONZE_WEATHER, WEATHER_KEYS
-from agroclim.sources.bronze import WEATHER_LAYOUT
+from agroclim.sources.bronze import WEATHER_INGEST_ORDER, WEATHER_LAYOUT
 
-# Newest first: ingest date, then the request range, then the file name.
-INGEST_ORDER = ("ingest_date", "range_start", "_file")
+INGEST_ORDER = WEATHER_INGEST_ORDER
 
 # Payload fields plus the partition columns of the bronze layout (text).
 STREAM_SCHEMA = T.StructType(
@@ -40,7 +39,8 @@ def silver_rows(payloads: DataFrame) -> DataFrame:
     """Newest ingestion per (region_code, date) of a set of payloads, as silver rows
     (plus the ingest-order columns used to compare with the stored rows)."""
     newest = latest_wins(bronze_to_raw(payloads), WEATHER_KEYS, INGEST_ORDER)
-    return stg_weather(newest, keep=INGEST_ORDER)
+    # same silver columns as the batch job, so both can maintain one table
+    return stg_weather(newest.withColumn("_ingested_at", F.to_timestamp("ingest_date")), keep=INGEST_ORDER)
 
 
 def merge_into_silver(spark: SparkSession, batch: DataFrame, silver_path: str) -> int:

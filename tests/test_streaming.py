@@ -37,3 +37,21 @@ def test_incremental_merge(spark, tmp_path):
     assert float(t["2023-12-31"].precipitation_mm) == 1.0
     run(spark, bronze, silver, ckpt)  # nothing new: same table
     assert spark.read.parquet(str(silver)).count() == 3
+
+
+
+def test_stream_continues_a_batch_built_silver(spark, tmp_path):
+    from agroclim.plans import jobs
+
+    bronze, silver, ckpt = tmp_path / "bronze", tmp_path / "silver", tmp_path / "ckpt"
+    land(bronze / "openmeteo", "2024-01-03", "MA-01", "2024-01-01", ["2024-01-01", "2024-01-02"], [1.0, None])
+    (bronze / "agriculture").mkdir(parents=True)
+    weather = jobs.silver_weather_from_bronze(spark, str(bronze))
+    from agroclim.sources.sinks import write_silver_weather
+
+    write_silver_weather(weather, str(silver))
+    land(bronze / "openmeteo", "2024-01-04", "MA-01", "2024-01-02", ["2024-01-02"], [5.0])
+    run(spark, bronze / "openmeteo", silver, ckpt)
+    t = {r.observation_date.isoformat(): r for r in spark.read.parquet(str(silver)).collect()}
+    assert float(t["2024-01-02"].precipitation_mm) == 5.0 and float(t["2024-01-01"].precipitation_mm) == 1.0
+    assert t["2024-01-02"].ingest_date == "2024-01-04" and t["2024-01-01"].ingest_date == "2024-01-03"
