@@ -148,9 +148,13 @@ def test_fixed_text_matches_python_rounding(spark):
     for _ in range(3000):
         vals.add(random.uniform(-1e4, 1e4))
         vals.add(random.uniform(-1, 1))
-    vals |= {2.675, 1.005, 0.125, -2.5, 2.5, 3.5, 0.0005, -0.001, 1e-7, -1e-7, 9999999999.995, 3e12}
+    for d in range(5):
+        for i in range(-120, 120):
+            tie = round((i + 0.5) / 10 ** d, d + 1)
+            vals |= {tie, math.nextafter(tie, math.inf), math.nextafter(tie, -math.inf)}  # neighbours of a tie
+    vals |= {2.675, 1.005, 0.125, -2.5, 2.5, 3.5, 0.0005, -0.001, 1e-7, -1e-7, 9999999999.995, 3e12, 0.00005, 12.34565}
     vals = sorted(vals)
     df = spark.createDataFrame([(v,) for v in vals], "v double")
-    for d in range(4):
+    for d in range(5):
         got = [r[0] for r in df.select(display.fixed_text(F.col("v"), d)).collect()]
         assert got == [f"{v:.{d}f}" for v in vals], d
