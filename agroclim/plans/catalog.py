@@ -129,6 +129,14 @@ def q_serving_solar(spark, root):
 
 @register("vw_region_year_kpi")
 def q_vw(spark, root):
+    from agroclim.plans.serving import region_year_view_of_marts
+
+    return region_year_view_of_marts(panel.kpi_marts(spark, root), panel.dim_region(spark, root), panel.dim_year(spark, root))
+
+
+@register("vw_region_year_kpi_tables")
+def q_vw_tables(spark, root):
+    """The view as a join of the two fact tables (the form used on stored serving tables)."""
     from agroclim.plans.serving import region_year_view
 
     return region_year_view(
@@ -270,6 +278,12 @@ def q_merge_kpis(spark, root):
     return report.ordered(panel.merged_kpis(spark, root))
 
 
+@register("merge_kpi_tables")
+def q_merge_kpi_tables(spark, root):
+    """The two-mart join of C5 (the form used on marts read back from storage)."""
+    return report.ordered(report.merge_kpis(panel.climate_kpi(spark, root), panel.solar_potential(spark, root)))
+
+
 @register("filter_kpis")
 def q_filter_kpis(spark, root):
     return report.filter_kpis(panel.merged_kpis(spark, root), 1998, ["R01", "R03"])

@@ -69,14 +69,20 @@ def region_year(spark: SparkSession, root: str) -> DataFrame:
     return gold.region_year(silver_weather(spark, root), silver_agriculture(spark, root))
 
 
+@shared
+def kpi_marts(spark: SparkSession, root: str) -> DataFrame:
+    """Both gold marts from one pass over region_year."""
+    return gold.kpi_marts(region_year(spark, root), dim_region(spark, root))
+
+
 @shared
 def climate_kpi(spark: SparkSession, root: str) -> DataFrame:
-    return gold.climate_kpi(region_year(spark, root), dim_region(spark, root))
+    return gold.climate_of(kpi_marts(spark, root))
 
 
 @shared
 def solar_potential(spark: SparkSession, root: str) -> DataFrame:
-    return gold.solar_potential(region_year(spark, root), dim_region(spark, root))
+    return gold.solar_of(kpi_marts(spark, root))
 
 
 @shared
@@ -86,10 +92,11 @@ def dim_year(spark: SparkSession, root: str) -> DataFrame:
 
 @shared
 def merged_kpis(spark: SparkSession, root: str) -> DataFrame:
-    """Dashboard frame: climate and solar facts merged per region x year."""
-    from agroclim.operators.report import merge_kpis
+    """Dashboard frame: climate and solar facts per region x year, both marts of one
+    pass (``merge_kpis`` joins the two marts when they are read back from storage)."""
+    from agroclim.operators.report import merged_marts
 
-    return merge_kpis(climate_kpi(spark, root), solar_potential(spark, root))
+    return merged_marts(kpi_marts(spark, root))
 
 
 @shared

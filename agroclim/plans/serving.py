@@ -27,11 +27,23 @@ def region_year_view(climate: DataFrame, solar: DataFrame, dim_region: DataFrame
     French class label and its sort key. Dimensions are broadcast after a size check."""
     k = select_serving(climate, "fct_region_climate_kpi").alias("k")
     s = select_serving(solar, "fct_solar_potential").select(
-        "region_code", "year",
-        F.col("is_complete_year").alias("solar_complete_year"),
-        "solar_radiation_avg_kwh_m2_day", "sunny_days_pct", "solar_potential_score",
+        "region_code", "year", F.col("is_complete_year").alias("solar_complete_year"), *_VIEW_SOLAR
     )
-    facts = k.join(s, ["region_code", "year"])
+    return _view(k.join(s, ["region_code", "year"]), dim_region, dim_year)
+
+
+_VIEW_SOLAR = ("solar_radiation_avg_kwh_m2_day", "sunny_days_pct", "solar_potential_score")
+
+
+def region_year_view_of_marts(marts: DataFrame, dim_region: DataFrame, dim_year: DataFrame) -> DataFrame:
+    """``region_year_view`` over ``gold.kpi_marts`` (both facts of one pass, same
+    rows as the fact join): the facts are read once, not once per fact table."""
+    climate = [F.col("climate_complete_year").alias(c) if c == "is_complete_year" else F.col(c)
+               for c in SERVING_COLUMNS["fct_region_climate_kpi"]]
+    return _view(marts.select(*climate, "solar_complete_year", *_VIEW_SOLAR), dim_region, dim_year)
+
+
+def _view(facts: DataFrame, dim_region: DataFrame, dim_year: DataFrame) -> DataFrame:
     with_region = join_bounded(facts, select_serving(dim_region, "dim_region"), "region_code", max_rows=DIM_MAX_ROWS)
     full = join_bounded(with_region, dim_year.select("year", "year_label"), "year", max_rows=DIM_MAX_ROWS)
     return full.select(

@@ -214,6 +214,7 @@ MERGED_COLS = """region_code, region_name, cast(year as bigint) as year, climate
 ALL = "('R00','R01','R02','R03','R04')"
 
 ORACLE["merge_kpis"] = with_ctes(["merged"], f"select {MERGED_COLS} from merged")
+ORACLE["merge_kpi_tables"] = ORACLE["merge_kpis"]
 ORACLE["filter_kpis"] = with_ctes(["merged"], f"select {MERGED_COLS} from merged where region_code in ('R01','R03') and year = 1998")
 
 ORACLE["complete_by_year"] = with_ctes(["merged"], """
@@ -495,3 +496,5 @@ select region_code, cast(annee as bigint), cast(cast(production_tonnes as decima
   cast(cast(surface_irriguee_ha as decimal(12,2)) as double), cast(cast(ressource_hydrique_m3 as decimal(14,2)) as double),
   'datagovma'
 from clean_agri""")
+
+ORACLE["vw_region_year_kpi_tables"] = ORACLE["vw_region_year_kpi"]
