@@ -49,6 +49,18 @@ def test_scans_are_pruned(plans):
     assert seen > 50
 
 
+def test_dashboard_reads_the_facts_once(plans):
+    # both gold marts come from one pass: the dashboard frame and everything built on it
+    # read lineitem once; the view adds only the year dimension's own pass
+    def lineitem_scans(name):
+        return len(re.findall(r"^\(\d+\) Scan parquet .*\n(?:.*\n)*?Location: [^\n]*lineitem\.parquet", plans[name], re.M))
+
+    for name in ("merge_kpis", "format_number", "kpi_cards", "map_solar", "time_series", "yoy_delta"):
+        assert lineitem_scans(name) == 1, name
+    assert lineitem_scans("vw_region_year_kpi") == 2
+    assert lineitem_scans("merge_kpi_tables") == 2  # two marts read back as tables
+
+
 def test_latest_wins_reduces_before_the_shuffle(spark):
     p = plan_of(silver.latest_wins(proxy.ingestions(spark, SF_SMALL), ["region_code", "date"], proxy.INGEST_ORDER))
     tree = p.split("\n\n", 1)[0]
