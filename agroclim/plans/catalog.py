@@ -131,7 +131,7 @@ def q_serving_solar(spark, root):
 def q_vw(spark, root):
     from agroclim.plans.serving import region_year_view_of_marts
 
-    return region_year_view_of_marts(panel.kpi_marts(spark, root), panel.dim_region(spark, root), panel.dim_year(spark, root))
+    return region_year_view_of_marts(panel.kpi_marts(spark, root), panel.dim_region(spark, root))
 
 
 @register("vw_region_year_kpi_tables")

@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agroclim.constants import SERVING_COLUMNS
-from agroclim.functions.display import drought_label, drought_sort
+from agroclim.functions.display import drought_label, drought_sort, year_label
+from agroclim.operators import gold
 from agroclim.operators.joins import join_bounded
 
 DIM_MAX_ROWS = 100_000
@@ -29,23 +30,25 @@ def region_year_view(climate: DataFrame, solar: DataFrame, dim_region: DataFrame
     s = select_serving(solar, "fct_solar_potential").select(
         "region_code", "year", F.col("is_complete_year").alias("solar_complete_year"), *_VIEW_SOLAR
     )
-    return _view(k.join(s, ["region_code", "year"]), dim_region, dim_year)
+    facts = join_bounded(k.join(s, ["region_code", "year"]), dim_year.select("year", "year_label"), "year", max_rows=DIM_MAX_ROWS)
+    return _view(facts, dim_region)
 
 
 _VIEW_SOLAR = ("solar_radiation_avg_kwh_m2_day", "sunny_days_pct", "solar_potential_score")
 
 
-def region_year_view_of_marts(marts: DataFrame, dim_region: DataFrame, dim_year: DataFrame) -> DataFrame:
+def region_year_view_of_marts(marts: DataFrame, dim_region: DataFrame) -> DataFrame:
     """``region_year_view`` over ``gold.kpi_marts`` (both facts of one pass, same
-    rows as the fact join): the facts are read once, not once per fact table."""
+    rows as the fact join, dim_year's flag carried per row): the facts are read
+    once, not once per fact table and once more for the year dimension."""
     climate = [F.col("climate_complete_year").alias(c) if c == "is_complete_year" else F.col(c)
                for c in SERVING_COLUMNS["fct_region_climate_kpi"]]
-    return _view(marts.select(*climate, "solar_complete_year", *_VIEW_SOLAR), dim_region, dim_year)
+    label = year_label(F.col("year"), F.col(gold.YEAR_FLAG)).alias("year_label")
+    return _view(marts.select(*climate, "solar_complete_year", *_VIEW_SOLAR, label), dim_region)
 
 
-def _view(facts: DataFrame, dim_region: DataFrame, dim_year: DataFrame) -> DataFrame:
-    with_region = join_bounded(facts, select_serving(dim_region, "dim_region"), "region_code", max_rows=DIM_MAX_ROWS)
-    full = join_bounded(with_region, dim_year.select("year", "year_label"), "year", max_rows=DIM_MAX_ROWS)
+def _view(facts: DataFrame, dim_region: DataFrame) -> DataFrame:
+    full = join_bounded(facts, select_serving(dim_region, "dim_region"), "region_code", max_rows=DIM_MAX_ROWS)
     return full.select(
         "region_code", "region_name", "capital", "latitude", "longitude", "altitude_m",
         "year", "year_label",
