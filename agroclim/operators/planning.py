@@ -123,8 +123,16 @@ def missing_days(observed: DataFrame, spans: DataFrame, date_col: str = "date")
     calendar = spans.select(
         "region_code", F.explode(F.sequence(F.col("start_date"), F.col("end_date"))).alias("date")
     )
-    seen = observed.select("region_code", F.col(date_col).alias("date")).distinct()
-    return calendar.join(seen, ["region_code", "date"], "left_anti")
+    return calendar.join(observed_days(observed, date_col), ["region_code", "date"], "left_anti")
+
+
+def observed_days(observed: DataFrame, date_col: str = "date") -> DataFrame:
+    """Distinct observed (region_code, date) pairs (pre-aggregated in every map task).
+
+    Give this frame to both ``observed_span`` and ``missing_days`` when a job needs
+    both: they then share one reduction of the observations instead of two.
+    """
+    return observed.select("region_code", F.col(date_col).alias("date")).distinct()
 
 
 def missing_chunks(missing: DataFrame, chunks: DataFrame) -> DataFrame:

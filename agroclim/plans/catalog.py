@@ -494,15 +494,16 @@ def q_ingest_manifest(spark, root):
 
 @register("missing_days")
 def q_missing_days(spark, root):
-    raw = panel.raw_weather(spark, root)
-    return planning.missing_days(raw, planning.observed_span(raw))
+    days = planning.observed_days(panel.raw_weather(spark, root))  # one reduction for span and gaps
+    return planning.missing_days(days, planning.observed_span(days))
 
 
 @register("missing_chunks")
 def q_missing_chunks(spark, root):
-    raw = panel.raw_weather(spark, root)
-    manifest = planning.ingest_manifest(_chunks(spark, root), panel.dim_region(spark, root))
-    return planning.missing_chunks(planning.missing_days(raw, planning.observed_span(raw)), manifest)
+    days = planning.observed_days(panel.raw_weather(spark, root))  # one reduction for span, chunks and gaps
+    spans = planning.observed_span(days)
+    manifest = planning.ingest_manifest(planning.split_chunks(spans), panel.dim_region(spark, root))
+    return planning.missing_chunks(planning.missing_days(days, spans), manifest)
 
 
 @register("completeness")
