@@ -86,3 +86,30 @@ def test_manifest_url(spark):
     assert url.startswith("https://archive-api.open-meteo.com/v1/archive?latitude=34.0211&longitude=-6.8414"
                           "&start_date=2023-01-01&end_date=2024-12-31&daily=temperature_2m_max%2C")
     assert url.endswith("&timezone=Africa%2FCasablanca")
+
+
+def test_observed_days_feed_span_and_gaps(spark):
+    # several ingestions per day (hot region included): one distinct frame gives the
+    # same span and gaps as the raw rows, checked against a brute-force Python set
+    import random
+
+    random.seed(5)
+    start = D(2018, 1, 1)
+    rows = []
+    for code, n_days, per_day in (("MA-01", 400, 30), ("MA-02", 90, 1), ("MA-03", 200, 3)):
+        for i in range(n_days):
+            if random.random() < 0.1 and 0 < i < n_days - 1:
+                continue  # a gap (never at the span's ends)
+            rows += [(code, start + dt.timedelta(days=i + (5 if code == "MA-03" else 0)))] * per_day
+    obs = spark.createDataFrame(rows, "region_code string, date date")
+    days = planning.observed_days(obs)
+    got = sorted(map(tuple, planning.missing_days(days, planning.observed_span(days)).collect()))
+    assert got == sorted(map(tuple, planning.missing_days(obs, planning.observed_span(obs)).collect()))
+    seen = set(rows)
+    expected = []
+    for code in {c for c, _ in rows}:
+        ds = [d for c, d in seen if c == code]
+        lo, hi = min(ds), max(ds)
+        expected += [(code, lo + dt.timedelta(days=k)) for k in range((hi - lo).days + 1)
+                     if (code, lo + dt.timedelta(days=k)) not in seen]
+    assert got == sorted(expected) and expected
