@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from agroclim.llm import bpe, line_dedup, mixing, quality
+from agroclim.llm import bpe, language_model, line_dedup, minhash, mixing, quality, token_counts
 
 QUERIES = {
+    "op1_minhash_near_dedup": minhash.op1_minhash_near_dedup,
+    "op2_language_model": language_model.op2_language_model,
+    "op3_token_counts": token_counts.op3_token_counts,
     "op6_source_mix": mixing.op6_source_mix,
     "op7_quality_rules": quality.op7_quality_rules,
     "op8_line_dedup": line_dedup.op8_line_dedup,
@@ -12,6 +15,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_minhash_near_dedup": minhash.OP1_SQL,
     "op6_source_mix": mixing.OP6_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
 }
