@@ -3,11 +3,11 @@
 The word before last and the last word predict the next: with R1, R2 the words'
 context vectors and Q, b the target vectors and biases, the score of w after (u, v)
 is (R1[u] + R2[v]) . Q[w] + b[w], normalised over the ``VOCABULARY`` most frequent
-training tokens and a class ``rare`` for all others. As the score is a sum of two
+training tokens and ``RARE`` classes of all others, dealt by their last bytes. As the score is a sum of two
 look-ups, batched matrix products give tables M1 = R1 Q', M2 = R2 Q' + b and all
-normalisers at once: Z[u, v] = log(exp(M1) exp(M2)'). A rare token gets the class's
-probability times its share of it, (c + 1) / (N_rare + V_rare + 1), so that the
-probabilities of all tokens, the unknown one included, sum to at most one.
+normalisers at once: Z[u, v] = log(exp(M1) exp(M2)'). A rare token gets its class's
+probability times its share of it, (c + 1) / (N_class + V_class + 1), so that the
+probabilities of all tokens, an unknown one per class included, sum to at most one.
 
 1. Tokens of the training documents are counted (per Arrow batch, then by key).
 2. Every partition trains the model on all its texts from the same start by AdaGrad
@@ -25,6 +25,7 @@ each; an empty table gives none; without training documents all counts are 0.
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +37,13 @@ from agroclim.llm import textarrow
 from agroclim.llm.common import prepare, stored, table
 
 FOLDS, HELD_OUT = 7, 2
-VOCABULARY = 1022  # with the class of rare tokens and the start: 1024
-WIDTH = 24
-NOISE = 48
-BATCH = 4096
-RATE = 0.15
+VOCABULARY = 959   # with the classes of rare tokens and the start: 1024
+RARE = 64
+SUFFIX = 3
+WIDTH = 16
+NOISE = 16
+BATCH = 8192
+RATE = 0.03
 ROUNDS = 1
 HOT = 1 << 19
 HOT_BYTES = 48
@@ -68,27 +71,29 @@ def token_counts(docs: DataFrame) -> DataFrame:
 
 
 class Model:
-    """Parameters for V classes: 0 the rare ones, then the vocabulary, V - 1 the start (never a target)."""
+    """Parameters for V classes: those of rare tokens, the vocabulary, last the start (never a target)."""
 
     def __init__(self, counts: np.ndarray, seed: int = 1):
         v = len(counts)
         rng = np.random.default_rng(seed)
         self.noise = (counts + 1.0) / (counts + 1.0).sum()
-        self.b = np.log(self.noise)
-        self.r1, self.r2, self.q = (rng.normal(0, 0.05, (v, WIDTH)) for _ in range(3))
+        self.b = np.log(self.noise).astype(np.float32)
+        self.r1, self.r2, self.q = (rng.normal(0, 0.05, (v, WIDTH)).astype(np.float32) for _ in range(3))
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.r1.ravel(), self.r2.ravel(), self.q.ravel(), self.b])
 
     def load(self, flat: np.ndarray) -> None:
+        flat = flat.astype(np.float32)
         v = len(self.b)
         self.r1, self.r2, self.q = (flat[k * v * WIDTH:(k + 1) * v * WIDTH].reshape(v, WIDTH) for k in range(3))
         self.b = flat[3 * v * WIDTH:]
 
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
         """log P(w | u, v) = M1[u, w] + M2[v, w] - Z[u, v]: both tables and Z, natural logs."""
-        m1 = self.r1 @ self.q.T
-        m2 = self.r2 @ self.q.T + self.b
+        r1, r2, q, b = (x.astype(np.float64) for x in (self.r1, self.r2, self.q, self.b))
+        m1 = r1 @ q.T
+        m2 = r2 @ q.T + b
         top1, top2 = m1.max(1, keepdims=True), m2.max(1, keepdims=True)
         z = np.log(np.exp(m1 - top1) @ np.exp(m2 - top2).T) + top1 + top2.T
         return np.stack([m1, m2]).astype(np.float32), z.astype(np.float32)
@@ -99,7 +104,7 @@ class Trainer:
 
     def __init__(self, model: Model, seed: int):
         self.m, self.rng, self.tokens = model, np.random.default_rng(seed), 0
-        self.sums = [np.full_like(x, 1e-2) for x in (model.r1, model.r2, model.q, model.b)]
+        self.sums = [np.full_like(x, 1e-8) for x in (model.r1, model.r2, model.q, model.b)]
 
     def _update(self, which: int, parameter: np.ndarray, gradient: np.ndarray) -> None:
         self.sums[which] += gradient * gradient
@@ -107,23 +112,29 @@ class Trainer:
 
     @staticmethod
     def _scatter(at: np.ndarray, rows: np.ndarray, v: int) -> np.ndarray:
-        index = (at[:, None] * WIDTH + np.arange(WIDTH)).ravel()
-        return np.bincount(index, rows.ravel(), v * WIDTH).reshape(v, WIDTH)
+        """Sums of ``rows`` by their place ``at``."""
+        order = np.argsort(at.astype(np.uint16), kind="stable")
+        place = at[order]
+        heads = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+        out = np.zeros((v, rows.shape[1]), dtype=rows.dtype)
+        out[place[heads]] = np.add.reduceat(rows[order], heads, axis=0)
+        return out
 
     def step(self, u: np.ndarray, w: np.ndarray, target: np.ndarray) -> None:
         m, v = self.m, len(self.m.b)
         noise = self.rng.choice(v, NOISE, p=m.noise)
-        log_noise = np.log(NOISE * m.noise)
+        log_noise = np.log(NOISE * m.noise).astype(np.float32)
         context = m.r1[u] + m.r2[w]
-        real = 1 / (1 + np.exp(-(np.einsum("ij,ij->i", context, m.q[target]) + m.b[target] - log_noise[target])))
+        wanted = m.q[target]
+        real = 1 / (1 + np.exp(-(np.einsum("ij,ij->i", context, wanted) + m.b[target] - log_noise[target])))
         fake = 1 / (1 + np.exp(-(context @ m.q[noise].T + m.b[noise] - log_noise[noise])))
         up = 1 - real
-        g_context = up[:, None] * m.q[target] - fake @ m.q[noise]
+        g_context = up[:, None] * wanted - fake @ m.q[noise]
         g_q = self._scatter(target, up[:, None] * context, v)
         np.add.at(g_q, noise, -fake.T @ context)
-        g_b = np.bincount(target, up, v)
+        g_b = np.bincount(target, up, v).astype(np.float32)
         np.add.at(g_b, noise, -fake.sum(0))
-        scale = 1 / len(target)
+        scale = np.float32(1 / len(target))
         self._update(0, m.r1, self._scatter(u, g_context, v) * scale)
         self._update(1, m.r2, self._scatter(w, g_context, v) * scale)
         self._update(2, m.q, g_q * scale)
@@ -131,11 +142,15 @@ class Trainer:
         self.tokens += len(target)
 
 
+def _rare_class(word: bytes) -> int:
+    return zlib.crc32(word[-SUFFIX:]) % RARE
+
+
 def _classes(texts: textarrow.Texts, place: dict[bytes, int], end: int, start: int):
     """Codes of the texts' words, then per token, ends included: class, the two classes before, text."""
     values, codes, first = textarrow.word_codes(texts, lower=True)
     listed = values.to_pylist()
-    of_value = np.fromiter((place.get(x, 0) for x in listed), np.int64, len(listed))
+    of_value = np.fromiter((place[x] if x in place else _rare_class(x) for x in listed), np.int64, len(listed))
     n = len(texts)
     counts = np.diff(first) + 1
     begins = np.concatenate([[0], np.cumsum(counts)])
@@ -236,21 +251,26 @@ def score_documents(docs: DataFrame) -> DataFrame:
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n_all, v_all = int(total["n"]), int(total["v"])
     hot = counts.filter(F.length("word") <= HOT_BYTES).orderBy(F.desc("n"), "word").limit(HOT).toArrow()  # bounded
-    order = np.lexsort([np.arange(hot.num_rows)])
-    hot_words, hot_counts = hot.column("word").combine_chunks().take(pa.array(order)), hot.column("n").to_numpy()[order]
+    hot_words, hot_counts = hot.column("word").combine_chunks(), hot.column("n").to_numpy()
     top = [w for w in hot_words.slice(0, VOCABULARY).to_pylist() if w != END]
-    place = {w: k for k, w in enumerate(top, 1)} | {END: len(top) + 1}
-    n_of = dict(zip(hot_words.to_pylist(), hot_counts.tolist(), strict=True)) if hot.num_rows <= 4 * VOCABULARY else dict(zip(hot_words.slice(0, 4 * VOCABULARY).to_pylist(), hot_counts[:4 * VOCABULARY].tolist(), strict=True))
+    place = {w: k for k, w in enumerate(top, RARE)} | {END: len(top) + RARE}
+    n_of = dict(zip(hot_words.slice(0, VOCABULARY).to_pylist(), hot_counts[:VOCABULARY].tolist(), strict=True))
     ends = counts.filter(F.col("word") == F.lit(END)).first()
     n_end = int(ends["n"]) if ends else 0
-    in_vocabulary = [n_of[w] for w in top] + [n_end]
-    n_rare, v_rare = n_all - sum(in_vocabulary), v_all - len(top) - (n_end > 0)
-    class_counts = np.array([n_rare, *in_vocabulary, 0], dtype=np.float64)  # the last: start
+    rare_class = F.pmod(F.crc32(F.substring("word", -SUFFIX, SUFFIX)), F.lit(RARE)).cast("int")
+    n_rare, v_rare = np.zeros(RARE), np.zeros(RARE)
+    for r in counts.groupBy(rare_class.alias("c")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():  # RARE rows
+        n_rare[r["c"]], v_rare[r["c"]] = r["n"], r["v"]
+    for w, n in [*((w, n_of[w]) for w in top), (END, n_end)]:
+        n_rare[_rare_class(w)] -= n
+        v_rare[_rare_class(w)] -= n > 0
+    class_counts = np.concatenate([n_rare, [n_of[w] for w in top], [n_end, 0]])  # the last: start
+    spread = n_rare + v_rare + 1
     model = train(training, place, class_counts)
     tables, z = model.tables()
 
     base = np.log10((hot_counts + 1) / (n_all + v_all + 1))
-    rare = np.log10((hot_counts + 1) / (n_rare + v_rare + 1))
+    rare = np.log10((hot_counts + 1) / spread[np.fromiter((_rare_class(w) for w in hot_words.to_pylist()), np.int64, len(hot_words))])
     rare[[k for k, w in enumerate(hot_words.slice(0, VOCABULARY + 1).to_pylist()) if w in place]] = 0.0
     end_base = (math.log10((n_end + 1) / (n_all + v_all + 1)), n_end)
     shared = spark.sparkContext.broadcast((place, tables, z, hot_words, base, rare, end_base, len(class_counts) - 1))
@@ -268,7 +288,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
         F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
         (F.max("known") + F.sum(F.when(c > 0, F.col("times")).otherwise(0))).alias("n_known"),
         (F.max("base") + F.sum(F.col("times") * F.log10((c + 1) / F.lit(float(n_all + v_all + 1))))).alias("base_score"),
-        (F.max("score") + F.sum(F.col("times") * F.log10((c + 1) / F.lit(float(max(n_rare + v_rare + 1, 1)))))).alias("score"))
+        (F.max("score") + F.sum(F.col("times") * F.log10((c + 1) / F.get(F.array(*[F.lit(float(x)) for x in spread]), rare_class)))).alias("score"))
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_all).cast("long").alias("train_tokens"), "base_score", "score")
 
 
