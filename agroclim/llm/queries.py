@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
-from agroclim.llm import bpe, language_model, line_dedup, minhash, mixing, pii, quality, token_counts, url_filter
+import corpus_pipeline
+
+from agroclim.llm import ann, bpe, language_model, line_dedup, minhash, mixing, pii, quality, token_counts, url_filter
 
 QUERIES = {
     "op1_minhash_near_dedup": minhash.op1_minhash_near_dedup,
     "op2_language_model": language_model.op2_language_model,
     "op3_token_counts": token_counts.op3_token_counts,
+    "op4_learned_partitions": ann.op4_learned_partitions,
     "op5_url_filter": url_filter.op5_url_filter,
     "op6_source_mix": mixing.op6_source_mix,
     "op7_quality_rules": quality.op7_quality_rules,
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_personal_data": pii.op9_personal_data,
     "op10_byte_bpe": bpe.op10_byte_bpe,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE = {
