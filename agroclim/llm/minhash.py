@@ -11,14 +11,16 @@ Two documents are linked if their sets' Jaccard similarity is at least 80 %.
    documents agree, but for ``miss`` below, in at least ``MATCHES`` tokens, so they
    share one among the rarest COORDINATES - MATCHES + 1 tokens of both (prefix); a class
    with fewer than ``MATCHES`` shared tokens is out, and frequent tokens are skipped.
-4. Posting lists are merged by stars: in a round every list offers its members paired
-   with one member of it, unless both are already connected. A pair is kept if it agrees
-   in at least ``MATCHES`` coordinates and its sizes allow the similarity, then confirmed
-   on the full sets. Confirmed links contract the components; a star's centre leaves its
-   list, as all its pairs are decided. Rounds go on while they at least halve what is
-   left to pair; then the pairs left, of members not yet connected, are all tested.
-   So groups of copies and near copies cost a star each, not their square, and nothing
-   is capped.
+4. Posting lists are merged by stars: every list pairs its smallest member (the pivot)
+   with all others. A pair is kept if it agrees in at least ``MATCHES`` coordinates and its
+   sizes allow the similarity, then confirmed on the full sets. Confirmed links contract
+   the components. In further rounds a member of each list's largest component meets the
+   members outside of it, as long as that at least halves the pairs left.
+5. The pairs left, of members in different components, are all tested, but for those that
+   the pivot rules out: agreement with it and distance from it both obey the triangle
+   inequality, so a pair differing by more than COORDINATES - MATCHES in the one or more
+   than 0.2 in the other cannot be linked. So groups of copies and near copies cost a few
+   stars each, not their square, and nothing is capped.
 
 The chance to miss a link of similarity 0.8 is that of a binomial (64, 0.8) below 36,
 about 4e-6; links above 0.85 are missed with less than 1e-8.
@@ -31,6 +33,8 @@ takes the smallest component); ties go to the smaller doc_id; an empty table giv
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -106,30 +110,33 @@ def signed(docs: DataFrame, width: int) -> DataFrame:
 
 
 def postings(classes: DataFrame) -> DataFrame:
-    """(token, doc): the shared tokens in the prefix of every class that can have a link."""
-    posted = classes.select(F.col("rep").alias("doc"), F.explode("tokens").alias("token"))
+    """(token, doc, size): the shared tokens in the prefix of every class that can have a link."""
+    posted = classes.select(F.col("rep").alias("doc"), "n_shingles", F.explode("tokens").alias("token"))
     shared = posted.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    own = posted.join(shared, "token").groupBy("doc").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("own"))
+    own = posted.join(shared, "token").groupBy("doc").agg(F.first("n_shingles").alias("size"), F.sort_array(F.collect_list(F.struct("n", "token"))).alias("own"))
     own = own.filter(F.size("own") >= MATCHES)  # at most COORDINATES tokens a class
-    return own.select("doc", F.explode(F.slice("own", F.lit(1), F.size("own") - MATCHES + 1)).alias("t")).select("doc", F.col("t.token").alias("token"))
+    return own.select("doc", "size", F.explode(F.slice("own", F.lit(1), F.size("own") - MATCHES + 1)).alias("t")).select("doc", "size", F.col("t.token").alias("token"))
+
+
+def _alike(x: str, y: str):
+    """Whether the sizes of two sets allow the similarity."""
+    return 100 * F.least(x, y) >= PERCENT * F.greatest(x, y)
 
 
-def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) that agree in enough coordinates and whose sizes allow the similarity."""
+def _agreement(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the number of coordinates they agree in."""
     def side(name: str) -> DataFrame:
-        return classes.select(F.col("rep").alias(name), F.col("n_shingles").alias(f"n_{name}"), F.col("tokens").alias(f"t_{name}"))
+        return classes.select(F.col("rep").alias(name), F.col("tokens").alias(f"t_{name}"))
 
     both = pairs.join(side("b"), "b").join(side("a"), "a")
-    sizes = (100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b"))
-    agree = F.size(F.array_intersect("t_a", "t_b")) >= MATCHES
-    return both.filter(sizes).filter(agree).select("a", "b")
+    return both.select("a", "b", F.size(F.array_intersect("t_a", "t_b")).alias("agree"))
 
 
 def _jaccard(width: int):
     def run(batches):
         for batch in batches:
-            a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            keep = np.zeros(len(a), dtype=bool)
+            a, b = batch.column(0), batch.column(1)
+            inter, union = np.zeros(len(a), dtype=np.int64), np.zeros(len(a), dtype=np.int64)
             step = 256  # pairs at a time, for memory
             for at in range(0, len(a), step):
                 sides = []
@@ -138,18 +145,19 @@ def _jaccard(width: int):
                     sets = [s for texts in textarrow.chunks(encoded.dictionary) for s in shingles(texts, width)]
                     sides.append([sets[c] for c in encoded.indices.to_pylist()])
                 for k, (x, y) in enumerate(zip(*sides, strict=True)):
-                    inter = len(np.intersect1d(x, y, assume_unique=True))
-                    keep[at + k] = 100 * inter >= PERCENT * (len(x) + len(y) - inter)
-            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], names=["a", "b"])
+                    inter[at + k] = len(np.intersect1d(x, y, assume_unique=True))
+                    union[at + k] = len(x) + len(y) - inter[at + k]
+            linked = 100 * inter >= PERCENT * union
+            yield pa.RecordBatch.from_arrays([a, b, pa.array(linked), pa.array(1 - inter / np.maximum(union, 1))], names=["a", "b", "linked", "distance"])
 
     return run
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
-    """The pairs (a, b) whose full sets reach the similarity."""
-    both = pairs.join(texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
+def _compared(pairs: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """Pairs (a, b) with their sets' distance and whether they are linked."""
+    both = pairs.select("a", "b").join(texts.select(F.col("doc").alias("b"), F.col("text").alias("text_b")), "b")
     both = both.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("text_a")), "a")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(_jaccard(width), "a long, b long")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(_jaccard(width), "a long, b long, linked boolean, distance double")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -176,42 +184,58 @@ def components(links: DataFrame) -> DataFrame:
             return done.select(F.col("x").alias("doc"), F.col("y").alias("comp"))
 
 
+def _outside(lists: DataFrame) -> DataFrame:
+    """Per list that is not one component: its size, its largest component and how many members are outside."""
+    each = lists.groupBy("token", "comp").agg(F.count(F.lit(1)).alias("n"))
+    every = each.groupBy("token").agg(F.sum("n").alias("members"), F.max(F.struct("n", "comp")).alias("top"))
+    return every.select("token", "members", F.col("top.comp").alias("top"), (F.col("members") - F.col("top.n")).alias("outside")).filter("outside > 0")
+
+
+def _pair(x: str, y: str) -> list:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
 def links(classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """(doc, comp) of every class that is linked with another."""
-    lists = stored(postings(classes).withColumn("comp", F.col("doc")))
+    lists = stored(postings(classes))
     texts = stored(texts.join(lists.select("doc").distinct(), "doc", "left_semi"))
-    found: DataFrame | None = None
-    comps: DataFrame | None = None
-    before, stars = None, True
+    may = F.col("agree") >= MATCHES
+
+    # the star of every list's smallest member
+    pivots = lists.groupBy("token").agg(F.min("doc").alias("pivot"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("token", "pivot")
+    sizes = lists.select(F.col("doc").alias("pivot"), F.col("size").alias("pivot_size")).distinct()
+    lists = lists.join(pivots.join(sizes, "pivot"), "token").filter("doc <> pivot")
+    met = stored(_agreement(lists.filter(_alike("size", "pivot_size")).select(F.col("pivot").alias("a"), F.col("doc").alias("b")).distinct(), classes))
+    seen = stored(_compared(met.filter(may), texts, width))
+    found = [seen.filter("linked").select("a", "b")]
+    comps = components(found[0])
+    known = met.join(seen.select("a", "b", "distance"), ["a", "b"], "left").select(F.col("a").alias("pivot"), F.col("b").alias("doc"), "agree", "distance")
+    lists = stored(lists.join(known, ["pivot", "doc"], "left").select("token", "doc", "size", "agree", "distance"))
+
+    before = None
     while True:
-        # lists whose members are not all connected yet
-        open_lists = lists.groupBy("token").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count(F.lit(1)).alias("n"),
-                                                F.min(F.struct(F.xxhash64("doc"), F.col("doc"))).alias("c") if before else F.min(F.struct(F.lit(0), F.col("doc"))).alias("c"))
-        open_lists = stored(open_lists.filter("low <> high").select("token", "n", F.col("c.doc").alias("centre")))
-        size = open_lists.agg(F.sum("n").alias("n"), F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs")).first()
-        if not size["n"]:
-            break
-        stars = stars and size["pairs"] > size["n"] and (before is None or size["pairs"] <= before / 2)
-        before = size["pairs"]
-        member = lists.join(open_lists.select("token", "centre"), "token")
-        if stars:
-            other = member.filter("doc <> centre").select("token", F.col("doc").alias("p"), F.col("comp").alias("pc"))
-            middle = member.filter("doc = centre").select("token", F.col("doc").alias("q"), F.col("comp").alias("qc"))
-        else:
-            other = member.select("token", F.col("doc").alias("p"), F.col("comp").alias("pc"))
-            middle = member.select("token", F.col("doc").alias("q"), F.col("comp").alias("qc"))
-        met = other.join(middle, "token").filter("pc <> qc")
-        if not stars:
-            met = met.filter("q < p")
-        pairs = met.select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
-        new = stored(_confirmed(_possible(pairs, classes), texts, width))
-        found = new if found is None else found.union(new)
-        comps = components(found)
-        if not stars:
+        now = stored(lists.join(comps, "doc", "left").withColumn("comp", F.coalesce("comp", "doc")))
+        open_lists = stored(_outside(now))
+        left = open_lists.agg(F.sum("members").alias("rows"), F.sum(F.col("outside") * F.col("members")).alias("pairs")).first()
+        if not left["rows"]:
+            return comps
+        member = now.join(open_lists.select("token", "top"), "token")
+        outside = member.filter("comp <> top")
+        if left["pairs"] <= 2 * left["rows"] or (before is not None and left["pairs"] > before / 2):
             break
-        rest = member.filter("doc <> centre").select("token", "doc")
-        lists = stored(rest.join(comps, "doc", "left").select("token", "doc", F.coalesce("comp", "doc").alias("comp")))
-    return comps if comps is not None else lists.select("doc", "comp").limit(0)
+        before = left["pairs"]
+        centre = member.filter("comp = top").groupBy("token").agg(F.min(F.struct(F.xxhash64("doc", F.lit(len(found))), F.col("doc"), F.col("size"))).alias("c"))
+        star = outside.join(centre.select("token", F.col("c.doc").alias("centre"), F.col("c.size").alias("centre_size")), "token").filter(_alike("size", "centre_size"))
+        new = _agreement(star.select(*_pair("doc", "centre")).distinct(), classes).filter(may)
+        found.append(stored(_compared(new, texts, width)).filter("linked").select("a", "b"))
+        comps = components(functools.reduce(DataFrame.union, found))
+
+    x = outside.select("token", F.col("doc").alias("p"), F.col("comp").alias("pc"), F.col("size").alias("ps"), F.col("agree").alias("pa"), F.col("distance").alias("pd"))
+    y = member.select("token", F.col("doc").alias("q"), F.col("comp").alias("qc"), F.col("size").alias("qs"), F.col("agree").alias("qa"), F.col("distance").alias("qd"))
+    near = _alike("ps", "qs") & F.coalesce(F.abs(F.col("pa") - F.col("qa")) <= COORDINATES - MATCHES, F.lit(True)) & F.coalesce(F.abs(F.col("pd") - F.col("qd")) <= 1 - PERCENT / 100 + 1e-9, F.lit(True))
+    rest = x.join(y, "token").filter("pc <> qc").filter(near).select(*_pair("p", "q")).distinct()
+    found.append(stored(_compared(_agreement(rest, classes).filter(may), texts, width)).filter("linked").select("a", "b"))
+    return components(functools.reduce(DataFrame.union, found))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
