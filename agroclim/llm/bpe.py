@@ -32,15 +32,16 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agroclim.llm import textarrow
 from agroclim.llm.common import prepare, stored, table
 
-HOT_WORDS = 1 << 20
+HOT_WORDS = 1 << 19
 HOT_WORD_BYTES = 32
-CHUNK_BYTES = 8 << 20
+GROUP_BYTES = 3 << 20  # texts whose other words are folded together
 _BUCKETS = 1 << 13
 _LONG = 64
 
@@ -149,16 +150,14 @@ def hot_words(docs: DataFrame, ranks_path: str, limit: int = HOT_WORDS) -> DataF
     return encode_words(words.select("word").repartition(max(8, limit // 16384)), ranks_path)
 
 
-_LOADED: dict[str, tuple] = {}  # the last hot table of this worker
+_LOADED: dict[str, pa.Array] = {}  # the last hot words, or their ids, of this worker
 
 
-def _hot(name: str, shared):
+def _hot(name: str, shared) -> pa.Array:
     if name not in _LOADED:
         _LOADED.clear()
         with pa.ipc.open_stream(shared.value) as reader:
-            rows = reader.read_all().combine_chunks()
-        ids = rows.column("ids").combine_chunks()
-        _LOADED[name] = (rows.column("word").combine_chunks(), ids.flatten().to_numpy(zero_copy_only=False), ids.offsets.to_numpy())
+            _LOADED[name] = reader.read_all().column(0).combine_chunks()
     return _LOADED[name]
 
 
@@ -169,72 +168,101 @@ def _look_up(name: str, shared):
     """Chunks of texts as word codes: places in the hot table (hot), or in the list of other words."""
 
     def run(batches):
-        table_words = _hot(name, shared)[0]
+        table_words = _hot(name, shared)
         for batch in batches:
-            for texts in textarrow.chunks(batch.column(1), CHUNK_BYTES):
-                values, codes, first = textarrow.pretokens(texts)
-                place = pa.compute.index_in(values, value_set=table_words)
-                cold = values.filter(place.is_null()).to_pylist()
+            for group in textarrow.chunks(batch.column(1), GROUP_BYTES):
+                values, codes, first, words, tokens = [], [], [np.zeros(1, np.int64)], 0, 0
+                for texts in textarrow.parts(group, 1 << 19):
+                    own, own_codes, own_first = textarrow.pretokens(texts)
+                    values.append(own)
+                    codes.append(own_codes.astype(np.int32) + np.int32(words))
+                    first.append(own_first[1:] + tokens)
+                    words, tokens = words + len(own), tokens + len(own_codes)
+                merged = pa.concat_arrays(values).dictionary_encode()
+                order = merged.indices.to_numpy(zero_copy_only=False)[np.concatenate(codes)]
+                place = pc.index_in(merged.dictionary, value_set=table_words)
+                cold = merged.dictionary.filter(place.is_null())
                 place = place.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int32)
-                rows = pa.table({"doc": batch.column(0).slice(texts.first, len(texts))})
+                rows = pa.table({"doc": batch.column(0).slice(group.first, len(group))})
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, rows.schema) as writer:
                     writer.write_table(rows)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([codes.astype(np.int32).tobytes()], pa.binary()),
-                     pa.array([first.astype(np.int64).tobytes()], pa.binary()), pa.array([place.tobytes()], pa.binary()), pa.array([cold], pa.list_(pa.binary()))],
-                    names=["rows", "codes", "first", "hot", "cold"])
+                cold = pa.ListArray.from_arrays(pa.array([0, len(cold)], pa.int32()), cold)
+                packed = [sink.getvalue().to_pybytes(), order.astype(np.int32).tobytes(), np.concatenate(first).tobytes(), place.tobytes()]
+                yield pa.RecordBatch.from_arrays([*(pa.array([x], pa.binary()) for x in packed), cold], names=["rows", "codes", "first", "hot", "cold"])
 
     return run
 
 
-def _spans(offsets: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return offsets[places], offsets[places + 1]
+def _joined(pieces: pa.Array, ids: np.ndarray) -> tuple[memoryview, np.ndarray]:
+    """The pieces of ``ids`` one after the other, and where each begins (with the end)."""
+    taken = pieces.take(pa.array(ids))
+    buffers = taken.buffers()
+    return memoryview(buffers[2] if buffers[2] is not None else b""), np.frombuffer(buffers[1], dtype=np.int64)[:len(ids) + 1]
 
 
 def _assemble(name: str, shared, ranks_path: str, digest: bool):
     """From word codes and ids of the other words to the ids of every text, and back to bytes."""
 
     def run(batches):
-        _, hot_ids, hot_offsets = _hot(name, shared)
-        pieces = {rank: piece for piece, rank in load_ranks(ranks_path).items()}
+        hot = _hot(name, shared)
+        hot_ids, hot_offsets = hot.flatten().to_numpy(zero_copy_only=False), hot.offsets.to_numpy()
+        listed = sorted((rank, piece) for piece, rank in load_ranks(ranks_path).items())
+        pieces = [b""] * (listed[-1][0] + 1)
+        for rank, piece in listed:
+            pieces[rank] = piece
+        pieces, numbers = pa.array(pieces, pa.large_binary()), pa.array([b"%d," % k for k in range(len(pieces))], pa.large_binary())
         for batch in batches:
             for k in range(batch.num_rows):
                 row = {c: batch.column(c)[k] for c in batch.schema.names}
                 with pa.ipc.open_stream(row["rows"].as_py()) as reader:
                     docs = reader.read_all().column("doc").combine_chunks()
                 codes, first, place = (np.frombuffer(row[c].as_buffer(), dtype=t) for c, t in (("codes", np.int32), ("first", np.int64), ("hot", np.int32)))
-                cold = iter(row["ids"].values.to_pylist() if row["ids"].values is not None else [])
-                word_ids = [hot_ids[hot_offsets[p]:hot_offsets[p + 1]].tolist() if p >= 0 else next(cold) for p in place.tolist()]
-                sizes = np.fromiter((len(x) for x in word_ids), np.int64, len(word_ids))
-                backs = [b"".join([pieces[i] for i in x]) for x in word_ids]
-                shown = [",".join(map(str, x)) for x in word_ids] if digest else None
-                counts = np.concatenate([[0], np.cumsum(sizes[codes])])
-                n_tokens = counts[first[1:]] - counts[first[:-1]]
-                order = codes.tolist()
-                ids_out, text_out = [], []
-                for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-                    own = order[a:b]
-                    text = b"".join([backs[c] for c in own])
-                    if digest:
-                        ids_out.append(hashlib.sha256(",".join([shown[c] for c in own]).encode()).hexdigest())
-                        text_out.append(hashlib.sha256(text).hexdigest())
-                    else:
-                        ids_out.append([i for c in own for i in word_ids[c]])
-                        text_out.append(text)
-                yield pa.RecordBatch.from_arrays(
-                    [docs, pa.array(n_tokens), pa.array(ids_out, pa.string() if digest else pa.list_(pa.int32())), pa.array(text_out, pa.string() if digest else pa.binary())],
-                    names=["doc", "n_tokens", "ids", "decoded"])
+                cold = row["ids"].values
+                cold_ids = cold.flatten().to_numpy(zero_copy_only=False) if cold is not None and len(cold) else np.zeros(0, np.int32)
+                cold_sizes = cold.value_lengths().to_numpy(zero_copy_only=False) if cold is not None and len(cold) else np.zeros(0, np.int64)
+                # where each word's ids begin in a pool of the hot and the other words' ids
+                pool = np.concatenate([hot_ids, cold_ids])
+                known = place >= 0
+                begin, size = np.empty(len(place), np.int64), np.empty(len(place), np.int64)
+                begin[known], size[known] = hot_offsets[place[known]], hot_offsets[place[known] + 1] - hot_offsets[place[known]]
+                begin[~known], size[~known] = len(hot_ids) + np.cumsum(cold_sizes) - cold_sizes, cold_sizes
+                ids_out, text_out, n_tokens = [], [], []
+                for a in range(0, len(docs), 512):
+                    cuts = first[a:a + 513]
+                    own = codes[cuts[0]:cuts[-1]]
+                    ends = np.concatenate([[0], np.cumsum(size[own])])
+                    ids = pool[np.repeat(begin[own] - ends[:-1], size[own]) + np.arange(ends[-1])]
+                    at = ends[cuts - cuts[0]]
+                    text, text_at = _joined(pieces, ids)
+                    shown, shown_at = _joined(numbers, ids) if digest else (None, None)
+                    n_tokens.append(np.diff(at))
+                    for x, y in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+                        whole = text[text_at[x]:text_at[y]]
+                        if digest:
+                            ids_out.append(hashlib.sha256(shown[shown_at[x]:max(shown_at[y] - 1, shown_at[x])]).hexdigest())
+                            text_out.append(hashlib.sha256(whole).hexdigest())
+                        else:
+                            text_out.append(bytes(whole))
+                    if not digest:
+                        ids_out.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids, pa.int32())))
+                ids_out = pa.array(ids_out, pa.string()) if digest else pa.concat_arrays(ids_out)
+                yield pa.RecordBatch.from_arrays([docs, pa.array(np.concatenate(n_tokens)), ids_out, pa.array(text_out, pa.string() if digest else pa.binary())], names=["doc", "n_tokens", "ids", "decoded"])
 
     return run
 
 
 def _shared_hot(docs: DataFrame, ranks_path: str, limit: int):
     hot = stored(hot_words(docs, ranks_path, limit)).toArrow()  # bounded: limit rows of short words
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, hot.schema) as writer:
-        writer.write_table(hot)
-    return docs.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes())
+
+    def sent(column: str):
+        sink = pa.BufferOutputStream()
+        one = hot.select([column])
+        with pa.ipc.new_stream(sink, one.schema) as writer:
+            writer.write_table(one)
+        return docs.sparkSession.sparkContext.broadcast(sink.getvalue().to_pybytes())
+
+    return sent("word"), sent("ids")
 
 
 def encode(docs: DataFrame, ranks_path: str, digest: bool = False, hot: int = HOT_WORDS) -> DataFrame:
@@ -244,13 +272,13 @@ def encode(docs: DataFrame, ranks_path: str, digest: bool = False, hot: int = HO
     instead (of decimal ids joined by commas, of the bytes).
     """
     prepare(docs.sparkSession)
-    shared = _shared_hot(docs, ranks_path, hot)
-    name = f"{docs.sparkSession.sparkContext.applicationId}-{shared._jbroadcast.id()}"
-    packed = docs.select("doc", "text").mapInArrow(_look_up(name, shared), _PACKED)
+    words, ids = _shared_hot(docs, ranks_path, hot)
+    name = f"{docs.sparkSession.sparkContext.applicationId}-{words._jbroadcast.id()}"
+    packed = docs.select("doc", "text").mapInArrow(_look_up(f"{name}-words", words), _PACKED)
     folded = packed.select("rows", "codes", "first", "hot", fold_words(F.col("cold"), ranks_path).alias("ids"))
     kind = docs.schema["doc"].dataType.simpleString()
     out = f"doc {kind}, n_tokens long, " + ("ids string, decoded string" if digest else "ids array<int>, decoded binary")
-    return folded.mapInArrow(_assemble(name, shared, ranks_path, digest), out)
+    return folded.mapInArrow(_assemble(f"{name}-ids", ids, ranks_path, digest), out)
 
 
 def encode_documents(docs: DataFrame, ranks_path: str) -> DataFrame:

@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -34,7 +34,7 @@ class Texts:
         return len(self.offsets) - 1
 
 
-def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[Texts]:
+def chunks(column: pa.Array, size: int | None = None) -> Iterator[Texts]:
     """The texts of a string column in chunks of about ``size`` bytes; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -45,11 +45,16 @@ def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[Texts]:
     buffers = column.buffers()
     offsets = np.frombuffer(buffers[1], dtype=np.int64)[column.offset:column.offset + n + 1]
     data = np.frombuffer(buffers[2], dtype=np.uint8) if buffers[2] is not None else np.zeros(0, np.uint8)
-    start = 0
+    yield from parts(Texts(data[offsets[0]:offsets[-1]], offsets - offsets[0], 0), size)
+
+
+def parts(group: Texts, size: int | None = None) -> Iterator[Texts]:
+    """The texts of a chunk in smaller chunks."""
+    size, start, n = size or CHUNK_BYTES, 0, len(group)
     while start < n:
-        end = int(np.searchsorted(offsets, offsets[start] + size, side="right")) - 1
+        end = int(np.searchsorted(group.offsets, group.offsets[start] + size, side="right")) - 1
         end = min(max(end, start + 1), n)
-        yield Texts(data[offsets[start]:offsets[end]], offsets[start:end + 1] - offsets[start], start)
+        yield Texts(group.data[group.offsets[start]:group.offsets[end]], group.offsets[start:end + 1] - group.offsets[start], group.first + start)
         start = end
 
 
