@@ -52,8 +52,8 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
 
 def _entropy(text: Column) -> Column:
     """Bits per character."""
-    n = F.length(text)
-    each = F.transform(F.array_distinct(F.split(text, "")), lambda c: (n - F.length(F.replace(text, c, F.lit("")))) / n)
+    n = F.greatest(F.length(text), F.lit(1))  # an empty text has one empty piece
+    each = F.transform(F.array_distinct(F.split(text, "")), lambda c: (F.length(text) - F.length(F.replace(text, c, F.lit("")))) / n)
     return F.aggregate(each, F.lit(0.0), lambda a, p: a - F.when(p > 0, p * F.log2(p)).otherwise(0.0))
 
 
