@@ -12,12 +12,21 @@ from agroclim.constants import MJ_PER_KWH
 # Thousands separators met in French-formatted numbers: no-break space,
 # narrow no-break space, plain space.
 _GROUP_SPACES = "[ \\u00a0\\u202f]"
-_CAMPAIGN_YEAR = r"^\s*(\d{4})\s*/\s*\d{4}\s*$"
+# Fixed value: an agricultural campaign, two years with a slash.
+_CAMPAIGN_YEAR = r"(?U)^\s*(\d{4})\s*/\s*\d{4}\s*$"
+# A number as written in the sources; a type suffix such as 12d is no number.
+_NUMBER = r"(?i)^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:e[+-]?[0-9]+)?$"
+_OUTER_SPACES = r"(?U)^\s+|\s+$"
 # pandas reads these tokens as missing before any parsing sees them.
 NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
              "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
+def strip_spaces(col: Column) -> Column:
+    """Without white space (any of Unicode's) at both ends."""
+    return F.regexp_replace(col, _OUTER_SPACES, "")
+
+
 def na_to_null(col: Column) -> Column:
     """Missing-value tokens (exact match, as a CSV reader sees them) to null."""
     return F.when(~col.isin(*NA_TOKENS), col)
@@ -29,7 +38,7 @@ def decimal_text(col: Column) -> Column:
     Spaces (incl. U+00A0, U+202F) are dropped. With both ',' and '.', '.' is the
     thousands mark; with only ',', it is the decimal mark. Blank gives null.
     """
-    text = F.regexp_replace(F.trim(col), _GROUP_SPACES, "")
+    text = F.regexp_replace(strip_spaces(col), _GROUP_SPACES, "")
     both = text.contains(",") & text.contains(".")
     text = F.when(both, F.translate(F.regexp_replace(text, r"\.", ""), ",", ".")).otherwise(
         F.translate(text, ",", ".")
@@ -40,26 +49,27 @@ def decimal_text(col: Column) -> Column:
 def parse_decimal(col: Column) -> Column:
     """Text number to DOUBLE. Junk raises under ANSI (a bad number is an error,
     not a silent null); blank and null give null."""
-    return decimal_text(col).cast("double")
+    text = decimal_text(col)
+    return F.when(text.rlike(_NUMBER), text).otherwise(F.concat(text, F.lit("?"))).cast("double")
 
 
 def try_parse_decimal(col: Column) -> Column:
     """Like ``parse_decimal`` but junk gives null (used to report rejects)."""
-    return decimal_text(col).try_cast("double")
+    text = decimal_text(col)
+    return F.when(text.rlike(_NUMBER), text).try_cast("double")
 
 
 def parse_year(col: Column) -> Column:
     """'2010/2011' -> 2010; '2010' / ' 2010.0 ' -> 2010; blank or junk -> null.
 
-    Non-campaign text goes through DOUBLE and is truncated toward zero.
+    Non-campaign text goes through DOUBLE and is truncated toward zero; a year beyond
+    the INT column raises under ANSI.
     """
-    text = F.trim(col)
+    text = strip_spaces(col)
     campaign = F.regexp_extract(col, _CAMPAIGN_YEAR, 1)
-    as_number = text.try_cast("double")
     return (
-        F.when(text == "", F.lit(None).cast("int"))
-        .when(campaign != "", campaign.cast("int"))
-        .otherwise(F.when(F.abs(as_number) < 2.0e9, as_number.cast("int")))
+        F.when(campaign != "", campaign.cast("int"))
+        .when(text.rlike(_NUMBER), text.cast("double").cast("int"))
     )
 
 

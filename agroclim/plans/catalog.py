@@ -457,9 +457,9 @@ def q_orphan_regions(spark, root):
 
 @register("missing_regions")
 def q_missing_regions(spark, root):
-    """G1/C7: regions of the dimension with no clean agriculture row for 1999."""
+    """G1/C7: regions of the dimension with no clean agriculture row in the load."""
     clean = cleaning.clean_agriculture(panel.dirty_agriculture_csv(spark, root), panel.region_aliases(spark, root), CODE_PATTERN)
-    return quality.missing_from(panel.dim_region(spark, root), clean.where(F.col("annee") == 1999))
+    return quality.missing_from(panel.dim_region(spark, root), clean)
 
 
 # --- planning -------------------------------------------------------------------------------

@@ -62,7 +62,7 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, al
     root = silver_root.rstrip("/")
     weather = silver_weather_from_bronze(spark, bronze_root)
     agriculture = silver_agriculture_from_bronze(spark, bronze_root, aliases)
-    sinks.write_silver_weather(weather, f"{root}/weather_daily")
+    sinks.write_silver_weather(weather, f"{root}/weather_daily", full=True)
     sinks.write_silver_agriculture(agriculture, f"{root}/agriculture_regional")
     return {
         "weather_daily": spark.read.parquet(f"{root}/weather_daily").count(),

@@ -158,8 +158,9 @@ def publish(spark: SparkSession, frames: Mapping[str, DataFrame], serving_root:
     finally:
         out.close()
     final = Path(f"{root}/_CURRENT")
-    if fs.exists(final):
-        fs.delete(final, False)
-    if not fs.rename(tmp, final):
-        raise OSError(f"could not switch {final} to {version}")
+    # One overwriting rename: readers find the old pointer or the new one at any time.
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(tmp, final, options)
     return version

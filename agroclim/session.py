@@ -21,8 +21,6 @@ SESSION_DEFAULTS: dict[str, str] = {
     "spark.sql.session.timeZone": "UTC",
     # Partition values in bronze paths (ingest_date, region_code) stay text.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
-    # Upserts rewrite only the year partitions they touch.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

@@ -28,9 +28,6 @@ INGEST_ORDER = (
     "l_tax",
 )
 
-# Last year of the proxy agriculture series (so the weather-year left join leaves nulls).
-AGRI_LAST_YEAR = 1999
-
 # Nation count is fixed by the TPC-H schema; it is the dimension we broadcast.
 NATION_MAX_ROWS = 1000
 # key -> region maps (supplier, customer): (bigint, int) rows, 2M rows is about
@@ -147,10 +144,8 @@ def dim_region(spark: SparkSession, root: str) -> DataFrame:
 
 
 def agriculture_rows(spark: SparkSession, root: str) -> DataFrame:
-    """raw.agriculture_regional-shaped rows: one per region x order year up to 1999."""
-    orders = read_table(spark, root, "orders", ["o_custkey", "o_totalprice", "o_orderdate"]).where(
-        F.year("o_orderdate") <= AGRI_LAST_YEAR
-    )
+    """raw.agriculture_regional-shaped rows: one per region x order year."""
+    orders = read_table(spark, root, "orders", ["o_custkey", "o_totalprice", "o_orderdate"])
     customer = read_table(spark, root, "customer", ["c_custkey", "c_nationkey"])
     cust_region = join_bounded(
         customer, nation_region(spark, root), F.col("c_nationkey") == F.col("n_nationkey"), max_rows=NATION_MAX_ROWS

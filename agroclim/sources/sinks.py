@@ -12,41 +12,48 @@ BOM = "\ufeff"
 
 
 def land_bronze_weather(payloads: DataFrame, root: str, ingest_date: str) -> None:
-    """Append raw payloads under ingest_date=/region_code=/range_start=.
+    """Land raw payloads under ingest_date=/region_code=/range_start=; landing one of
+    these again replaces it, so the newest landing of a day counts.
 
     ``payloads``: region_code, range_start, and the payload fields (daily, ...). The
     range start in the path keeps two same-day backfills of one region apart.
     """
     (
         payloads.withColumn("ingest_date", F.lit(ingest_date))
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("ingest_date", "region_code", "range_start")
         .json(root)
     )
 
 
 def land_bronze_agriculture(rows: DataFrame, root: str, ingest_date: str, source: str) -> None:
-    """Append the CSV drop under ingest_date=/source=, header, every field quoted."""
+    """Land the CSV drop under ingest_date=/source=, header, every field quoted; a
+    repeated landing of the same day and source replaces the earlier one."""
     (
         rows.withColumn("ingest_date", F.lit(ingest_date))
         .withColumn("source", F.lit(source))
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("ingest_date", "source")
         .option("header", True)
         .option("quoteAll", True)
+        .option("escape", '"')
         .csv(root)
     )
 
 
-def write_silver_weather(df: DataFrame, path: str) -> None:
+def write_silver_weather(df: DataFrame, path: str, full: bool = False) -> None:
     """Silver weather as Parquet partitioned by ``year``, rows sorted by region and
-    day inside each file (the (region, date) access path). With dynamic partition
-    overwrite only the years present in ``df`` are replaced."""
+    day inside each file (the (region, date) access path). A ``full`` recompute
+    replaces the whole table; otherwise only the years present in ``df`` are replaced.
+    Each month goes to one task, so a year has at most twelve files."""
     out = df if "year" in df.columns else df.withColumn("year", F.year("observation_date"))
     (
-        out.sortWithinPartitions("region_code", "observation_date")
+        out.repartition("year", F.month("observation_date"))
+        .sortWithinPartitions("year", "region_code", "observation_date")
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if full else "dynamic")
         .partitionBy("year")
         .parquet(path)
     )

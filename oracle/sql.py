@@ -379,7 +379,7 @@ select region_code, count(*) as rows from clean_agri c
 where region_code is not null and region_code not in (select region_code from dim_region) group by region_code""")
 
 ORACLE["missing_regions"] = with_ctes(["clean_agri", "dim_region"], """
-select region_code from dim_region except select region_code from clean_agri where annee = 1999""")
+select region_code from dim_region except select region_code from clean_agri""")
 
 # --- planning -----------------------------------------------------------------------------------------------
 

@@ -21,7 +21,7 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(entry.oracle_sql()) >= set(entry.QUERIES) and set(entry.queries()) >= set(entry.oracle_sql())
 
 
 def normalise(rows):

@@ -158,3 +158,28 @@ def test_fixed_text_matches_python_rounding(spark):
     for d in range(5):
         got = [r[0] for r in df.select(display.fixed_text(F.col("v"), d)).collect()]
         assert got == [f"{v:.{d}f}" for v in vals], d
+
+
+def test_parsers_take_any_unicode_space_and_no_type_suffix(spark):
+    nb = " "
+    got = col_values(spark, [nb + "2010", "2010" + nb + "/" + nb + "2011", "\t2010\t", "2010d", "2010f", "2.01e3"], numbers.parse_year)
+    assert got == [2010, 2010, 2010, None, None, 2010]
+    assert col_values(spark, ["12d", "12f", nb + "12,5", "1 234,5"], numbers.try_parse_decimal) == [None, None, 12.5, 1234.5]
+
+
+@pytest.mark.parametrize("text", ["2200000000", "3000000000"])
+def test_a_year_beyond_the_column_raises(spark, text):
+    assert col_values(spark, ["2100000000"], numbers.parse_year) == [2_100_000_000]
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        col_values(spark, [text], numbers.parse_year)
+
+
+def test_a_number_with_a_type_suffix_raises(spark):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        col_values(spark, ["12d"], numbers.parse_decimal)
+
+
+def test_labels_of_all_alphabets(spark):
+    got = col_values(spark, ["Al Ḥoceïma", "ﬁn ĳs", "Ｆès"], labels.normalize_label)
+    assert got == ["al hoceima", "fin ijs", "fes"]
+    assert col_values(spark, [" ma-01 "], lambda c: labels.code_or_null(c, "^MA-[0-9]{2}$")) == ["MA-01"]
