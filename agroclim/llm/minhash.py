@@ -17,10 +17,12 @@ Two documents are linked if their sets' Jaccard similarity is at least 80 %.
    the components. In further rounds a member of each list's largest component meets the
    members outside of it, as long as that at least halves the pairs left.
 5. The pairs left, of members in different components, are all tested, but for those that
-   the pivot rules out: agreement with it and distance from it both obey the triangle
-   inequality, so a pair differing by more than COORDINATES - MATCHES in the one or more
-   than 0.2 in the other cannot be linked. So groups of copies and near copies cost a few
-   stars each, not their square, and nothing is capped.
+   a bound rules out, each in the first list that holds both. Agreement with the pivot and
+   distance from it obey the triangle inequality, so a pair differing by more than
+   COORDINATES - MATCHES in the one or more than 0.2 in the other cannot be linked. Two sets
+   meet in no more shingles than either shares with any other text left, nor in more than
+   the smaller counts of such shingles, summed over 64 buckets. The bounds are exact:
+   nothing is capped and no link lost. The bounds are tested pair by pair inside the join.
 
 The chance to miss a link of similarity 0.8 is that of a binomial (64, 0.8) below 36,
 about 4e-6; links above 0.85 are missed with less than 1e-8.
@@ -47,6 +49,7 @@ from agroclim.llm.common import prepare, stored, table
 COORDINATES = 64
 MATCHES = 36
 PERCENT = 80
+LEVELS = range(1, 9)
 
 _SEEDS = np.random.default_rng(20).integers(1, 1 << 63, size=(COORDINATES, 2), dtype=np.uint64) | np.uint64(1)
 _SIGNED = "doc_id long, n_shingles long, set_hash binary, tokens array<long>"
@@ -195,6 +198,62 @@ def _pair(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def _sets(width: int):
+    def run(batches):
+        for batch in batches:
+            for texts in textarrow.chunks(batch.column(1)):
+                sets = [pa.array(s.view(np.int64)) for s in shingles(texts, width)]
+                first = np.cumsum([0, *map(len, sets)])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(texts.first, len(texts)), pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.concat_arrays(sets))], names=["doc", "shingles"])
+
+    return run
+
+
+def profiles(texts: DataFrame, width: int) -> DataFrame:
+    """Per doc of ``texts`` that can have a link among them: shared, above and levels.
+
+    shared counts the shingles that another text has too; a text with fewer than PERCENT
+    of its shingles shared has no link. They are also counted in 64 buckets by hash: bit b
+    of a level is set if bucket b holds at least that many, above sums what exceeds the
+    last level.
+    """
+    sets = texts.mapInArrow(_sets(width), "doc long, shingles array<long>")
+    each = stored(sets.select("doc", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")))
+    shared = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")).filter("df > 1").select("shingle")
+    counts = each.join(shared, "shingle").groupBy("doc", "n", F.pmod("shingle", F.lit(64)).cast("int").alias("bucket")).agg(F.count(F.lit(1)).alias("k"))
+    bit = F.expr("shiftleft(1L, bucket)")
+    levels = [F.coalesce(F.bit_or(F.when(F.col("k") >= level, bit)), F.lit(0).cast("long")).alias(f"level{level}") for level in LEVELS]
+    own = counts.groupBy("doc", "n").agg(F.sum("k").alias("shared"), F.sum(F.greatest(F.col("k") - LEVELS[-1], F.lit(0))).alias("above"), *levels)
+    return own.filter(100 * F.col("shared") >= PERCENT * F.col("n")).drop("n")
+
+
+def _rest(member: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """The pairs (a, b) of different components in a list of ``member`` that no bound rules out, each once."""
+    docs = member.groupBy("doc").agg(F.collect_list("token").alias("own"))  # at most COORDINATES tokens
+    docs = docs.join(profiles(texts.join(member.select("doc").distinct(), "doc", "left_semi"), width), "doc")
+    member = stored(member.join(docs, "doc"))
+
+    kept = ["shared", "above", *[f"level{level}" for level in LEVELS]]
+
+    def side(name: str) -> DataFrame:
+        return member.select("token", *[F.col(c).alias(f"{name}_{c}") for c in ("doc", "comp", "top", "size", "agree", "distance", "own", *kept)])
+
+    both = side("p").filter("p_comp <> p_top").join(side("q"), "token")
+    enough = PERCENT * (F.col("p_size") + F.col("q_size"))  # of (100 + PERCENT) times the shingles in common
+    met = [F.bit_count(F.col(f"p_level{level}").bitwiseAND(F.col(f"q_level{level}"))) for level in LEVELS]
+    common = functools.reduce(lambda x, y: x + y, met, F.least("p_above", "q_above"))
+    near = [
+        F.col("p_comp") != F.col("q_comp"),
+        (F.col("q_comp") == F.col("q_top")) | (F.col("p_doc") < F.col("q_doc")),
+        (100 + PERCENT) * F.least("p_shared", "q_shared") >= enough,
+        F.coalesce(F.abs(F.col("p_agree") - F.col("q_agree")) <= COORDINATES - MATCHES, F.lit(True)),
+        F.coalesce(F.abs(F.col("p_distance") - F.col("q_distance")) <= 1 - PERCENT / 100 + 1e-9, F.lit(True)),
+        (100 + PERCENT) * common >= enough,
+        F.col("token") == F.array_min(F.array_intersect("p_own", "q_own")),  # in the first of the lists that hold both
+    ]
+    return both.filter(functools.reduce(lambda x, y: x & y, near)).select(*_pair("p_doc", "q_doc"))
+
+
 def links(classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """(doc, comp) of every class that is linked with another."""
     lists = stored(postings(classes))
@@ -230,11 +289,7 @@ def links(classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
         found.append(stored(_compared(new, texts, width)).filter("linked").select("a", "b"))
         comps = components(functools.reduce(DataFrame.union, found))
 
-    x = outside.select("token", F.col("doc").alias("p"), F.col("comp").alias("pc"), F.col("size").alias("ps"), F.col("agree").alias("pa"), F.col("distance").alias("pd"))
-    y = member.select("token", F.col("doc").alias("q"), F.col("comp").alias("qc"), F.col("size").alias("qs"), F.col("agree").alias("qa"), F.col("distance").alias("qd"))
-    near = _alike("ps", "qs") & F.coalesce(F.abs(F.col("pa") - F.col("qa")) <= COORDINATES - MATCHES, F.lit(True)) & F.coalesce(F.abs(F.col("pd") - F.col("qd")) <= 1 - PERCENT / 100 + 1e-9, F.lit(True))
-    rest = x.join(y, "token").filter("pc <> qc").filter(near).select(*_pair("p", "q")).distinct()
-    found.append(stored(_compared(_agreement(rest, classes).filter(may), texts, width)).filter("linked").select("a", "b"))
+    found.append(stored(_compared(_agreement(_rest(member, texts, width), classes).filter(may), texts, width)).filter("linked").select("a", "b"))
     return components(functools.reduce(DataFrame.union, found))
 
 
