@@ -103,6 +103,46 @@ def test_near_duplicates_equal_brute_force(docs, nothing, rows):
     assert kept.columns == docs.columns
 
 
+def test_pairs_left_lose_no_link(spark):
+    """A group of edited copies, most of them linked with few others, takes the bounded join of the pairs left."""
+    rng = random.Random(11)
+    base = [f"w{k}" for k in range(120)]
+    texts_ = {}
+    for doc in range(160):
+        copy = list(base)
+        for k in range(rng.randint(0, 9)):
+            copy[rng.randrange(len(copy))] = rng.choice(["x", "y", f"own{doc}_{k}"])
+        texts_[doc] = " ".join(copy)
+    sets = {doc: shingles(text, 4) for doc, text in texts_.items()}
+    root = {doc: doc for doc in sets}
+
+    def find(k):
+        return k if root[k] == k else find(root[k])
+
+    for x in sets:
+        for y in range(x + 1, len(sets)):
+            if 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y]):
+                low, high = sorted((find(x), find(y)))
+                root[high] = low
+    got = minhash.near_duplicates(spark.createDataFrame(list(texts_.items()), "doc_id long, text string"), 4)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == {doc: find(doc) for doc in sets}
+
+
+def test_profiles_bound_every_overlap(spark):
+    rng = random.Random(3)
+    texts_ = {doc: " ".join(f"w{k if rng.random() > 0.04 else rng.randrange(9999)}" for k in range(400)) for doc in range(12)}
+    sets = {doc: shingles(text, 4) for doc, text in texts_.items()}
+    made = {r["doc"]: r for r in minhash.profiles(spark.createDataFrame(list(texts_.items()), "doc long, text string"), 4).collect()}
+    for x, own in sets.items():
+        best = max(len(own & other) for y, other in sets.items() if y != x)
+        assert x in made or 100 * best < 80 * len(own)
+        for y in made:
+            if x < y and x in made:
+                p, q = made[x], made[y]
+                common = min(p["above"], q["above"]) + sum(bin(p[f"level{k}"] & q[f"level{k}"] & (2**64 - 1)).count("1") for k in minhash.LEVELS)
+                assert len(own & sets[y]) <= common <= min(p["shared"], q["shared"])
+
+
 def test_components_join_chains(spark):
     pairs = [(k, k + 1) for k in range(0, 40)] + [(100, 101), (105, 101)]
     got = dict(minhash.components(spark.createDataFrame(pairs, "a long, b long")).collect())
