@@ -21,6 +21,8 @@ from agroclim.schemas import BRONZE_AGRICULTURE, BRONZE_WEATHER, DIM_REGION
 
 WEATHER_LAYOUT = "ingest_date=*/region_code=*/range_start=*/*.json"
 AGRICULTURE_LAYOUT = "ingest_date=*/source=*/*.csv"
+# A quoted field doubles its quotes and may hold line breaks.
+QUOTED = {"quote": '"', "escape": '"', "multiLine": True}
 SEPARATORS = (",", ";", "\t", "|")
 # Newest ingestion first for weather payloads: ingest date, request range, file.
 # Kept on silver rows by the batch job and the stream alike (provenance + merge order).
@@ -50,6 +52,7 @@ def read_bronze_agriculture(spark: SparkSession, root: str) -> DataFrame:
         spark.read.schema(BRONZE_AGRICULTURE)
         .option("header", True)
         .option("encoding", "UTF-8")
+        .options(**QUOTED)
         .option("basePath", base)
         .csv(f"{base}/{AGRICULTURE_LAYOUT}")
     )
@@ -109,6 +112,7 @@ def read_tabular_csv(spark: SparkSession, paths: Sequence[str] | str) -> DataFra
             .option("sep", g["sep"])
             .option("encoding", g["encoding"])
             .option("inferSchema", False)
+            .options(**QUOTED)
             .csv(list(g["paths"]))
         )
         df = df.select(*[na_to_null(F.col(f"`{c}`")).alias(c) for c in df.columns])

@@ -108,3 +108,14 @@ def test_bom_header_is_recognised(spark, tmp_path):
     path.write_bytes(("\ufeff" + HEADER + "\nRabat,2020,1,2,3\n").encode("utf-8"))
     df = bronze.read_tabular_csv(spark, str(path))
     assert df.columns[0] == "region_code" and df.first().region_code == "Rabat"
+
+
+def test_quoted_fields_keep_quotes_and_line_breaks(spark, tmp_path):
+    drop = write(tmp_path / "q.csv", f'{HEADER}\n"Oriental ""est"", nord",2020,1,2,3\n"two\nlines",2021,4,5,6\n')
+    back = bronze.read_tabular_csv(spark, drop).collect()
+    assert sorted(r[0] for r in back) == ['Oriental "est", nord', "two\nlines"]
+    fields = [f.name for f in bronze.BRONZE_AGRICULTURE if f.name not in ("ingest_date", "source")]
+    rows = spark.createDataFrame([tuple('a "b", c\nd' for _ in fields)], ", ".join(f"{x} string" for x in fields))
+    sinks.land_bronze_agriculture(rows, str(tmp_path / "agri"), "2026-10-01", "datagovma")
+    landed = bronze.read_bronze_agriculture(spark, str(tmp_path / "agri")).select(*fields).collect()
+    assert [tuple(r) for r in landed] == [tuple('a "b", c\nd' for _ in fields)]
