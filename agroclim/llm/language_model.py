@@ -1,18 +1,22 @@
 """Language-model scores: a log-bilinear model trained with noise-contrastive estimation.
 
-The word before last and the last word predict the next: with R1, R2 the words'
-context vectors and Q, b the target vectors and biases, the score of w after (u, v)
-is (R1[u] + R2[v]) . Q[w] + b[w], normalised over the ``VOCABULARY`` most frequent
-training tokens and ``RARE`` classes of all others, dealt by their last bytes. As the score is a sum of two
-look-ups, batched matrix products give tables M1 = R1 Q', M2 = R2 Q' + b and all
-normalisers at once: Z[u, v] = log(exp(M1) exp(M2)'). A rare token gets its class's
-probability times its share of it, (c + 1) / (N_class + V_class + 1), so that the
-probabilities of all tokens, an unknown one per class included, sum to at most one.
+The word before last and the last word predict the next: R1, R2 hold the words' context
+vectors, Q their target vectors with the bias as last column. Every training token
+counted ``MIN_COUNT`` times or more has its own rows, so the vocabulary grows with the
+corpus; rarer ones share ``RARE`` classes, dealt by their last bytes, and get their class's
+probability times their share of it, (c + 1) / (N_class + V_class + 1).
+
+Above ``FLAT`` rows the probability is factored: rows, most frequent first, are cut into
+groups of ``fan`` (about the cube root), these again, and P(w | u, v) is the product of the
+softmax of each of the three levels over the members of w's group there, all with own rows
+of Q. Each normaliser is a batched matrix product per group over the tokens that meet it.
+The probabilities of all tokens, an unknown one per class included, sum to at most one.
 
 1. Tokens of the training documents are counted (per Arrow batch, then by key).
 2. Every partition trains the model on all its texts from the same start by AdaGrad
-   on noise-contrastive estimation (numpy); the parameters are averaged, weighted by
-   tokens, as sums per parameter in Spark. This repeats ``ROUNDS`` times.
+   on noise-contrastive estimation at each level (numpy) and gives the changes of the rows
+   it met; Spark averages them per block of rows, weighted by how often each was met.
+   This repeats ``ROUNDS`` times.
 3. One pass scores all texts. Counts of the ``HOT`` most frequent tokens are broadcast,
    a bound in number and bytes; rarer tokens leave as (doc, word, n), meet their counts
    in a join and are added per document.
@@ -37,14 +41,17 @@ from agroclim.llm import textarrow
 from agroclim.llm.common import prepare, stored, table
 
 FOLDS, HELD_OUT = 7, 2
-VOCABULARY = 959   # with the classes of rare tokens and the start: 1024
+MIN_COUNT = 16
+FLAT = 1024
 RARE = 64
 SUFFIX = 3
 WIDTH = 16
-NOISE = 16
+NOISE = 16  # per batch at the first level; below it NOISE_OF_GROUP for each token
+NOISE_OF_GROUP = 2
 BATCH = 8192
-RATE = 0.03
+RATE = 0.2
 ROUNDS = 1
+BLOCK = 2048
 HOT = 1 << 19
 HOT_BYTES = 48
 END = b" "  # no word holds a blank
@@ -71,27 +78,69 @@ def token_counts(docs: DataFrame) -> DataFrame:
 
 
 class Model:
-    """Parameters for V classes: those of rare tokens, the vocabulary, last the start (never a target)."""
+    """Parameters for V rows: classes of rare tokens, the vocabulary, last the start (never a target)."""
 
     def __init__(self, counts: np.ndarray, seed: int = 1):
         v = len(counts)
         rng = np.random.default_rng(seed)
         self.noise = (counts + 1.0) / (counts + 1.0).sum()
-        self.b = np.log(self.noise).astype(np.float32)
-        self.r1, self.r2, self.q = (rng.normal(0, 0.05, (v, WIDTH)).astype(np.float32) for _ in range(3))
-
-    def flat(self) -> np.ndarray:
-        return np.concatenate([self.r1.ravel(), self.r2.ravel(), self.q.ravel(), self.b])
+        self.fan = v if v <= FLAT else math.ceil(v ** (1 / 3))
+        self.strides = [1] if v <= FLAT else [self.fan**2, self.fan, 1]
+        self.r1, self.r2 = (rng.normal(0, 0.05, (v, WIDTH)).astype(np.float32) for _ in range(2))
+        self.q, self.mass = [], []
+        for k, stride in enumerate(self.strides):
+            mass = np.add.reduceat(self.noise, np.arange(0, v, stride))
+            of_group = np.add.reduceat(mass, np.arange(0, len(mass), self.fan)) if k else mass.sum()[None]
+            bias = np.log(mass / np.repeat(of_group, self.fan if k else len(mass))[:len(mass)])
+            self.q.append(np.column_stack([rng.normal(0, 0.05, (len(mass), WIDTH)), bias]).astype(np.float32))
+            self.mass.append(mass)
+
+    def arrays(self) -> list[np.ndarray]:
+        return [self.r1, self.r2, *self.q]
+
+    def load(self, arrays: list[np.ndarray]) -> None:
+        self.r1, self.r2, *self.q = arrays
+
+    def context(self, u: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """One vector per token, with a 1 for the bias."""
+        out = np.ones((len(u), WIDTH + 1), dtype=np.float32)
+        np.add(self.r1[u], self.r2[w], out=out[:, :WIDTH])
+        return out
 
-    def load(self, flat: np.ndarray) -> None:
-        flat = flat.astype(np.float32)
-        v = len(self.b)
-        self.r1, self.r2, self.q = (flat[k * v * WIDTH:(k + 1) * v * WIDTH].reshape(v, WIDTH) for k in range(3))
-        self.b = flat[3 * v * WIDTH:]
+    def group(self, level: int, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and past-the-last member of each node's group."""
+        n = len(self.q[level])
+        if level == 0:
+            return np.zeros_like(node), np.full_like(node, n)
+        first = node // self.fan * self.fan
+        return first, np.minimum(first + self.fan, n)
+
+    def log_probability(self, u: np.ndarray, w: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Natural logs of P(target | u, w), normalised exactly at every level."""
+        context, out = self.context(u, w), np.zeros(len(target))
+        for level, stride in enumerate(self.strides):
+            node = target // stride
+            first, past = self.group(level, node)
+            order = np.argsort(first, kind="stable")
+            first, past, node, own = first[order], past[order], node[order], context[order]
+            heads = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]])) if len(first) else []
+            logs = np.empty(len(target), dtype=np.float32)
+            for a, b in zip(heads, [*heads[1:], len(first)], strict=True):
+                q = self.q[level][first[a]:past[a]].T
+                for c in range(a, b, BATCH):
+                    d = min(c + BATCH, b)
+                    scores = own[c:d] @ q
+                    top = scores.max(1)
+                    wanted = scores[np.arange(d - c), node[c:d] - first[a]]
+                    scores -= top[:, None]
+                    np.exp(scores, out=scores)
+                    logs[c:d] = wanted - top - np.log(scores.sum(1))
+            out[order] += logs
+        return out
 
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
-        """log P(w | u, v) = M1[u, w] + M2[v, w] - Z[u, v]: both tables and Z, natural logs."""
-        r1, r2, q, b = (x.astype(np.float64) for x in (self.r1, self.r2, self.q, self.b))
+        """Of a model of one level, log P(w | u, v) = M1[u, w] + M2[v, w] - Z[u, v]: both tables and Z, natural logs."""
+        r1, r2, q, b = (x.astype(np.float64) for x in (self.r1, self.r2, self.q[-1][:, :WIDTH], self.q[-1][:, WIDTH]))
         m1 = r1 @ q.T
         m2 = r2 @ q.T + b
         top1, top2 = m1.max(1, keepdims=True), m2.max(1, keepdims=True)
@@ -100,45 +149,59 @@ class Model:
 
 
 class Trainer:
-    """AdaGrad on noise-contrastive estimation; each batch shares its noise words."""
+    """AdaGrad on noise-contrastive estimation; only the rows that a batch meets are touched."""
 
     def __init__(self, model: Model, seed: int):
         self.m, self.rng, self.tokens = model, np.random.default_rng(seed), 0
-        self.sums = [np.full_like(x, 1e-8) for x in (model.r1, model.r2, model.q, model.b)]
-
-    def _update(self, which: int, parameter: np.ndarray, gradient: np.ndarray) -> None:
-        self.sums[which] += gradient * gradient
-        parameter += RATE * gradient / np.sqrt(self.sums[which])
-
-    @staticmethod
-    def _scatter(at: np.ndarray, rows: np.ndarray, v: int) -> np.ndarray:
-        """Sums of ``rows`` by their place ``at``."""
-        order = np.argsort(at.astype(np.uint16), kind="stable")
-        place = at[order]
-        heads = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-        out = np.zeros((v, rows.shape[1]), dtype=rows.dtype)
-        out[place[heads]] = np.add.reduceat(rows[order], heads, axis=0)
-        return out
+        self.sums = [np.full_like(x, 0.1) for x in model.arrays()]
+        self.met = [np.zeros(len(x), dtype=np.float32) for x in model.arrays()]
+        self.slot = np.zeros(max(map(len, model.arrays())), dtype=np.int32)
+
+    def _update(self, which: int, at: np.ndarray, rows: np.ndarray) -> None:
+        """Add up ``rows`` by their place ``at`` and take a step there."""
+        n = len(at)
+        self.slot[at] = np.arange(n, dtype=np.int32)
+        held = self.slot[at]  # one occurrence stands for all of its place
+        stands = np.zeros(n, dtype=bool)
+        stands[held] = True
+        number = (np.cumsum(stands) - 1)[held]
+        order = np.argsort(number.astype(np.uint16) if n < 1 << 16 else number, kind="stable")
+        sizes = np.bincount(number)
+        gradient = np.add.reduceat(rows[order], np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0)
+        place = at[stands]
+        self.met[which][place] += sizes
+        sums = self.sums[which][place] + gradient * gradient
+        self.sums[which][place] = sums
+        self.m.arrays()[which][place] += RATE * gradient / np.sqrt(sums)
 
     def step(self, u: np.ndarray, w: np.ndarray, target: np.ndarray) -> None:
-        m, v = self.m, len(self.m.b)
-        noise = self.rng.choice(v, NOISE, p=m.noise)
-        log_noise = np.log(NOISE * m.noise).astype(np.float32)
-        context = m.r1[u] + m.r2[w]
-        wanted = m.q[target]
-        real = 1 / (1 + np.exp(-(np.einsum("ij,ij->i", context, wanted) + m.b[target] - log_noise[target])))
-        fake = 1 / (1 + np.exp(-(context @ m.q[noise].T + m.b[noise] - log_noise[noise])))
-        up = 1 - real
-        g_context = up[:, None] * wanted - fake @ m.q[noise]
-        g_q = self._scatter(target, up[:, None] * context, v)
-        np.add.at(g_q, noise, -fake.T @ context)
-        g_b = np.bincount(target, up, v).astype(np.float32)
-        np.add.at(g_b, noise, -fake.sum(0))
-        scale = np.float32(1 / len(target))
-        self._update(0, m.r1, self._scatter(u, g_context, v) * scale)
-        self._update(1, m.r2, self._scatter(w, g_context, v) * scale)
-        self._update(2, m.q, g_q * scale)
-        self._update(3, m.b, g_b * scale)
+        m = self.m
+        context = m.context(u, w)
+        g_context, updates = np.zeros((len(target), WIDTH), dtype=np.float32), []
+        for level, stride in enumerate(m.strides):
+            q, node = m.q[level], target // stride
+            wanted = q[node]
+            if level == 0:
+                noise = self.rng.choice(len(q), NOISE, p=m.mass[0])
+                log_noise = np.log(NOISE * m.mass[0]).astype(np.float32)
+                own, drawn = log_noise[node], log_noise[noise]
+                fake = 1 / (1 + np.exp(-(context @ q[noise].T - drawn)))
+                g_noise = -fake.T @ context
+                pull = fake @ q[noise]
+            else:
+                first, past = m.group(level, node)
+                noise = first[:, None] + (self.rng.random((len(node), NOISE_OF_GROUP), dtype=np.float32) * (past - first)[:, None]).astype(np.int64)
+                noise = np.minimum(noise, past[:, None] - 1)
+                own = np.log(NOISE_OF_GROUP / (past - first)).astype(np.float32)
+                other = q[noise]
+                fake = 1 / (1 + np.exp(-(np.einsum("ij,ikj->ik", context, other) - own[:, None])))
+                g_noise = (-fake[:, :, None] * context[:, None, :]).reshape(-1, WIDTH + 1)
+                pull = np.einsum("ik,ikj->ij", fake, other)
+            up = 1 - 1 / (1 + np.exp(-(np.einsum("ij,ij->i", context, wanted) - own)))
+            g_context += (up[:, None] * wanted - pull)[:, :WIDTH]
+            updates.append((level + 2, np.concatenate([node, noise.ravel()]), np.concatenate([up[:, None] * context, g_noise])))
+        for update in [(0, u, g_context), (1, w, g_context), *updates]:
+            self._update(*update)
         self.tokens += len(target)
 
 
@@ -165,13 +228,14 @@ def _classes(texts: textarrow.Texts, place: dict[bytes, int], end: int, start: i
     return listed, codes, is_word, token, second, before, np.repeat(np.arange(n), counts)
 
 
-def _train(place: dict[bytes, int], counts: np.ndarray, start_from):
-    end, start = place[END], len(counts) - 1
-
+def _train(name: str, shared):
     def run(batches):
+        place, counts, arrays = _loaded(name, shared)
+        end, start = place[END], len(counts) - 1
         model = Model(counts)
-        if start_from is not None:
-            model.load(start_from.value.copy())
+        if arrays is not None:
+            model.load([x.copy() for x in arrays])
+        origin = [x.copy() for x in model.arrays()]
         trainer = Trainer(model, 7)
         for batch in batches:
             for texts in textarrow.chunks(batch.column(0)):
@@ -180,47 +244,75 @@ def _train(place: dict[bytes, int], counts: np.ndarray, start_from):
                 for k in range(0, len(order), BATCH):
                     own = order[k:k + BATCH]
                     trainer.step(second[own], before[own], token[own])
-        if trainer.tokens:
-            yield pa.RecordBatch.from_arrays([pa.array([float(trainer.tokens)]), pa.array([model.flat().tolist()], pa.list_(pa.float64()))], names=["weight", "flat"])
+        for which, (x, x0, met) in enumerate(zip(model.arrays(), origin, trainer.met, strict=True)):
+            for first in range(0, len(x), BLOCK):
+                at = np.flatnonzero(met[first:first + BLOCK])
+                if len(at):
+                    change = (x[first + at] - x0[first + at]).astype(np.float16)
+                    values = [which, first, at.astype(np.int16).tobytes(), met[first + at].tobytes(), change.tobytes()]
+                    yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(values, _CHANGED, strict=True)], schema=_CHANGED)
 
     return run
 
 
+_CHANGED = pa.schema([("which", pa.int32()), ("first", pa.int32()), ("at", pa.binary()), ("met", pa.binary()), ("change", pa.binary())])
+
+
+def _mean(group: pa.Table) -> pa.Table:
+    """The mean change of a block of rows, weighted by how often each partition met a row."""
+    total, weight = None, np.zeros(BLOCK)
+    for at, met, change in zip(*(group.column(c).to_pylist() for c in ("at", "met", "change")), strict=True):
+        at, met = np.frombuffer(at, np.int16), np.frombuffer(met, np.float32).astype(np.float64)
+        change = np.frombuffer(change, np.float16).reshape(len(at), -1).astype(np.float64)
+        if total is None:
+            total = np.zeros((BLOCK, change.shape[1]))
+        total[at] += met[:, None] * change
+        weight[at] += met
+    total /= np.maximum(weight, 1)[:, None]
+    return pa.table({"which": group.column("which").slice(0, 1), "first": group.column("first").slice(0, 1), "change": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+
+
 def train(docs: DataFrame, place: dict[bytes, int], counts: np.ndarray, rounds: int = ROUNDS) -> Model:
     """The model averaged over partitions that each learn from all their texts."""
-    model, shared = Model(counts), None
+    model, arrays = Model(counts), None
     for _ in range(rounds):
-        learnt = docs.select("text").mapInArrow(_train(place, counts, shared), "weight double, flat array<double>")
-        each = learnt.select("weight", F.posexplode("flat").alias("k", "x"))
-        mean = each.groupBy("k").agg((F.sum(F.col("weight") * F.col("x")) / F.sum("weight")).alias("x"))
-        rows = mean.toArrow()  # one row per parameter
-        if not rows.num_rows:
-            return model
-        flat = np.empty(rows.num_rows)
-        flat[rows.column("k").to_numpy()] = rows.column("x").to_numpy()
-        model.load(flat)
-        shared = docs.sparkSession.sparkContext.broadcast(flat)
+        shared = docs.sparkSession.sparkContext.broadcast((place, counts, arrays))
+        learnt = docs.select("text").mapInArrow(_train(_name(docs, shared), shared), "which int, first int, at binary, met binary, change binary")
+        means = learnt.groupBy("which", "first").applyInArrow(_mean, "which int, first int, change binary")
+        arrays = model.arrays()
+        for which, first, change in zip(*(c.to_pylist() for c in means.toArrow().columns), strict=True):  # one row per block of parameters
+            own = arrays[which][first:first + BLOCK]
+            own += np.frombuffer(change, np.float32).reshape(BLOCK, -1)[:len(own)]
     return model
 
 
 _LOADED: dict[str, tuple] = {}  # the last broadcast of this worker
 
+
+def _name(docs: DataFrame, shared) -> str:
+    return f"{docs.sparkSession.sparkContext.applicationId}-{shared._jbroadcast.id()}"
+
+
+def _loaded(name: str, shared) -> tuple:
+    if name not in _LOADED:
+        _LOADED.clear()
+        _LOADED[name] = shared.value
+    return _LOADED[name]
+
+
 _SCORED = "doc_id long, held_out boolean, n_tokens long, known long, base double, score double, words array<binary>, times array<long>"
 
 
 def _score(name: str, shared):
     def run(batches):
-        if name not in _LOADED:
-            _LOADED.clear()
-            _LOADED[name] = shared.value
-        place, tables, z, hot_words, hot_base, hot_rare, end_base, start = _LOADED[name]
+        place, model, hot_words, hot_base, hot_rare, end_base, start = _loaded(name, shared)
         end = place[END]
         for batch in batches:
             ids = batch.column(0)
             for texts in textarrow.chunks(batch.column(2)):
                 listed, codes, is_word, token, second, before, owner = _classes(texts, place, end, start)
                 n = len(texts)
-                logp = tables[0][second, token].astype(np.float64) + tables[1][before, token] - z[second, before]
+                logp = model.log_probability(second, before, token)
                 found = pc.index_in(pa.array(listed, pa.binary()), value_set=hot_words)
                 miss = np.asarray(found.is_null())
                 at = found.fill_null(0).to_numpy(zero_copy_only=False)
@@ -252,30 +344,28 @@ def score_documents(docs: DataFrame) -> DataFrame:
     n_all, v_all = int(total["n"]), int(total["v"])
     hot = counts.filter(F.length("word") <= HOT_BYTES).orderBy(F.desc("n"), "word").limit(HOT).toArrow()  # bounded
     hot_words, hot_counts = hot.column("word").combine_chunks(), hot.column("n").to_numpy()
-    top = [w for w in hot_words.slice(0, VOCABULARY).to_pylist() if w != END]
-    place = {w: k for k, w in enumerate(top, RARE)} | {END: len(top) + RARE}
-    n_of = dict(zip(hot_words.slice(0, VOCABULARY).to_pylist(), hot_counts[:VOCABULARY].tolist(), strict=True))
+    listed = counts.filter((F.col("n") >= MIN_COUNT) & (F.col("word") != F.lit(END))).orderBy(F.desc("n"), "word").toArrow()  # the vocabulary
+    top, n_top = listed.column("word").to_pylist(), listed.column("n").to_numpy()
+    place = {END: RARE} | {w: k for k, w in enumerate(top, RARE + 1)}
     ends = counts.filter(F.col("word") == F.lit(END)).first()
     n_end = int(ends["n"]) if ends else 0
     rare_class = F.pmod(F.crc32(F.substring("word", -SUFFIX, SUFFIX)), F.lit(RARE)).cast("int")
     n_rare, v_rare = np.zeros(RARE), np.zeros(RARE)
     for r in counts.groupBy(rare_class.alias("c")).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).collect():  # RARE rows
         n_rare[r["c"]], v_rare[r["c"]] = r["n"], r["v"]
-    for w, n in [*((w, n_of[w]) for w in top), (END, n_end)]:
+    for w, n in [*zip(top, n_top.tolist(), strict=True), (END, n_end)]:
         n_rare[_rare_class(w)] -= n
         v_rare[_rare_class(w)] -= n > 0
-    class_counts = np.concatenate([n_rare, [n_of[w] for w in top], [n_end, 0]])  # the last: start
+    class_counts = np.concatenate([n_rare, [n_end], n_top, [0]])  # the last: start
     spread = n_rare + v_rare + 1
     model = train(training, place, class_counts)
-    tables, z = model.tables()
 
     base = np.log10((hot_counts + 1) / (n_all + v_all + 1))
     rare = np.log10((hot_counts + 1) / spread[np.fromiter((_rare_class(w) for w in hot_words.to_pylist()), np.int64, len(hot_words))])
-    rare[[k for k, w in enumerate(hot_words.slice(0, VOCABULARY + 1).to_pylist()) if w in place]] = 0.0
+    rare[hot_counts >= MIN_COUNT] = 0.0  # these have their own rows
     end_base = (math.log10((n_end + 1) / (n_all + v_all + 1)), n_end)
-    shared = spark.sparkContext.broadcast((place, tables, z, hot_words, base, rare, end_base, len(class_counts) - 1))
-    name = f"{spark.sparkContext.applicationId}-{shared._jbroadcast.id()}"
-    scored = rows.mapInArrow(_score(name, shared), _SCORED).withColumn("row", F.monotonically_increasing_id())
+    shared = spark.sparkContext.broadcast((place, model, hot_words, base, rare, end_base, len(class_counts) - 1))
+    scored = rows.mapInArrow(_score(_name(docs, shared), shared), _SCORED).withColumn("row", F.monotonically_increasing_id())
 
     # Rarer tokens: a row each, and one of the document itself under a key that no word has.
     own = F.array(F.struct(F.concat(F.lit(" "), F.col("row").cast("string")).cast("binary").alias("word"), F.lit(0).cast("long").alias("times")))
@@ -288,7 +378,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
         F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), F.max("n_tokens").alias("n_tokens"),
         (F.max("known") + F.sum(F.when(c > 0, F.col("times")).otherwise(0))).alias("n_known"),
         (F.max("base") + F.sum(F.col("times") * F.log10((c + 1) / F.lit(float(n_all + v_all + 1))))).alias("base_score"),
-        (F.max("score") + F.sum(F.col("times") * F.log10((c + 1) / F.get(F.array(*[F.lit(float(x)) for x in spread]), rare_class)))).alias("score"))
+        (F.max("score") + F.sum(F.when(c < MIN_COUNT, F.col("times")).otherwise(0) * F.log10((c + 1) / F.get(F.array(*[F.lit(float(x)) for x in spread]), rare_class)))).alias("score"))
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n_all).cast("long").alias("train_tokens"), "base_score", "score")
 
 

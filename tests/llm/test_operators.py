@@ -277,6 +277,35 @@ def test_language_model_base_and_normalisation(docs, nothing, rows):
     assert (logp[u, u, (u * 7) % 39].mean()) > np.log(model.noise)[(u * 7) % 39].mean() + 0.5
 
 
+def test_language_model_gives_every_counted_token_its_own_rows(spark):
+    # Far more words than any fixed list held, alike in their last bytes; each is followed by one other word.
+    n = 1500
+    word = [f"w{k:04d}zzz" for k in range(n)]
+    follower = np.random.default_rng(1).permutation(n)
+    rng = random.Random(3)
+    made = [" ".join(x for _ in range(150) for k in [rng.randrange(n)] for x in (word[k], word[follower[k]])) for _ in range(600)]
+    probe = [" ".join(x for k in range(0, n, 5) for x in (word[k], word[follower[(k + shift) % n]])) for shift in (0, 700)]
+    held = [k for k in range(10000, 10100) if zlib.crc32(str(k).encode()) % 7 == 2][:2]
+    frame = spark.createDataFrame([*enumerate(made), *zip(held, probe, strict=True)], "doc_id long, text string").repartition(2)
+    got = {r["doc_id"]: r["score"] / r["n_tokens"] for r in language_model.score_documents(frame).filter(F.col("doc_id").isin(held)).collect()}
+    assert got[held[0]] > got[held[1]] + 0.05
+
+
+def test_language_model_factored_normalisation():
+    n = 3001
+    model = language_model.Model(np.arange(n, 0, -1.0))
+    assert len(model.strides) == 3 and model.r1.shape == model.r2.shape == (n, language_model.WIDTH) and len(model.q[-1]) == n
+    trainer = language_model.Trainer(model, 1)
+    rng = np.random.default_rng(2)
+    for _ in range(30):
+        u = rng.integers(0, n, 4000)
+        trainer.step(u, u, (u * 7) % n)
+    for u, w in ((0, 1), (n - 1, 2), (1234, 3000)):
+        logp = model.log_probability(np.full(n, u), np.full(n, w), np.arange(n))
+        assert math.isclose(np.exp(logp).sum(), 1, abs_tol=1e-4)
+        assert np.isfinite(logp).all()
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(1500, 16)) + 3 * rng.normal(size=(12, 16))[rng.integers(0, 12, 1500)]
