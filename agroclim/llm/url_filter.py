@@ -6,6 +6,12 @@ ones: gradient-boosted trees learn block or allow from their lexical features (l
 depth, digit ratio, entropy, parameter counts, statistics of the host's suffix) and judge
 all others. The trees run as a SQL expression.
 
+Every rule names a suffix, so the labels of a suffix seen under one rule only tell the rule,
+not the page: its statistics are neutral (the block rate of all labelled rows, seen 0). Of
+other suffixes a labelled row gets the rate without the rows of its own fold (by hash of the
+host), shrunk to the rate of all; leaving out its rule's rows instead would give the reverse
+of its label where two rules of a suffix disagree.
+
 The trees are fitted on at most ``SAMPLE`` labelled URLs (those of smallest hash, a
 documented bound); the suffix statistics are sums over all labelled URLs, reduced before
 their shuffle, so a hot host is no hot group.
@@ -26,6 +32,7 @@ from agroclim.llm.common import join_checked, stored, table
 
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 SAMPLE = 20_000
+FOLDS, SHRINK = 5, 20.0
 FEATURES = ("url_length", "host_length", "path_length", "labels", "depth", "digit_ratio", "entropy", "parameters", "signs", "suffix_rate", "suffix_seen")
 
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -71,14 +78,29 @@ def lexical(pages: DataFrame) -> DataFrame:
         (count("[0-9]") / n).alias("digit_ratio"), _entropy(u).alias("entropy"), count("[?&]").alias("parameters"), count("[-_%=]").alias("signs"))
 
 
+def with_suffixes(rows: DataFrame, block: Column) -> tuple[DataFrame, float]:
+    """``rows`` with suffix_rate and suffix_seen (null if neutral), and the block rate of all labelled rows."""
+    fold = F.when(F.col("verdict").isNotNull(), F.pmod(F.xxhash64("host"), F.lit(FOLDS)).cast("int")).otherwise(F.lit(-1))
+    rows = rows.withColumn("fold", fold)
+    labelled = rows.filter("verdict is not null")
+    # a labelled row's suffix is its rule's: no more groups than rules, times folds
+    each = stored(labelled.groupBy("suffix", "fold", "rule").agg(F.sum(block).alias("blocked"), F.count(F.lit(1)).cast("double").alias("n")))
+    whole = each.groupBy("suffix").agg(F.sum("blocked").alias("all_blocked"), F.sum("n").alias("all_n"), F.countDistinct("rule").alias("rules"))
+    total = each.agg(F.coalesce(F.sum("blocked"), F.lit(0.0)).alias("blocked"), F.coalesce(F.sum("n"), F.lit(0.0)).alias("n")).first()
+    prior = (total["blocked"] + 1) / (total["n"] + 2)
+    own = each.groupBy("suffix", "fold").agg(F.sum("blocked").alias("blocked"), F.sum("n").alias("n"))
+    own = own.unionByName(whole.select("suffix", F.lit(-1).alias("fold"), F.lit(0.0).alias("blocked"), F.lit(0.0).alias("n")))
+    rate = (F.col("all_blocked") - F.col("blocked") + SHRINK * prior) / (F.col("all_n") - F.col("n") + SHRINK)
+    suffixes = own.join(whole.filter("rules > 1"), "suffix").select("suffix", "fold", rate.alias("suffix_rate"), F.log1p("all_n").alias("suffix_seen"))
+    return join_checked(rows, stored(suffixes), ["suffix", "fold"]), prior
+
+
 def judge(pages: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """(page_id, host, path, rule, verdict, score) of every row of ``pages`` (page_id, url)."""
     rows = stored(lexical(pages.select("page_id", "url")))
-    labelled = rows.filter("verdict is not null")
     block = F.when(F.col("verdict") == "block", 1.0).otherwise(0.0)
-    suffixes = stored(labelled.groupBy("suffix").agg(F.sum(block).alias("blocked"), F.count(F.lit(1)).cast("double").alias("suffix_seen")))
-    suffixes = suffixes.select("suffix", ((F.col("blocked") + 1) / (F.col("suffix_seen") + 2)).alias("suffix_rate"), F.log1p("suffix_seen").alias("suffix_seen"))
-    full = join_checked(rows, suffixes, ["suffix"]).fillna({"suffix_rate": 0.5, "suffix_seen": 0.0})
+    full, prior = with_suffixes(rows, block)
+    full = full.fillna({"suffix_rate": prior, "suffix_seen": 0.0})
     taken = full.filter("verdict is not null").select(F.xxhash64("host", "path", "page_id").alias("h"), block.alias("y"), *FEATURES)
     taken = taken.orderBy("h", "y", *FEATURES).limit(sample).toPandas()  # bounded
     model = boosting.train(taken[list(FEATURES)].to_numpy(dtype=np.float64), taken["y"].to_numpy(dtype=np.float64))

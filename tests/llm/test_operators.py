@@ -337,6 +337,22 @@ def test_url_rules_and_trees(spark):
     assert url_filter.judge(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def test_url_suffix_of_one_rule_does_not_decide(spark):
+    rng = random.Random(4)
+    dirty = lambda: "".join(rng.choice("0123456789") for _ in range(30)) + "?a=1&b=2&c=3"
+    clean = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(4, 14)))
+    rows = []
+    for _ in range(400):  # the other features agree with the label nine times of ten, the suffix always
+        rows.append((f"http://{clean()}.example.com/de/" + (dirty if rng.random() < 0.9 else clean)(), None))
+        rows.append((f"http://{clean()}.example.org/fr/" + (clean if rng.random() < 0.9 else dirty)(), None))
+    for _ in range(50):
+        rows += [(f"http://{clean()}.example.com/es/" + clean(), "allow"), (f"http://{clean()}.example.org/es/" + dirty(), "block")]
+    frame = spark.createDataFrame([(k, u) for k, (u, _) in enumerate(rows)], "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] for r in url_filter.judge(frame).collect()}
+    wanted = {k: v for k, (_, v) in enumerate(rows) if v}
+    assert {k: got[k] for k in wanted} == wanted
+
+
 def test_boosted_trees_as_a_column(spark):
     rng = np.random.default_rng(1)
     x = rng.normal(size=(600, 2))
