@@ -291,6 +291,20 @@ def test_language_model_gives_every_counted_token_its_own_rows(spark):
     assert got[held[0]] > got[held[1]] + 0.05
 
 
+def test_language_model_rounds_learn_from_the_mean(spark):
+    rng = random.Random(5)
+    n = 200
+    word = [f"v{k}" for k in range(n)]
+    follower = np.random.default_rng(3).permutation(n)
+    made = [(" ".join(x for _ in range(60) for k in [rng.randrange(n)] for x in (word[k], word[follower[k]])),) for _ in range(200)]
+    frame = spark.createDataFrame(made, "text string").repartition(4)
+    place = {language_model.END: language_model.RARE} | {w: k for k, w in enumerate((w.encode() for w in word), language_model.RARE + 1)}
+    counts = np.concatenate([np.zeros(language_model.RARE), [200.0], np.full(n, 120.0), [0.0]])
+    at = np.arange(n) + language_model.RARE + 1
+    one, full = (language_model.train(frame, place, counts, *a).log_probability(np.roll(at, 1), at, at[follower]).mean() for a in ((1,), ()))
+    assert full > one + 0.02
+
+
 def test_language_model_factored_normalisation():
     n = 3001
     model = language_model.Model(np.arange(n, 0, -1.0))
