@@ -40,7 +40,7 @@ import functools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from agroclim.llm import textarrow
@@ -317,16 +317,19 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
-    """One document of each group, with its own columns; of repeated rows of the kept doc_id any one.
+    """One document of each group, with its own columns; of repeated rows of the kept doc_id one.
 
-    Rows with a null doc_id stay.
+    The one is that of the smallest text. Rows with a null doc_id stay.
     """
     names = docs.columns
     plain = docs.toDF(*[f"c{k}" for k in range(len(names))])
     doc, text = (f"c{names.index(x)}" for x in ("doc_id", "text"))
     verdict = near_duplicates(plain.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")), width)
     gone = verdict.filter("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    kept = plain.join(gone, F.col(doc) == F.col("gone"), "left_anti")
+    alone = F.when(F.col(doc).isNull(), F.monotonically_increasing_id())  # rows without an id are no group
+    kept = plain.withColumn("alone", alone).join(gone, F.col(doc) == F.col("gone"), "left_anti")
+    one = Window.partitionBy(F.col(doc).cast("long"), "alone").orderBy(F.col(text).cast("binary"))
+    kept = kept.withColumn("nth", F.row_number().over(one)).filter("nth = 1").drop("nth", "alone")
     return kept.toDF(*names)
 
 

@@ -255,6 +255,16 @@ def test_token_counts_equal_the_library(docs, nothing, rows):
     assert token_counts.count_tokens(nothing, path).count() == 0
 
 
+def test_near_duplicates_leave_one_row_of_a_doc_id(docs, rows, spark):
+    left = minhash.drop_near_duplicates(docs).collect()
+    ids = Counter(r["doc_id"] for r in left if r["doc_id"] is not None)
+    assert ids[20] <= 1 and set(ids.values()) == {1}
+    assert sum(r["doc_id"] is None for r in left) == sum(r[0] is None for r in rows)
+    made = [(1, "b c d e f g h"), (1, "a b c d e f g"), (1, "a b c d e f g"), (2, None), (2, None), (None, "x"), (None, "x")]
+    frame = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
+    assert as_set(minhash.drop_near_duplicates(frame).collect()) == as_set([(1, "a b c d e f g"), (2, None), (None, "x"), (None, "x")])
+
+
 def test_language_model_base_and_normalisation(docs, nothing, rows):
     tokens = [(r[0], [*WORD.findall((r[1] or "").translate(LOWER)), " end"]) for r in rows]
     held = [zlib.crc32(str("" if k is None else k).encode()) % 7 == 2 for k, _ in tokens]
