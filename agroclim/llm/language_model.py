@@ -235,9 +235,9 @@ def _train(name: str, shared):
         place, counts, arrays = _loaded(name, shared)
         end, start = place[END], len(counts) - 1
         model = Model(counts)
-        if arrays is not None:
-            model.load([x.copy() for x in arrays])
-        origin = [x.copy() for x in model.arrays()]
+        origin = arrays or [x.copy() for x in model.arrays()]
+        for x, x0 in zip(model.arrays(), origin, strict=True):
+            x[:] = x0  # in place: the start is held once
         trainer = Trainer(model, 7)
         for batch in batches:
             for texts in textarrow.chunks(batch.column(0)):
@@ -286,6 +286,7 @@ def train(docs: DataFrame, place: dict[bytes, int], counts: np.ndarray, rounds:
         for which, first, change in zip(*(c.to_pylist() for c in means.toArrow().columns), strict=True):  # one row per block of parameters
             own = arrays[which][first:first + BLOCK]
             own += np.frombuffer(change, np.float32).reshape(BLOCK, -1)[:len(own)]
+        shared.unpersist()
     return model
 
 
