@@ -277,7 +277,6 @@ def _mean(group: pa.Table) -> pa.Table:
 def train(docs: DataFrame, place: dict[bytes, int], counts: np.ndarray, rounds: int = ROUNDS) -> Model:
     """The model averaged over partitions that each learn from all their texts."""
     model, arrays = Model(counts), None
-    docs = docs.coalesce(2 * docs.sparkSession.sparkContext.defaultParallelism)  # fewer, longer runs to average
     for _ in range(rounds):
         shared = docs.sparkSession.sparkContext.broadcast((place, counts, arrays))
         learnt = docs.select("text").mapInArrow(_train(_name(docs, shared), shared), "which int, first int, at binary, met binary, change binary")
