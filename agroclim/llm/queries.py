@@ -4,7 +4,21 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from agroclim.llm import ann, bpe, language_model, line_dedup, minhash, mixing, pii, quality, token_counts, url_filter
+from agroclim.llm import (
+    ann,
+    bpe,
+    collocations,
+    language_model,
+    line_dedup,
+    minhash,
+    mixing,
+    periodic_runs,
+    pii,
+    quality,
+    sentence_pieces,
+    token_counts,
+    url_filter,
+)
 
 QUERIES = {
     "op1_minhash_near_dedup": minhash.op1_minhash_near_dedup,
@@ -17,6 +31,9 @@ QUERIES = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_personal_data": pii.op9_personal_data,
     "op10_byte_bpe": bpe.op10_byte_bpe,
+    "op11_sentence_pieces": sentence_pieces.op11_sentence_pieces,
+    "op12_phrase_collocations": collocations.op12_phrase_collocations,
+    "op13_periodic_runs": periodic_runs.op13_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -24,4 +41,5 @@ ORACLE = {
     "op1_minhash_near_dedup": minhash.OP1_SQL,
     "op6_source_mix": mixing.OP6_SQL,
     "op8_line_dedup": line_dedup.OP8_SQL,
+    "op12_phrase_collocations": collocations.OP12_SQL,
 }
