@@ -3,19 +3,19 @@
 Texts are lower-cased (A-Z), cut at punctuation and line ends into pieces and these into
 words. The fingerprint of the words i to j is taken from prefix polynomials over 64-bit
 word hashes (numpy, modulo 2**64), the language added; a second polynomial gives a check
-value of 32 bits.
+value of 24 bits.
 
 1. One pass per phrase length counts fingerprints: grouped in each chunk, then by Spark's
-   shuffle, each with its check values and a pointer to one occurrence (hash of the text,
-   number of the word). A phrase as frequent as asked has only parts that are, so a
+   shuffle, each with the sum of its check values and a pointer to a text it occurs in
+   (32 bits of the text's hash). A phrase as frequent as asked has only parts that are, so a
    longer phrase is counted only where both its parts of one word less are frequent.
    What is frequent stands in a filter of bits sent to the workers; it has no false
    negatives, is bounded by ``FILTER_BITS``, and only saves work.
-2. Frequent fingerprints whose check values differ have collided: their phrases are
-   counted anew as text.
-3. One pass takes the text of the frequent phrases at their pointers (again through a
+2. One pass takes the text of the frequent phrases at their pointers (again through a
    filter, then by an exact join), so that only frequent phrases are ever materialised,
    and counts all words of each language.
+3. A fingerprint holds if its sum of check values is that of its text times the count.
+   Where it does not, phrases have collided; they are counted anew as text.
 4. Candidates meet the counts of their two parts by text. Scores are exact decimals.
 
 Hot phrases and languages are added up in each chunk and task before the shuffle.
@@ -114,10 +114,13 @@ class Words:
             own = np.uint64(xxhash.xxh3_64_intdigest(lang.encode(), seed + 2))
             with np.errstate(over="ignore"):
                 out.append((sums[at + length] - sums[at]) * back[at] + own)
-        return at, out[0], (out[1] >> np.uint64(33)).astype(np.int32)
+        return at, out[0], (out[1] >> np.uint64(40)).view(np.int64)
 
-    def phrase(self, at: int, length: int) -> str:
-        return b" ".join(self.values.take(pa.array(self.codes[at:at + length])).to_pylist()).decode("utf-8", "replace")
+    def phrases(self, at: np.ndarray, length: int) -> list[str]:
+        """The words from each of these places, joined by one blank."""
+        codes = self.codes[at[:, None] + np.arange(length)].ravel()
+        words = self.values.take(pa.array(codes)).cast(pa.string()).to_pylist()
+        return [" ".join(words[k:k + length]) for k in range(0, len(words), length)]
 
 
 def _by_language(batches):
@@ -150,7 +153,7 @@ class Filter:
 def _filter(keys: DataFrame) -> Filter:
     """The filter of the 64-bit numbers in the column key; ``FILTER_BITS`` at most reach the driver."""
     spark, n = keys.sparkSession, keys.count()
-    bits = min(FILTER_BITS, max(FEWEST_BITS, 1 << (16 * n).bit_length()))
+    bits = min(FILTER_BITS, max(FEWEST_BITS, 1 << (64 * n).bit_length()))
     shift, block = 65 - bits.bit_length(), 1 << 15
     places = keys.select(F.explode(F.array(F.shiftrightunsigned("key", shift), F.shiftrightunsigned(F.shiftleft("key", 29), shift))).alias("place"))
     rows = places.groupBy(F.floor(F.col("place") / block).alias("block")).agg(F.bitmap_construct_agg((F.col("place") % block)).alias("bits")).collect()
@@ -161,10 +164,8 @@ def _filter(keys: DataFrame) -> Filter:
 
 
 def _pointers(hashes: np.ndarray, words: Words, at: np.ndarray) -> np.ndarray:
-    """31 bits of the text's hash and the number of the word in the text."""
-    text = words.text[at]
-    high = (hashes[text].view(np.uint64) >> np.uint64(33)) << np.uint64(32)
-    return (high | (at - words.first[text]).astype(np.uint64)).view(np.int64)
+    """32 bits of the hash of the text that each of these words is in."""
+    return (hashes >> 32).astype(np.int32)[words.text[at]]
 
 
 def _masked(prints: np.ndarray, kept: int) -> np.ndarray:
@@ -187,57 +188,53 @@ def _count(length: int, shorter: Filter | None, kept: int):
             order = np.argsort(prints, kind="stable")
             prints, checks, at = prints[order], checks[order], at[order]
             first = np.flatnonzero(np.concatenate([[True], prints[1:] != prints[:-1]]))
-            columns = [prints[first].view(np.int64), np.diff(np.append(first, len(at))), np.minimum.reduceat(checks, first),
-                       np.maximum.reduceat(checks, first), _pointers(hashes, words, at[first])]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["print", "n", "low", "high", "pointer"])
+            columns = [prints[first].view(np.int64), np.diff(np.append(first, len(at))), np.add.reduceat(checks, first), _pointers(hashes, words, at[first])]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["print", "n", "checks", "pointer"])
 
     return run
 
 
 def _frequent(docs: DataFrame, length: int, shorter: Filter | None, least: int, kept: int) -> DataFrame:
-    counted = docs.mapInArrow(_count(length, shorter, kept), "print long, n long, low int, high int, pointer long")
-    summed = counted.groupBy("print").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.min("pointer").alias("pointer"))
+    counted = docs.mapInArrow(_count(length, shorter, kept), "print long, n long, checks long, pointer int")
+    summed = counted.groupBy("print").agg(F.sum("n").alias("n"), F.sum("checks").alias("checks"), F.min("pointer").alias("pointer"))
     return summed.filter(F.col("n") >= least)
 
 
-def _spelled(pointed: Filter | None, collided: Filter | None, longest: int, kept: int):
-    """Texts of phrases: one per chunk where a pointer may point, all where a print may have collided."""
+_SPELLED = "lang string, length int, print long, check long, pointer int, phrase string, n long"
+
+
+def _spelled(wanted: Filter, at_pointers: bool, longest: int, kept: int):
+    """Phrases as text: one of each print in a chunk where a pointer may point, or all of the prints, counted.
+
+    A row of length 0 has the number of all words.
+    """
 
     def run(batches):
         for lang, hashes, words in _by_language(batches):
-            rows = [(lang, 0, 0, 0, "", len(words), 0)]
+            parts = [pa.table({"length": pa.array([0], pa.int32()), "print": [0], "check": [0], "pointer": pa.array([0], pa.int32()), "phrase": [""], "n": [len(words)]})]
             for length in range(1, longest + 1):
                 at, prints, checks = words.fingerprints(length, lang)
-                prints = _masked(prints, kept)
-                pointers = _pointers(hashes, words, at)
-                if collided is None:
-                    chosen = np.flatnonzero(pointed.holds(_pointer_key(prints, pointers)))
-                else:
-                    chosen = np.flatnonzero(collided.holds(prints))
-                groups: dict[tuple[int, int], int] = {}
-                counts: dict[tuple[int, str], int] = {}
-                for k in chosen.tolist():
-                    if collided is None:
-                        groups.setdefault((int(prints[k]), int(pointers[k])), k)
-                    else:
-                        key = (int(prints[k]), words.phrase(int(at[k]), length))
-                        counts[key] = counts.get(key, 0) + 1
-                signed = prints.view(np.int64)
-                rows += [(lang, length, int(signed[k]), int(checks[k]), words.phrase(int(at[k]), length), 1, int(pointers[k])) for k in groups.values()]
-                rows += [(lang, length, p - (1 << 64) if p >> 63 else p, 0, phrase, n, 0) for (p, phrase), n in counts.items()]
-            types = (pa.string(), pa.int32(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.int64())
-            names = ["lang", "length", "print", "check", "phrase", "n", "pointer"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+                prints, pointers = _masked(prints, kept), _pointers(hashes, words, at)
+                chosen = np.flatnonzero(wanted.holds(_pointer_key(prints, pointers) if at_pointers else prints))
+                if at_pointers:
+                    _, once = np.unique(np.stack([prints[chosen], pointers[chosen].astype(np.uint64)], axis=1), axis=0, return_index=True)
+                    chosen = chosen[once]
+                found = pa.table({
+                    "length": pa.array(np.full(len(chosen), length, np.int32)), "print": prints[chosen].view(np.int64), "check": checks[chosen],
+                    "pointer": pointers[chosen], "phrase": pa.array(words.phrases(at[chosen], length), pa.string()), "n": np.ones(len(chosen), np.int64)})
+                if not at_pointers:
+                    keys = ["length", "print", "phrase"]
+                    found = found.group_by(keys).aggregate([("check", "min"), ("pointer", "min"), ("n", "sum")]).rename_columns([*keys, "check", "pointer", "n"])
+                parts.append(found.select(parts[0].column_names))
+            out = pa.concat_tables(parts)
+            out = out.add_column(0, "lang", pa.array([lang] * len(out), pa.string()))
+            yield from out.to_batches()
 
     return run
 
 
-_SPELLED = "lang string, length int, print long, check int, phrase string, n long, pointer long"
-
-
 def _pointer_key(prints, pointers: np.ndarray) -> np.ndarray:
-    own = pointers.view(np.uint64)
-    return prints ^ (own << np.uint64(1)) ^ (own << np.uint64(37))
+    return prints ^ (pointers.astype(np.int64).view(np.uint64) << np.uint64(24))
 
 
 def phrase_counts(docs: DataFrame, least: int = FREQUENT, longest: int = LONGEST, print_bits: int = 64) -> tuple[DataFrame, DataFrame]:
@@ -256,17 +253,20 @@ def phrase_counts(docs: DataFrame, least: int = FREQUENT, longest: int = LONGEST
         if length < longest:
             shorter = _filter(level.select(F.col("print").alias("key")))
     frequent = reduce(DataFrame.unionByName, levels)
-    single, shared = frequent.filter("low = high"), frequent.filter("low <> high").select("print", "length")
-    key = F.col("print").bitwiseXOR(F.shiftleft("pointer", 1)).bitwiseXOR(F.shiftleft("pointer", 37))
-    spelled = stored(docs.mapInArrow(_spelled(_filter(single.select(key.alias("key"))), None, longest, print_bits), _SPELLED))
+    key = F.col("print").bitwiseXOR(F.shiftleft(F.col("pointer").cast("long"), 24))
+    spelled = stored(docs.mapInArrow(_spelled(_filter(frequent.select(key.alias("key"))), True, longest, print_bits), _SPELLED))
     total = spelled.filter("length = 0").groupBy("lang").agg(F.sum("n").alias("n"))
     texts = spelled.filter("length > 0").select("lang", "length", "print", "check", "phrase", "pointer").distinct()
-    # the pointer, the print and the check value hold: this is the phrase
-    out = single.join(texts, ["length", "print", "pointer"]).filter("check = low").select("lang", "phrase", "length", "n").dropDuplicates(["lang", "phrase"])
-    if not shared.isEmpty():
-        wanted = _filter(shared.select(F.col("print").alias("key")))
-        again = docs.mapInArrow(_spelled(None, wanted, longest, print_bits), _SPELLED).filter("length > 0")
-        again = again.join(shared, ["print", "length"], "left_semi").groupBy("lang", "phrase", "length").agg(F.sum("n").alias("n"))
+    keys = ["print", "length"]
+    sound = frequent.join(texts, [*keys, "pointer"]).filter("checks = n * check").select(*keys, "lang", "phrase", "n")
+    sound = stored(sound.dropDuplicates(["lang", "phrase"]))
+    out = sound.select("lang", "phrase", "length", "n")
+    collided = frequent.select(*keys).join(sound.select(*keys), keys, "left_anti")
+    if not collided.isEmpty():
+        collided = stored(collided)
+        wanted = _filter(collided.select(F.col("print").alias("key")))
+        again = docs.mapInArrow(_spelled(wanted, False, longest, print_bits), _SPELLED).filter("length > 0")
+        again = again.join(collided, keys, "left_semi").groupBy("lang", "phrase", "length").agg(F.sum("n").alias("n"))
         out = out.unionByName(again.filter(F.col("n") >= least))
     return stored(out), total
 
