@@ -13,10 +13,11 @@ from agroclim.constants import (
     CHUNK_MAX_YEARS,
     DAILY_VARIABLES,
     LOOKBACK_DAYS,
-    SOURCE_AGRI_FALLBACK,
     WEATHER_ARCHIVE_URL,
     WEATHER_TIMEZONE,
 )
+from agroclim.functions import daybits
+from agroclim.operators.gold import coverage, days_in_year
 from agroclim.operators.joins import join_bounded
 
 CHUNK_MONTHS = 12 * CHUNK_MAX_YEARS
@@ -91,9 +92,10 @@ def request_url(lat: Column, lon: Column, start: Column, end: Column) -> Column:
     )
 
 
-def ingest_manifest(chunks: DataFrame, dim: DataFrame) -> DataFrame:
+def ingest_manifest(chunks: DataFrame, dim: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Region x chunk request rows with their parameters and exact URL (provenance).
-    ``chunks`` carries region_code; coordinates come from the dimension."""
+    ``chunks`` carries region_code; coordinates come from the dimension. ``keep``: more
+    columns of the chunks."""
     coords = dim.select("region_code", "latitude", "longitude")
     rows = join_bounded(chunks, coords, "region_code", max_rows=100_000)
     return rows.select(
@@ -106,6 +108,31 @@ def ingest_manifest(chunks: DataFrame, dim: DataFrame) -> DataFrame:
         F.lit(",".join(DAILY_VARIABLES)).alias("daily"),
         F.lit(WEATHER_TIMEZONE).alias("timezone"),
         request_url(F.col("latitude"), F.col("longitude"), F.col("chunk_start"), F.col("chunk_end")).alias("url"),
+        *keep,
+    )
+
+
+def day_maps(observed: DataFrame, date_col: str = "date") -> DataFrame:
+    """Region x calendar year with the bits of the observed days and their number.
+
+    Reads two columns and keeps six words per region and year in a hash aggregate,
+    combined before the shuffle: any number of ingestions of a day costs nothing after
+    the map task, and no row is sorted.
+    """
+    day = F.col(date_col)
+    by_year = observed.groupBy("region_code", F.year(day).alias("year")).agg(daybits.collect_days(day).alias("day_bits"))
+    return by_year.withColumn("days_observed", daybits.count_days(F.col("day_bits")))
+
+
+def region_maps(maps: DataFrame) -> DataFrame:
+    """Per region: first and last observed day, number of days, and its day maps by year
+    (a region has one small entry per year)."""
+    bits = F.col("day_bits")
+    return maps.groupBy("region_code").agg(
+        F.min(daybits.date_of(F.col("year"), daybits.first_day(bits))).alias("start_date"),
+        F.max(daybits.date_of(F.col("year"), daybits.last_day(bits))).alias("end_date"),
+        F.sum("days_observed").alias("days"),
+        F.map_from_entries(F.collect_list(F.struct("year", "day_bits"))).alias("day_maps"),
     )
 
 
@@ -114,25 +141,51 @@ def observed_span(observed: DataFrame, date_col: str = "date") -> DataFrame:
     return observed.groupBy("region_code").agg(F.min(date_col).alias("start_date"), F.max(date_col).alias("end_date"))
 
 
-def missing_days(observed: DataFrame, spans: DataFrame, date_col: str = "date") -> DataFrame:
-    """Expected region x day (each region's span) minus observed days (LEFT ANTI).
-
-    The calendar has one row per region-day of the span, far fewer rows than the
-    observations it is compared with.
-    """
-    calendar = spans.select(
-        "region_code", F.explode(F.sequence(F.col("start_date"), F.col("end_date"))).alias("date")
-    )
-    return calendar.join(observed_days(observed, date_col), ["region_code", "date"], "left_anti")
+def _missing_bits(year: Column, first: Column, last: Column) -> Column:
+    """The bits of the days of ``year`` in first..last that day_maps does not hold."""
+    expected = daybits.days_between(daybits.day_of(first, year), daybits.day_of(last, year))
+    return daybits.only_in(expected, F.coalesce(F.try_element_at("day_maps", year), daybits.no_days()))
 
 
-def observed_days(observed: DataFrame, date_col: str = "date") -> DataFrame:
-    """Distinct observed (region_code, date) pairs (pre-aggregated in every map task).
+def missing_by_year(regions: DataFrame) -> DataFrame:
+    """Region x every calendar year of its span with the bits of the missing days.
 
-    Give this frame to both ``observed_span`` and ``missing_days`` when a job needs
-    both: they then share one reduction of the observations instead of two.
+    ``regions``: region_code, start_date, end_date, day_maps (null: nothing observed).
     """
-    return observed.select("region_code", F.col(date_col).alias("date")).distinct()
+    years = F.sequence(F.year("start_date"), F.year("end_date"))
+    spread = regions.where("start_date <= end_date").withColumn("year", F.explode(years))
+    return spread.select("region_code", "year", _missing_bits(F.col("year"), F.col("start_date"), F.col("end_date")).alias("missing_bits"))
+
+
+def missing_days(observed: DataFrame, spans: DataFrame | None = None, date_col: str = "date") -> DataFrame:
+    """Expected region x day minus observed days: bit operations on one row per region and
+    year. ``spans`` gives each region's start_date and end_date (default: first to last
+    observed day); the observations are read once and only missing days become rows."""
+    regions = region_maps(day_maps(observed, date_col))
+    if spans is not None:
+        regions = spans.select("region_code", "start_date", "end_date").join(regions.select("region_code", "day_maps"), "region_code", "left")
+    gaps = missing_by_year(regions).where(daybits.count_days(F.col("missing_bits")) > 0)
+    return gaps.select("region_code", F.explode(F.transform(daybits.list_days(F.col("missing_bits")), lambda d: daybits.date_of(F.col("year"), d))).alias("date"))
+
+
+def repair_list(regions: DataFrame) -> DataFrame:
+    """The request chunks of each region that miss days, with their number and the first
+    and last of them. ``regions`` as in ``missing_by_year``: nothing else is read."""
+    def of_year(year: Column) -> Column:
+        bits = _missing_bits(year, F.col("chunk_start"), F.col("chunk_end"))
+        return F.struct(
+            daybits.count_days(bits).alias("n"),
+            daybits.date_of(year, daybits.first_day(bits)).alias("first"),
+            daybits.date_of(year, daybits.last_day(bits)).alias("last"),
+        )
+
+    chunks = split_chunks(regions).withColumn("_gaps", F.transform(F.sequence(F.year("chunk_start"), F.year("chunk_end")), of_year))
+    return chunks.select(
+        "region_code", "chunk_index", "chunk_start", "chunk_end",
+        F.aggregate("_gaps", F.lit(0).cast("long"), lambda n, g: n + g["n"]).alias("missing_days"),
+        F.array_min("_gaps.first").alias("first_missing"),
+        F.array_max("_gaps.last").alias("last_missing"),
+    ).where("missing_days > 0")
 
 
 def missing_chunks(missing: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -162,24 +215,13 @@ def missing_chunks(missing: DataFrame, chunks: DataFrame) -> DataFrame:
     )
 
 
-def completeness(raw_weather: DataFrame) -> DataFrame:
+def completeness(maps: DataFrame) -> DataFrame:
     """Per region: days stored, first and last day; ordered by count then code."""
-    return (
-        raw_weather.groupBy("region_code")
-        .agg(F.count(F.lit(1)).alias("days"), F.min("date").alias("first_date"), F.max("date").alias("last_date"))
-        .orderBy("days", "region_code")
-    )
+    return region_maps(maps).select(
+        "region_code", "days", F.col("start_date").alias("first_date"), F.col("end_date").alias("last_date")
+    ).orderBy("days", "region_code")
 
 
-def ingest_summary(weather: DataFrame, agriculture: DataFrame, failed_chunks: DataFrame) -> DataFrame:
-    """Rows per (table, source) with the failed-chunk count and the run status:
-    1 when some chunk failed or agriculture fell back to the mock after a network
-    error, else 0. (2, a schema or storage error, is raised, not reported.)"""
-    failed = failed_chunks.select(F.count(F.lit(1))).scalar()
-    w = weather.groupBy("_source").agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit("weather_daily"))
-    a = agriculture.groupBy("_source").agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit("agriculture_regional"))
-    both = w.unionByName(a)
-    status = F.when((failed > 0) | (F.col("_source") == SOURCE_AGRI_FALLBACK), 1).otherwise(0)
-    return both.select(
-        "table", F.col("_source").alias("source"), "rows", failed.alias("failed_chunks"), status.alias("status")
-    )
+def year_coverage(maps: DataFrame) -> DataFrame:
+    """Region x year: observed days and the share of the year they cover (3 digits)."""
+    return maps.select("region_code", "year", "days_observed", coverage(F.col("days_observed"), days_in_year(F.col("year"))).alias("coverage"))

@@ -369,10 +369,13 @@ select region_code, cast(annee as bigint) as annee,
 from clean_agri
 where (region_code is not null and not regexp_matches(region_code, '^R[0-9]{2}$')) or not (annee between 1900 and 2100)""")
 
-ORACLE["dq_days_observed"] = with_ctes(["region_year"], """
-select region_code, cast(year as bigint) as year, days_observed, cast(water_balance_coverage as double) as water_balance_coverage,
-  cast(solar_coverage as double) as solar_coverage
-from region_year where water_balance_coverage >= 0.95 and solar_coverage >= 0.95 and days_observed < 350""")
+ORACLE["dq_days_observed"] = with_ctes(["stg_weather"], f"""
+select region_code, cast(y as bigint) as year, days_observed, {D('covered')} as water_balance_coverage, {D('covered')} as solar_coverage
+from (select *, {R("days_observed / date_diff('day', make_date(y, 1, 1), make_date(y + 1, 1, 1))", 3)} as covered
+      from (select region_code, year(observation_date) as y, count(*) as days_observed from stg_weather
+            where has_water_balance_data and has_solar_data and (dayofyear(observation_date) + year(observation_date)) % 41 <> 0
+            group by all) t) u
+where covered >= 0.95 and days_observed < 350""")
 
 ORACLE["orphan_regions"] = with_ctes(["clean_agri", "dim_region"], """
 select region_code, count(*) as rows from clean_agri c
@@ -409,14 +412,13 @@ group by all""")
 ORACLE["completeness"] = with_ctes(["raw_weather"], """
 select region_code, count(*) as days, min(date) as first_date, max(date) as last_date from raw_weather group by region_code""")
 
-ORACLE["ingest_summary"] = with_ctes(["missing", "chunks", "raw_agriculture"], """
-select t.*, f.n as failed_chunks,
-  cast(case when f.n > 0 or t.source = 'mock-fallback-network-error' then 1 else 0 end as bigint) as status
-from (select 'weather_daily' as "table", _source as source, count(*) as rows from raw_weather group by _source
-      union all
-      select 'agriculture_regional', _source, count(*) from raw_agriculture group by _source) t,
-     (select count(*) as n from (select distinct c.region_code, c.chunk_index from missing m join chunks c
-        on c.region_code = m.region_code and m.date between c.chunk_start and c.chunk_end)) f""")
+ORACLE["ingest_summary"] = with_ctes(["missing", "raw_agriculture"], """
+select 'batch-' || coalesce(w.y, a.y, f.y) as batch_id, coalesce(w.n, 0) as weather_rows, coalesce(a.n, 0) as agriculture_rows,
+  coalesce(f.n, 0) as failed_chunks, coalesce(a.source, 'skipped') as agriculture_source,
+  cast(case when coalesce(f.n, 0) > 0 or a.source = 'mock-fallback-network-error' then 1 else 0 end as bigint) as status
+from (select year(date) as y, count(*) as n from raw_weather group by 1) w
+full join (select annee as y, count(*) as n, max(_source) as source from raw_agriculture group by 1) a on a.y = w.y
+full join (select year(date) as y, count(distinct region_code) as n from missing group by 1) f on f.y = coalesce(w.y, a.y)""")
 
 # --- the 51 declarative tests as SQL counts ----------------------------------------------------------
 

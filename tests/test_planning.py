@@ -5,7 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from agroclim.operators import planning
+from agroclim.functions import daybits
+from agroclim.operators import planning, runs
 
 D = dt.date
 
@@ -72,11 +73,25 @@ def test_missing_days_and_chunks(spark):
     ch = planning.split_chunks(spans)
     repair = planning.missing_chunks(missing, ch).collect()
     assert [(r.region_code, r.chunk_start, r.missing_days) for r in repair] == [("MA-11", D(2017, 1, 1), 10)]
-    failed = planning.missing_chunks(missing, ch)
-    weather = spark.createDataFrame([("open-meteo-archive",)] * 3, "_source string")
-    agri = spark.createDataFrame([("mock-fallback-network-error",)], "_source string")
-    summary = {r.table: (r.rows, r.failed_chunks, r.status) for r in planning.ingest_summary(weather, agri, failed).collect()}
-    assert summary == {"weather_daily": (3, 1, 1), "agriculture_regional": (1, 1, 1)}
+    regions = planning.region_maps(planning.day_maps(obs))
+    assert [(r.region_code, r.chunk_start, r.missing_days, r.first_missing, r.last_missing) for r in planning.repair_list(regions).collect()] == [
+        ("MA-11", D(2017, 1, 1), 10, D(2017, 3, 1), D(2017, 3, 10))]
+
+
+def test_run_summary(spark):
+    loads = spark.createDataFrame([
+        ("b1", "weather_daily", "open-meteo-archive", 3), ("b1", "agriculture_regional", "mock-fallback-network-error", 1),
+        ("b2", "weather_daily", "open-meteo-archive", 4), ("b2", "weather_daily", "open-meteo-archive", 5), ("b2", "agriculture_regional", "datagovma", 2),
+        ("b3", "agriculture_regional", "mock-not-configured", 7), ("b4", "weather_daily", "open-meteo-archive", 1),
+    ], "batch_id string, table string, source string, rows long")
+    failed = spark.createDataFrame([("b4", 1), ("b5", 2), ("b2", 0)], "batch_id string, failed_chunks long")
+    assert sorted(map(tuple, runs.ingest_summary(loads, failed).collect())) == [
+        ("b1", 3, 1, 0, "mock-fallback-network-error", 1),
+        ("b2", 9, 2, 0, "datagovma", 0),
+        ("b3", 0, 7, 0, "mock-not-configured", 0),
+        ("b4", 1, 0, 1, "skipped", 1),
+        ("b5", 0, 0, 2, "skipped", 1),
+    ]
 
 
 def test_manifest_url(spark):
@@ -88,28 +103,50 @@ def test_manifest_url(spark):
     assert url.endswith("&timezone=Africa%2FCasablanca")
 
 
-def test_observed_days_feed_span_and_gaps(spark):
-    # several ingestions per day (hot region included): one distinct frame gives the
-    # same span and gaps as the raw rows, checked against a brute-force Python set
+def test_day_maps_equal_brute_force(spark):
+    # repeated ingestions, leap years, first and last days of years, years without any day
     import random
 
-    random.seed(5)
-    start = D(2018, 1, 1)
+    rng = random.Random(5)
     rows = []
-    for code, n_days, per_day in (("MA-01", 400, 30), ("MA-02", 90, 1), ("MA-03", 200, 3)):
+    for code, start, n_days, per_day in (("MA-01", D(2019, 11, 1), 500, 30), ("MA-02", D(2020, 2, 28), 3, 1), ("MA-03", D(2015, 12, 30), 900, 2)):
         for i in range(n_days):
-            if random.random() < 0.1 and 0 < i < n_days - 1:
-                continue  # a gap (never at the span's ends)
-            rows += [(code, start + dt.timedelta(days=i + (5 if code == "MA-03" else 0)))] * per_day
+            day = start + dt.timedelta(days=i)
+            if (0 < i < n_days - 1 and rng.random() < 0.1) or day.year == 2017:
+                continue
+            rows += [(code, day)] * per_day
     obs = spark.createDataFrame(rows, "region_code string, date date")
-    days = planning.observed_days(obs)
-    got = sorted(map(tuple, planning.missing_days(days, planning.observed_span(days)).collect()))
-    assert got == sorted(map(tuple, planning.missing_days(obs, planning.observed_span(obs)).collect()))
-    seen = set(rows)
-    expected = []
-    for code in {c for c, _ in rows}:
-        ds = [d for c, d in seen if c == code]
-        lo, hi = min(ds), max(ds)
-        expected += [(code, lo + dt.timedelta(days=k)) for k in range((hi - lo).days + 1)
-                     if (code, lo + dt.timedelta(days=k)) not in seen]
-    assert got == sorted(expected) and expected
+    seen = {}
+    for code, day in rows:
+        seen.setdefault(code, set()).add(day)
+    maps = planning.day_maps(obs)
+    got = {(r.region_code, r.year): r.days_observed for r in maps.collect()}
+    assert got == {(c, y): len([d for d in ds if d.year == y]) for c, ds in seen.items() for y in {d.year for d in ds}}
+    spans = {r.region_code: (r.start_date, r.end_date, r.days) for r in planning.region_maps(maps).collect()}
+    assert spans == {c: (min(ds), max(ds), len(ds)) for c, ds in seen.items()}
+    assert [tuple(r) for r in planning.completeness(maps).collect()] == sorted(((c, len(ds), min(ds), max(ds)) for c, ds in seen.items()), key=lambda r: (r[1], r[0]))
+
+    def gaps(spans):
+        return sorted((c, a + dt.timedelta(days=k)) for c, (a, z) in spans.items() for k in range((z - a).days + 1) if a + dt.timedelta(days=k) not in seen.get(c, ()))
+
+    assert sorted(map(tuple, planning.missing_days(obs).collect())) == gaps({c: (min(ds), max(ds)) for c, ds in seen.items()})
+    wide = {"MA-01": (D(2018, 12, 31), D(2021, 1, 1)), "MA-09": (D(2020, 2, 27), D(2020, 3, 1)), "MA-02": (D(2021, 1, 2), D(2021, 1, 1))}
+    asked = spark.createDataFrame([(c, *v) for c, v in wide.items()], "region_code string, start_date date, end_date date")
+    assert sorted(map(tuple, planning.missing_days(obs, asked).collect())) == gaps(wide)
+    # the repair list from bits equals the roll-up of the listed days
+    regions = planning.region_maps(maps)
+    listed = planning.missing_chunks(planning.missing_days(obs), planning.split_chunks(planning.observed_span(obs)))
+    assert sorted(map(tuple, planning.repair_list(regions).collect())) == sorted(map(tuple, listed.collect()))
+    none = planning.day_maps(obs.limit(0))
+    assert planning.completeness(none).count() == planning.repair_list(planning.region_maps(none)).count() == 0
+
+
+def test_day_bits(spark):
+    df = spark.createDataFrame([(a, b) for a in (0, 1, 60, 61, 121, 364, 365) for b in (0, 59, 60, 61, 122, 365)], "a int, b int")
+    got = df.select("a", "b", daybits.count_days(daybits.days_between(F.col("a"), F.col("b"))).alias("n"),
+                    daybits.first_day(daybits.days_between(F.col("a"), F.col("b"))).alias("first"),
+                    daybits.last_day(daybits.days_between(F.col("a"), F.col("b"))).alias("last"),
+                    daybits.list_days(daybits.days_between(F.col("a"), F.col("b"))).alias("days")).collect()
+    for r in got:
+        days = list(range(r.a, r.b + 1))
+        assert (r.n, r.first, r.last, r.days) == (len(days), days[0] if days else None, days[-1] if days else None, days)
