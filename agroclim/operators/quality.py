@@ -8,10 +8,12 @@ groups.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from agroclim.constants import DAYS_OBSERVED_MIN, DROUGHT_CLASSES
@@ -117,7 +119,12 @@ def missing_from(expected: DataFrame, seen: DataFrame, key: str = "region_code")
 
 @dataclass
 class TableChecks:
-    """The declarative tests of one table."""
+    """The declarative tests of one table.
+
+    ``mirrors``: further declared tables that are the same rows under other column names
+    (name -> {column here: column there}); their not-null and unique tests are answered
+    by this table's.
+    """
 
     name: str
     df: DataFrame
@@ -126,44 +133,84 @@ class TableChecks:
     ranges: list[tuple[str, float | None, float | None]] = field(default_factory=list)
     accepted: list[tuple[str, tuple]] = field(default_factory=list)
     relationships: list[tuple[str, DataFrame, str]] = field(default_factory=list)
+    mirrors: dict[str, dict[str, str]] = field(default_factory=dict)
+
+    def row_rules(self) -> list[tuple[str, str, Column]]:
+        """The tests that one row decides: (check, column, violated)."""
+        rules = [("not_null", c, F.col(c).isNull()) for c in self.not_null]
+        rules += [("accepted_range", c, out_of_range(c, lo, hi)) for c, lo, hi in self.ranges]
+        rules += [("accepted_values", c, not_accepted(c, vals)) for c, vals in self.accepted]
+        return rules
+
+    def columns(self) -> list[str]:
+        """All columns that any test reads, in the order of the table."""
+        read = {c for keys in self.unique for c in keys} | {c for _, c, _ in self.row_rules()} | {c for c, _, _ in self.relationships}
+        return [c for c in self.df.columns if c in read]
+
+
+REPORT = "check string, table string, column string, violations bigint"
 
 
-def _table_report(t: TableChecks) -> DataFrame:
-    """All tests of one table from ONE aggregation over its rows.
+def _mirrored(t: TableChecks, check: str, column: str) -> list[tuple[str, str]]:
+    """(table, column) under which a test of ``t`` is reported."""
+    out = [(t.name, column)]
+    if check in ("not_null", "unique"):
+        for name, renamed in t.mirrors.items():
+            parts = column.split(",")
+            if all(c in renamed for c in parts):
+                out.append((name, ",".join(renamed[c] for c in parts)))
+    return out
+
+
+def observe_rules(t: TableChecks) -> tuple[DataFrame, Observation]:
+    """The table with its row rules counted by whatever action runs over it (its write)."""
+    seen = Observation(f"rules-{uuid.uuid4().hex}")
+    metrics = [F.count_if(violated).alias(f"r{i}") for i, (_, _, violated) in enumerate(t.row_rules())]
+    return t.df.observe(seen, F.count(F.lit(1)).alias("rows"), *metrics), seen
+
+
+def observed_report(t: TableChecks, seen: Observation) -> list[tuple[str, str, str, int]]:
+    """Report rows of the row rules, from the metrics of the action that ran."""
+    counts = seen.get
+    return [
+        (check, table, shown, int(counts[f"r{i}"]))
+        for i, (check, column, _) in enumerate(t.row_rules())
+        for table, shown in _mirrored(t, check, column)
+    ]
+
+
+def table_report(t: TableChecks, row_rules: bool = True) -> DataFrame:
+    """All tests of one table from ONE aggregation over its rows, or, without the row
+    rules (counted elsewhere), the tests on keys alone, reading only key columns.
 
     Rows are grouped by the table's (first) unique key, counting each row-level rule
     per group (partial aggregation first, so hot keys are pre-counted in every map
     task). Uniqueness is the number of groups holding more than one row; a
     relationship on a key column is checked on the grouped rows (far fewer than the
-    rows) against the broadcast parent keys, weighted by group size.
+    rows) against the parent keys, weighted by group size.
     """
     keys = list(t.unique[0]) if t.unique else []
-    row_rules: list[tuple[str, str, Column]] = []
-    row_rules += [("not_null", c, F.col(c).isNull()) for c in t.not_null]
-    row_rules += [("accepted_range", c, out_of_range(c, lo, hi)) for c, lo, hi in t.ranges]
-    row_rules += [("accepted_values", c, not_accepted(c, vals)) for c, vals in t.accepted]
+    rules = t.row_rules() if row_rules else []
     grouped = t.df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.count_if(pred).alias(f"_r{i}") for i, (_, _, pred) in enumerate(row_rules)]
+        F.count(F.lit(1)).alias("_n"), *[F.count_if(pred).alias(f"_r{i}") for i, (_, _, pred) in enumerate(rules)]
     )
     folded_rel = [(i, col, parent, pk) for i, (col, parent, pk) in enumerate(t.relationships) if col in keys]
     for i, col, parent, pk in folded_rel:
         hits = parent.select(F.col(pk).alias(f"_pk{i}")).distinct().withColumn(f"_hit{i}", F.lit(True))
         grouped = join_bounded(grouped, hits, F.col(col) == F.col(f"_pk{i}"), "left", DIM_MAX_ROWS)
-    totals = [F.sum(f"_r{i}").alias(f"_r{i}") for i in range(len(row_rules))]
+    totals = [F.sum(f"_r{i}").alias(f"_r{i}") for i in range(len(rules))]
+    tests = [(check, col, f"_r{i}") for i, (check, col, _) in enumerate(rules)]
     if keys:
         totals.append(F.count_if(F.col("_n") > 1).alias("_unique"))
+        tests.append(("unique", ",".join(keys), "_unique"))
     for i, col, _, _ in folded_rel:
         totals.append(F.sum(F.when(F.col(col).isNotNull() & F.col(f"_hit{i}").isNull(), F.col("_n"))).alias(f"_rel{i}"))
-    report_rows = [F.struct(F.lit(kind).alias("check"), F.lit(col).alias("column"), F.col(f"_r{i}").alias("violations"))
-                   for i, (kind, col, _) in enumerate(row_rules)]
-    if keys:
-        report_rows.append(F.struct(F.lit("unique").alias("check"), F.lit(",".join(keys)).alias("column"),
-                                    F.col("_unique").alias("violations")))
-    for i, col, _, _ in folded_rel:
-        report_rows.append(F.struct(F.lit("relationships").alias("check"), F.lit(col).alias("column"),
-                                    F.coalesce(F.col(f"_rel{i}"), F.lit(0)).alias("violations")))
-    out = grouped.agg(*totals).select(F.inline(F.array(*report_rows)))
-    out = out.select("check", F.lit(t.name).alias("table"), "column", F.coalesce(F.col("violations"), F.lit(0)).cast("bigint").alias("violations"))
+        tests.append(("relationships", col, f"_rel{i}"))
+    report_rows = [
+        F.struct(F.lit(check).alias("check"), F.lit(table).alias("table"), F.lit(shown).alias("column"), F.coalesce(F.col(count), F.lit(0)).cast("bigint").alias("violations"))
+        for check, col, count in tests for table, shown in _mirrored(t, check, col)
+    ]
+    out = grouped.agg(*totals).select(F.inline(F.array(*report_rows))) if report_rows else t.df.sparkSession.createDataFrame([], REPORT)
     # tests the single pass cannot fold: further unique keys, relationships on non-key columns
     for extra in t.unique[1:]:
         dup = check_unique(t.df, extra).agg(F.count(F.lit(1)).alias("violations"))
@@ -178,14 +225,21 @@ def _table_report(t: TableChecks) -> DataFrame:
     return out
 
 
-def run_checks(tables: Sequence[TableChecks]) -> DataFrame:
+def run_checks(tables: Sequence[TableChecks], row_rules: bool = True) -> DataFrame:
     """One report row per test: (check, table, column, violations), one aggregation
-    pass per table (see ``_table_report``)."""
-    parts = [_table_report(t) for t in tables]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    pass per table (see ``table_report``)."""
+    return reduce(DataFrame.unionByName, [table_report(t, row_rules) for t in tables])
+
+
+class QualityError(ValueError):
+    """Some declared test of a table is violated."""
+
+
+def assert_clean(report: DataFrame) -> None:
+    """Raise with the violated tests of a report (one row per test)."""
+    bad = report.where("violations > 0").orderBy("table", "check", "column").collect()
+    if bad:
+        raise QualityError("violated: " + "; ".join(f"{r['table']}.{r['column']} {r['check']} ({r['violations']})" for r in bad))
 
 
 def check_dim(dim: DataFrame, expected_rows: int | None = None, lat=(20.0, 36.0), lon=(-18.0, -1.0)) -> DataFrame:

@@ -139,6 +139,10 @@ def stg_agriculture(raw: DataFrame) -> DataFrame:
     return raw.select(*cols)
 
 
-def with_year_partition(silver_weather: DataFrame) -> DataFrame:
-    """Add the ``year`` column silver weather is partitioned by (pruning key)."""
-    return silver_weather.withColumn("year", F.year("observation_date"))
+# Silver weather is partitioned by these (pruning keys; a correction rewrites its months).
+PARTITIONS = ("year", "month")
+
+
+def with_partitions(silver_weather: DataFrame) -> DataFrame:
+    """Add the ``year`` and ``month`` that silver weather is partitioned by."""
+    return silver_weather.withColumns({"year": F.year("observation_date"), "month": F.month("observation_date")})

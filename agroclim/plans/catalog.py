@@ -449,9 +449,10 @@ def q_dq_days_observed(spark, root):
 
 @register("dq_report")
 def q_dq_report(spark, root):
-    from agroclim.plans.checks import proxy_suite
+    """K7: the 51 declared tests over the stored panel."""
+    from agroclim.plans.checks import proxy_report
 
-    return quality.run_checks(proxy_suite(spark, root, CODE_PATTERN, PROXY_CODES))
+    return proxy_report(spark, root, PROXY_CODES)
 
 
 @register("orphan_regions")

@@ -6,12 +6,15 @@ is re-run alone and a lost executor recomputes from files, not from a long linea
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agroclim.constants import ISO_CODE_PATTERN, MOCK_PREFIX
 from agroclim.functions.numbers import parse_decimal, parse_year
 from agroclim.operators import cleaning, gold, silver
+from agroclim.operators.quality import assert_clean
 from agroclim.operators.report import merge_kpis
 from agroclim.plans import serving
 from agroclim.plans.upsert import assert_unique_keys
@@ -27,7 +30,7 @@ def silver_weather_from_bronze(spark: SparkSession, bronze_root: str) -> DataFra
     payloads = bronze.read_bronze_weather(spark, f"{bronze_root.rstrip('/')}/openmeteo")
     daily = silver.coerce_raw_weather(silver.explode_daily(payloads, extra=list(WEATHER_INGEST_ORDER)))
     newest = silver.latest_wins(daily, WEATHER_KEYS, WEATHER_INGEST_ORDER)
-    return silver.with_year_partition(
+    return silver.with_partitions(
         silver.stg_weather(newest.withColumn("_ingested_at", F.to_timestamp("ingest_date")), keep=WEATHER_INGEST_ORDER)
     )
 
@@ -81,6 +84,25 @@ def silver_to_gold(spark: SparkSession, silver_root: str, dim_region: DataFrame,
     return serving.write_gold(spark, region_year, dim_region, gold_root)
 
 
+def check_stored(spark: SparkSession, silver_root: str, gold_root: str, region_codes: Sequence[str], fail: bool = True) -> DataFrame:
+    """The 51 declared tests over stored silver and gold, one pass per table, after the
+    gold job. The report replaces ``<gold_root>/quality_report``; a violation raises
+    ``QualityError`` (after the report is written) unless ``fail`` is off."""
+    from agroclim.plans.checks import check_tables
+
+    root = gold_root.rstrip("/")
+    weather, agriculture = read_silver(spark, silver_root)
+    tables = {
+        "stg_weather_daily": weather, "stg_agriculture_regional": agriculture,
+        **{name: spark.read.parquet(f"{root}/{name}") for name in (serving.REGION_YEAR, "fct_region_climate_kpi", "fct_solar_potential", "dim_region")},
+    }
+    check_tables(tables, region_codes).write.mode("overwrite").parquet(f"{root}/quality_report")
+    report = spark.read.parquet(f"{root}/quality_report")
+    if fail:
+        assert_clean(report)
+    return report
+
+
 def read_marts(spark: SparkSession, gold_root: str) -> DataFrame:
     """Both facts read back and merged for the report layer."""
     root = gold_root.rstrip("/")

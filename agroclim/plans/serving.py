@@ -14,6 +14,8 @@ from agroclim.constants import SERVING_COLUMNS
 from agroclim.functions.display import drought_label, drought_sort, year_label
 from agroclim.operators import gold
 from agroclim.operators.joins import join_bounded
+from agroclim.operators.quality import QualityError, assert_clean, run_checks
+from agroclim.sources import files
 
 DIM_MAX_ROWS = 100_000
 
@@ -63,6 +65,9 @@ def _view(facts: DataFrame, dim_region: DataFrame) -> DataFrame:
     )
 
 
+REQUIRED = tuple(SERVING_COLUMNS)  # a serving version holds all four tables
+
+
 def assert_non_empty(frames: Mapping[str, DataFrame]) -> None:
     """Refuse to publish when any staged table is empty (``isEmpty`` reads at most
     one row per table)."""
@@ -96,71 +101,95 @@ def gold_frames(region_year: DataFrame, dim_region: DataFrame) -> dict[str, Data
     }
 
 
+REGION_YEAR = "int_weather_agriculture_join"
+
+
 def write_gold(spark: SparkSession, region_year: DataFrame, dim_region: DataFrame, root: str) -> dict[str, int]:
-    """Persist region_year once (it feeds three outputs), write the gold tables,
-    release the cache. Counts come from the writes."""
-    cached = region_year.persist()
-    try:
-        return write_tables(gold_frames(cached, dim_region), root)
-    finally:
-        cached.unpersist()
+    """Store region_year once (it feeds three outputs and the quality suite) and write the
+    gold tables from the stored rows. Counts come from the writes."""
+    write_tables({REGION_YEAR: region_year}, root)
+    stored = spark.read.parquet(f"{root.rstrip('/')}/{REGION_YEAR}")
+    return write_tables(gold_frames(stored, dim_region), root)
 
 
-# --- publish: versioned directories + one pointer file ------------------------------------
+# --- publish: versions, and commits numbered without gaps ---------------------------------
 
+COMMITS = "_commits"
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath, jvm
+
+def commits(spark: SparkSession, serving_root: str) -> list[tuple[int, str]]:
+    """(number, version) of the commits, oldest first. A commit whose file is not
+    complete yet (a publisher is writing it) does not count."""
+    out = []
+    folder = f"{serving_root.rstrip('/')}/{COMMITS}"
+    for name in files.names(spark, folder):
+        if not name.isdigit():
+            continue
+        try:
+            out.append((int(name), json.loads(files.read_text(spark, f"{folder}/{name}"))["version"]))
+        except (ValueError, KeyError):
+            continue
+    return out
 
 
 def current_version(spark: SparkSession, serving_root: str) -> str | None:
-    """Version directory named by ``serving_root/_CURRENT`` (None before the first publish)."""
-    fs, _, jvm = _fs(spark, serving_root)
-    pointer = jvm.org.apache.hadoop.fs.Path(f"{serving_root.rstrip('/')}/_CURRENT")
-    if not fs.exists(pointer):
-        return None
-    stream = fs.open(pointer)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        return json.loads(reader.readLine())["version"]
-    finally:
-        stream.close()
+    """The version of the newest commit (None before the first publish)."""
+    done = commits(spark, serving_root)
+    return done[-1][1] if done else None
 
 
-def read_serving(spark: SparkSession, serving_root: str, table: str) -> DataFrame:
-    """Read a table of the current serving version."""
-    version = current_version(spark, serving_root)
+def read_serving(spark: SparkSession, serving_root: str, table: str, version: str | None = None) -> DataFrame:
+    """Read a table of the current serving version, or of a given one. A reader that
+    joins tables takes ``current_version`` once and passes it to every read."""
+    version = version or current_version(spark, serving_root)
     if version is None:
         raise FileNotFoundError(f"nothing published under {serving_root}")
     return spark.read.parquet(f"{serving_root.rstrip('/')}/{version}/{table}")
 
 
-def publish(spark: SparkSession, frames: Mapping[str, DataFrame], serving_root: str) -> str:
-    """All-or-nothing replacement of every serving table.
-
-    Guard first (no empty table), then write all tables into a fresh version
-    directory, then switch the ``_CURRENT`` pointer with one rename. Readers see
-    either the old version or the new one, never a mix or an empty table.
-    """
-    assert_non_empty(frames)
+def stage(spark: SparkSession, frames: Mapping[str, DataFrame], serving_root: str) -> str:
+    """Write all four tables into the folder of a new version that no reader sees yet."""
+    missing, unknown = sorted(set(REQUIRED) - set(frames)), sorted(set(frames) - set(REQUIRED))
+    if missing or unknown:
+        raise ValueError(f"publish cancelled: missing tables {missing}, unknown tables {unknown}")
     version = f"v-{uuid.uuid4().hex}"
-    root = serving_root.rstrip("/")
-    write_tables({name: select_serving(df, name) if name in SERVING_COLUMNS else df for name, df in frames.items()},
-                 f"{root}/{version}")
-    fs, _, jvm = _fs(spark, root)
-    Path = jvm.org.apache.hadoop.fs.Path
-    tmp = Path(f"{root}/_CURRENT.{version}.tmp")
-    out = fs.create(tmp, True)
+    folder = f"{serving_root.rstrip('/')}/{version}"
+    counts = write_tables({name: select_serving(df, name) for name, df in frames.items()}, folder)
+    empty = [name for name, n in counts.items() if n == 0]
+    if empty:
+        files.delete(spark, folder)
+        raise ValueError(f"staged tables are empty, publish cancelled: {empty}")
+    return version
+
+
+def validate(spark: SparkSession, serving_root: str, version: str) -> None:
+    """Run the declared checks on the staged files; a violation raises and removes them."""
+    from agroclim.plans.checks import serving_suite
+
+    tables = {name: read_serving(spark, serving_root, name, version) for name in REQUIRED}
     try:
-        out.write(bytearray(json.dumps({"version": version}).encode("utf-8")))
-    finally:
-        out.close()
-    final = Path(f"{root}/_CURRENT")
-    # One overwriting rename: readers find the old pointer or the new one at any time.
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    options = spark.sparkContext._gateway.new_array(rename, 1)
-    options[0] = rename.OVERWRITE
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(tmp, final, options)
+        assert_clean(run_checks(serving_suite(tables)))
+    except QualityError:
+        files.delete(spark, f"{serving_root.rstrip('/')}/{version}")
+        raise
+
+
+def commit(spark: SparkSession, serving_root: str, version: str) -> int:
+    """Make a staged version the current one: create the commit of the next number, a
+    file that must not exist yet. Of two publishers at once one gets the number, the
+    other the next; nothing is renamed or replaced, so object stores serve as well."""
+    folder = f"{serving_root.rstrip('/')}/{COMMITS}"
+    number = max((int(n) for n in files.names(spark, folder) if n.isdigit()), default=0) + 1
+    while not files.create_new(spark, f"{folder}/{number:012d}", json.dumps({"version": version})):
+        number += 1
+    return number
+
+
+def publish(spark: SparkSession, frames: Mapping[str, DataFrame], serving_root: str) -> str:
+    """All-or-nothing replacement of every serving table: stage all four, check the
+    staged files, commit. Readers see the old version until the commit exists and the
+    new one from then on; whatever fails before leaves them the old one."""
+    version = stage(spark, frames, serving_root)
+    validate(spark, serving_root, version)
+    commit(spark, serving_root, version)
     return version

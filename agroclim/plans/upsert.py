@@ -5,32 +5,31 @@ Plain Parquet has no MERGE, so an upsert is a rewrite of the touched part:
 * the batch must not repeat a key (the database would reject the statement);
 * every non-key column of a conflicting row is replaced, nulls included, and the
   ingestion time is refreshed;
-* for a table partitioned by ``year`` only the years the batch touches are
-  rewritten (dynamic partition overwrite); an unpartitioned table is rewritten whole.
-
-The merged rows are checkpointed to the cluster's shared checkpoint folder before
-the overwrite, so the write never reads the files it replaces and a lost executor
-recomputes from the checkpoint, not from a half-rewritten table.
+* every upsert stamps its rows with source, URL, batch id and time;
+* of a partitioned table only the partitions that the batch touches are read and
+  rewritten (dynamic partition overwrite); an unpartitioned table is written beside
+  the old one and takes its place by renames, so it is never half there.
+
+Batch and merged rows are written into the cluster's shared checkpoint folder first:
+the write never reads the files it replaces, and a lost executor reads them again. The
+folder is removed at the end.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from agroclim.constants import SOURCE_WEATHER
 from agroclim.operators.joins import forget_sizes
 from agroclim.operators.quality import check_unique
-from agroclim.operators.silver import latest_wins
-from agroclim.schemas import AGRICULTURE_KEYS, WEATHER_KEYS
+from agroclim.operators.silver import latest_wins, with_audit
+from agroclim.schemas import AGRI_MEASURE_TYPES, AGRICULTURE_KEYS, WEATHER_KEYS, WEATHER_MEASURE_TYPES
 from agroclim.session import checkpoint_dir
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    from agroclim.sources.bronze import path_exists
-
-    return path_exists(spark, path)
+from agroclim.sources import files
 
 
 def assert_unique_keys(batch: DataFrame, keys: Sequence[str]) -> None:
@@ -47,11 +46,25 @@ def upsert_rows(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> Dat
     return target.join(batch.select(*keys), keys, "left_anti").unionByName(batch.select(*target.columns))
 
 
-def _write(df: DataFrame, path: str, partition_col: str | None) -> None:
-    writer = df.write.mode("overwrite")
-    if partition_col:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(partition_col)
+def counted_write(df: DataFrame, path: str, partitions: Sequence[str] = (), mode: str = "overwrite") -> int:
+    """Write Parquet (touched partitions only, if partitioned); the rows are counted in the write."""
+    seen = Observation(f"rows-{uuid.uuid4().hex}")
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode(mode)
+    if partitions:
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partitions)
     writer.parquet(path)
+    return int(seen.get["rows"])
+
+
+def in_partitions(df: DataFrame, partitions: Sequence[str], touched: Sequence[Sequence]) -> DataFrame:
+    """The rows of the listed partitions, by literals, so that the scan opens no other file."""
+    if not touched:
+        return df.where(F.lit(False))
+    values = [F.concat_ws("/", *[F.lit(str(v)) for v in row]) for row in touched]
+    pruned = df.where(F.col(partitions[0]).cast("string").isin(sorted({str(row[0]) for row in touched})))
+    if len(partitions) == 1:
+        return pruned
+    return pruned.where(F.concat_ws("/", *[F.col(c).cast("string") for c in partitions]).isin(values))
 
 
 def upsert(
@@ -59,73 +72,109 @@ def upsert(
     path: str,
     batch: DataFrame,
     keys: Sequence[str],
-    partition_col: str | None = None,
-    partition_of: F.Column | None = None,
+    partitions: Mapping[str, Column] | None = None,
     newest_wins: Sequence[str] | None = None,
 ) -> int:
     """Upsert ``batch`` into the Parquet table at ``path``; returns the batch row count.
 
-    ``partition_col``/``partition_of``: the table's partition column and how a batch
-    row computes it (e.g. ``year(date)``). ``newest_wins``: when given, a conflicting
-    row is replaced only if the batch row is newer by these columns (late, older data
-    never overwrites newer data); by default the batch always wins.
+    ``partitions``: the table's partition columns and how a batch row computes them
+    (e.g. year and month of the date; a table that exists keeps those of them it has).
+    ``newest_wins``: when given, a conflicting row is replaced only if the batch row is
+    newer by these columns (late, older data never overwrites newer data); by default
+    the batch always wins.
     """
-    keys = list(keys)
-    if partition_col and partition_of is not None:
-        batch = batch.withColumn(partition_col, partition_of)
-    batch = batch.persist()  # counted, checked and merged: computed once
+    keys, partitions = list(keys), dict(partitions or {})
+    work = f"{checkpoint_dir(spark).rstrip('/')}/upsert-{uuid.uuid4().hex}"
+    files.recover(spark, path)
     try:
-        n = batch.count()
+        n = counted_write(batch.withColumns(partitions) if partitions else batch, f"{work}/batch")
         if n == 0:
             return 0
+        batch = spark.read.parquet(f"{work}/batch")
         assert_unique_keys(batch, keys)
-        checkpoint_dir(spark)
-        if not _exists(spark, path):
-            _write(batch, path, partition_col)
+        if not files.exists(spark, path):
+            counted_write(batch, path, list(partitions))
             return n
         target = spark.read.parquet(path)
-        aligned = batch.select(*target.columns)
-        if partition_col:
-            # distinct partition values of one batch (calendar years): a small, bounded set
-            touched = aligned.select(partition_col).distinct()
-            target = target.join(F.broadcast(touched), partition_col, "left_semi")
+        held = [c for c in partitions if c in target.columns]
+        aligned = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
+        if held:
+            # the distinct partition values of one batch: calendar years or months
+            touched = [tuple(r) for r in aligned.select(*held).distinct().collect()]
+            target = in_partitions(target, held, touched)
         if newest_wins:
             merged = latest_wins(target.unionByName(aligned), keys, list(newest_wins))
         else:
             merged = upsert_rows(target, aligned, keys)
-        merged = merged.checkpoint(eager=True)
-        _write(merged, path, partition_col)
+        if held:
+            merged.write.parquet(f"{work}/merged")
+            counted_write(spark.read.schema(merged.schema).parquet(f"{work}/merged"), path, held)
+        else:
+            staged = files.beside(path)
+            counted_write(merged, staged)
+            files.switch(spark, staged, path)
         forget_sizes()
         return n
     finally:
-        batch.unpersist()
+        files.delete(spark, work)
+
+
+def apply_once(spark: SparkSession, path: str, token: str, work: Callable[[], int]) -> int | None:
+    """Run ``work`` for the table at ``path`` unless ``token`` was applied before (then None).
+
+    The token is a file under ``_applied`` in the table, created after the work: a stop in
+    between repeats the work, which must be idempotent, and a replay does nothing.
+    """
+    marker = f"{path.rstrip('/')}/_applied/{token}"
+    if files.exists(spark, marker):
+        return None
+    done = work()
+    files.create_new(spark, marker, str(done))
+    return done
+
+
+def new_batch_id() -> str:
+    return str(uuid.uuid4())
 
 
-def upsert_weather(spark: SparkSession, path: str, batch: DataFrame) -> int:
-    """Upsert raw weather rows on (region_code, date); ``_ingested_at`` is refreshed;
-    the table is partitioned by year."""
-    fresh = batch.withColumn("_ingested_at", F.current_timestamp())
-    return upsert(spark, path, fresh, WEATHER_KEYS, partition_col="year", partition_of=F.year("date"))
+MONTHS = {"year": lambda day: F.year(day), "month": lambda day: F.month(day)}
 
 
-def upsert_agriculture(spark: SparkSession, path: str, batch: DataFrame, source: str) -> int:
+def month_of(date_col: str) -> dict[str, Column]:
+    """The partition columns of daily tables: year and month of the day."""
+    return {name: of(date_col) for name, of in MONTHS.items()}
+
+
+def upsert_weather(
+    spark: SparkSession, path: str, batch: DataFrame, batch_id: str | None = None,
+    source: str = SOURCE_WEATHER, source_url: str | None = None,
+) -> int:
+    """Upsert raw weather rows on (region_code, date), stamped with the batch (id, source,
+    URL, time); a ``source_url`` column of the rows wins over the parameter."""
+    known = [*WEATHER_KEYS, *WEATHER_MEASURE_TYPES]
+    fresh = with_audit(batch, known, batch_id or new_batch_id(), source, source_url)
+    return upsert(spark, path, fresh, WEATHER_KEYS, partitions=month_of("date"))
+
+
+def upsert_agriculture(
+    spark: SparkSession, path: str, batch: DataFrame, source: str, batch_id: str | None = None, source_url: str | None = None
+) -> int:
     """Upsert raw agriculture rows on (region_code, annee); ``source`` is mandatory."""
     if not source:
         raise ValueError("source is mandatory for agriculture rows")
-    fresh = batch.withColumn("_source", F.lit(source)).withColumn("_ingested_at", F.current_timestamp())
-    return upsert(spark, path, fresh, AGRICULTURE_KEYS)
+    known = [*AGRICULTURE_KEYS, *AGRI_MEASURE_TYPES]
+    return upsert(spark, path, with_audit(batch, known, batch_id or new_batch_id(), source, source_url), AGRICULTURE_KEYS)
 
 
 def overwrite_table(spark: SparkSession, df: DataFrame, path: str) -> int:
-    """Full recompute written over ``path`` (idempotent). When ``df`` reads ``path``
-    itself, the rows are checkpointed first so the overwrite never reads what it
-    deletes. Returns the row count, observed during the write."""
-    from pyspark.sql import Observation
-
-    checkpoint_dir(spark)
-    reads_target = any(path.rstrip("/") in f for f in df.inputFiles())
-    out = df.checkpoint(eager=True) if reads_target else df
-    obs = Observation("rows")
-    out.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    """Full recompute of the table at ``path`` (idempotent), also of one that ``df`` reads:
+    the rows are written beside it and take its place. Returns the row count."""
+    files.recover(spark, path)
+    staged = files.beside(path)
+    try:
+        n = counted_write(df, staged)
+        files.switch(spark, staged, path)
+    finally:
+        files.delete(spark, staged)
     forget_sizes()
-    return int(obs.get["rows"])
+    return n

@@ -86,3 +86,20 @@ DIM_REGION = T.StructType(
 # Keys of each raw table (upsert conflict targets and uniqueness checks).
 WEATHER_KEYS = ("region_code", "date")
 AGRICULTURE_KEYS = ("region_code", "annee")
+
+# Silver weather as the jobs write it (columns that the gold tables read).
+SILVER_WEATHER = T.StructType(
+    [
+        T.StructField("region_code", T.StringType()),
+        T.StructField("observation_date", T.DateType()),
+        T.StructField("temp_mean_c", T.DecimalType(5, 2)),
+        T.StructField("precipitation_mm", T.DecimalType(6, 2)),
+        T.StructField("et0_mm", T.DecimalType(6, 2)),
+        T.StructField("solar_radiation_kwh_m2", T.DecimalType(10, 3)),
+        T.StructField("humidity_mean_pct", T.DecimalType(5, 2)),
+        T.StructField("has_water_balance_data", T.BooleanType()),
+        T.StructField("has_solar_data", T.BooleanType()),
+        T.StructField("year", T.StringType()),
+        T.StructField("month", T.StringType()),
+    ]
+)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agroclim.constants import REGIONS, SERVING_COLUMNS
+from agroclim.operators.silver import PARTITIONS, with_partitions
 from agroclim.schemas import DIM_REGION
 
 BOM = "\ufeff"
@@ -44,17 +45,20 @@ def land_bronze_agriculture(rows: DataFrame, root: str, ingest_date: str, source
 
 
 def write_silver_weather(df: DataFrame, path: str, full: bool = False) -> None:
-    """Silver weather as Parquet partitioned by ``year``, rows sorted by region and
-    day inside each file (the (region, date) access path). A ``full`` recompute
-    replaces the whole table; otherwise only the years present in ``df`` are replaced.
-    Each month goes to one task, so a year has at most twelve files."""
-    out = df if "year" in df.columns else df.withColumn("year", F.year("observation_date"))
+    """Silver weather as Parquet partitioned by year and month, rows sorted by region and
+    day inside each file (the (region, date) access path). A ``full`` recompute replaces
+    the whole table; otherwise only the months present in ``df`` are replaced.
+
+    The rebalance hint deals the rows by month; adaptive execution splits a month beyond
+    the advisory partition size over several tasks and packs small ones together, so no
+    month is one task and files are neither tiny nor unbounded.
+    """
+    out = with_partitions(df).hint("rebalance", *[F.col(c) for c in PARTITIONS])
     (
-        out.repartition("year", F.month("observation_date"))
-        .sortWithinPartitions("year", "region_code", "observation_date")
+        out.sortWithinPartitions(*PARTITIONS, "region_code", "observation_date")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static" if full else "dynamic")
-        .partitionBy("year")
+        .partitionBy(*PARTITIONS)
         .parquet(path)
     )
 

@@ -5,17 +5,20 @@ reduced to the newest ingestion per (region_code, date) inside the micro-batch,
 merged into silver so that the newer of batch and table wins per key. Late data is
 not dropped by a watermark: a correction arriving days later (newer ingest_date)
 replaces the stored day, while an older re-delivery never overwrites a newer one.
-Re-running a micro-batch leaves the same table (the merge is a max per key).
+Only the months that a micro-batch touches are read and rewritten, and a micro-batch
+that was applied before (its number is kept with the table) does nothing.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from agroclim.operators.silver import coerce_raw_weather, explode_daily, latest_wins, stg_weather
-from agroclim.plans.upsert import upsert
+from agroclim.plans.upsert import apply_once, month_of, upsert
 from agroclim.schemas import BRONZE_WEATHER, WEATHER_KEYS
 from agroclim.sources.bronze import WEATHER_INGEST_ORDER, WEATHER_LAYOUT
 
@@ -44,19 +47,23 @@ def silver_rows(payloads: DataFrame) -> DataFrame:
 
 
 def merge_into_silver(spark: SparkSession, batch: DataFrame, silver_path: str) -> int:
-    """Merge one micro-batch into silver (year partitions touched only)."""
-    rows = silver_rows(batch)
+    """Merge one micro-batch into silver (touched months only); returns the days it brought."""
     return upsert(
         spark,
         silver_path,
-        rows,
+        silver_rows(batch),
         ["region_code", "observation_date"],
-        partition_col="year",
-        partition_of=F.year("observation_date"),
+        partitions=month_of("observation_date"),
         newest_wins=list(INGEST_ORDER),
     )
 
 
+def apply_batch(batch: DataFrame, batch_id: int, silver_path: str, stream: str) -> int | None:
+    """Merge micro-batch ``batch_id`` of ``stream`` once; None if it was applied before."""
+    spark = batch.sparkSession
+    return apply_once(spark, silver_path, f"{stream}-{batch_id:012d}", lambda: merge_into_silver(spark, batch, silver_path))
+
+
 def stream_bronze_to_silver(
     spark: SparkSession,
     bronze_root: str,
@@ -80,8 +87,11 @@ def stream_bronze_to_silver(
         .withColumn("_file", F.input_file_name())
     )
 
+    # the checkpoint's place names the stream: a new checkpoint counts its batches anew
+    stream = hashlib.sha256(checkpoint_location.rstrip("/").encode()).hexdigest()[:16]
+
     def each_batch(batch: DataFrame, batch_id: int) -> None:
-        merge_into_silver(batch.sparkSession, batch, silver_path)
+        apply_batch(batch, batch_id, silver_path, stream)
 
     writer = source.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

@@ -3,10 +3,12 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from agroclim.constants import DAILY_VARIABLES
 from agroclim.operators import cleaning
+from agroclim.operators.quality import QualityError
 from agroclim.plans import jobs, serving
 from agroclim.sources import sinks
 
@@ -49,6 +51,11 @@ def test_medallion_jobs(spark, tmp_path):
     from agroclim.sources.bronze import load_dim_region
 
     gold_counts = jobs.silver_to_gold(spark, str(tmp_path / "silver"), load_dim_region(spark, str(tmp_path / "dim")), str(tmp_path / "gold"))
+    report = jobs.check_stored(spark, str(tmp_path / "silver"), str(tmp_path / "gold"), [r.region_code for r in load_dim_region(spark, str(tmp_path / "dim")).collect()])
+    assert report.count() == 51 and report.where("violations > 0").count() == 0
+    with pytest.raises(QualityError, match="dim_region.region_code accepted_values"):
+        jobs.check_stored(spark, str(tmp_path / "silver"), str(tmp_path / "gold"), ["MA-01"])
+    assert spark.read.parquet(str(tmp_path / "gold" / "quality_report")).where("violations > 0").count() == 1
     assert gold_counts == {"dim_region": 12, "dim_year": 2, "fct_region_climate_kpi": 3, "fct_solar_potential": 3}
     climate = {(r.region_code, r.year): r for r in spark.read.parquet(str(tmp_path / "gold" / "fct_region_climate_kpi")).collect()}
     k = climate[("MA-01", 2024)]
@@ -59,9 +66,56 @@ def test_medallion_jobs(spark, tmp_path):
     assert jobs.read_marts(spark, str(tmp_path / "gold")).count() == 3
 
 
-def test_colliding_labels_in_one_load_raise(spark, tmp_path):
-    import pytest
+def test_corrections_refresh_their_months_only(spark, tmp_path):
+    from agroclim.operators import gold
+    from agroclim.plans import incremental_gold as inc
+    from agroclim.plans.upsert import month_of, upsert
+    from agroclim.sources.sinks import region_rows
+
+    silver, part, full = str(tmp_path / "silver"), str(tmp_path / "part"), str(tmp_path / "full")
+    days = [dt.date(2022, 1, 1) + dt.timedelta(days=i) for i in range(3 * 365)]
+    rows = spark.createDataFrame([(r, d, 15.0 + d.month, d.day / 4, 3.0, 20.0, 50.0) for r in ("MA-01", "MA-02") for d in days],
+                                 "region_code string, observation_date date, t double, p double, e double, s double, h double")
+    weather = rows.select(
+        "region_code", "observation_date", *[F.col(c).cast(t).alias(n) for c, n, t in (("t", "temp_mean_c", "decimal(5,2)"), ("p", "precipitation_mm", "decimal(6,2)"),
+                                                                        ("e", "et0_mm", "decimal(6,2)"), ("h", "humidity_mean_pct", "decimal(5,2)"))],
+        F.round(F.col("s").cast("decimal(7,2)") / 3, 3).cast("decimal(10,3)").alias("solar_radiation_kwh_m2"), F.lit(True).alias("has_water_balance_data"), F.lit(True).alias("has_solar_data"))
+    sinks.write_silver_weather(weather, f"{silver}/weather_daily", full=True)
+    agri = spark.createDataFrame([("MA-01", 2023, 1.0, 2.0, 3.0, "datagovma", False)],
+                                 "region_code string, year int, production_tonnes double, irrigated_area_ha double, water_resource_m3 double, data_source string, is_mock boolean")
+    sinks.write_silver_agriculture(agri, f"{silver}/agriculture_regional")
+    dim = region_rows(spark)
+    first = inc.refresh_gold(spark, silver, dim, part)
+    assert first["fct_region_climate_kpi"] == 6
+
+    window = weather.where("region_code = 'MA-01' and observation_date between '2023-02-26' and '2023-03-02'")
+    correction = window.withColumn("precipitation_mm", F.lit(30).cast("decimal(6,2)")).withColumn("solar_radiation_kwh_m2", F.lit(None).cast("decimal(10,3)"))
+    upsert(spark, f"{silver}/weather_daily", correction, ["region_code", "observation_date"], partitions=month_of("observation_date"))
+    months = inc.touched_months(correction)
+    assert months == [(2023, 2), (2023, 3)]
+    # the files of every other month become unreadable: the refresh must not open them
+    kept = {}
+    for f in (tmp_path / "silver" / "weather_daily").rglob("*.parquet"):
+        if f.parent.name not in ("month=2", "month=3") or f.parent.parent.name != "year=2023":
+            kept[f] = f.read_bytes()
+            f.write_bytes(b"no parquet here")
+            (f.parent / f".{f.name}.crc").unlink(missing_ok=True)
+    inc.refresh_gold(spark, silver, dim, part, months)
+    for f, data in kept.items():
+        f.write_bytes(data)
+    spark.catalog.clearCache()
+    counts = jobs.silver_to_gold(spark, silver, dim, full)
+    assert counts["dim_year"] == 3
+    for name in ("fct_region_climate_kpi", "fct_solar_potential", "dim_year", "int_weather_agriculture_join"):
+        a, b = spark.read.parquet(f"{part}/{name}"), spark.read.parquet(f"{full}/{name}")
+        assert a.dtypes == b.dtypes
+        assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect())), name
+    # totals of any split of the days add up to the same
+    halves = [gold.day_totals(weather.where(c)) for c in ("day(observation_date) % 2 = 0", "day(observation_date) % 2 = 1")]
+    assert sorted(map(repr, gold.merge_totals(halves[0].unionByName(halves[1])).collect())) == sorted(map(repr, gold.day_totals(weather).collect()))
 
+
+def test_colliding_labels_in_one_load_raise(spark, tmp_path):
     bronze_root = tmp_path / "bronze"
     agri = spark.createDataFrame(
         [("Souss-Massa", "2020", "1", "1", "1"), ("Souss-Massa-Drâa", "2020", "2", "2", "2")],

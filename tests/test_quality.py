@@ -25,6 +25,28 @@ def test_checks(spark):
                       ("unique", "region_code,year"): 1, ("relationships", "region_code"): 0}
 
 
+def test_rules_observed_in_a_write_equal_the_counted_ones(spark, tmp_path):
+    rows = [("MA-01", 2020, 10.0, "sec"), ("MA-01", 2020, -1.0, "bad"), ("MA-09", 2021, None, None), (None, 2022, 101.0, "humide")]
+    df = spark.createDataFrame(rows, "region_code string, year int, v double, cls string")
+    dim = spark.createDataFrame([("MA-01",), ("MA-02",)], "region_code string")
+
+    def checks(frame):
+        return TableChecks("t", frame, unique=[("region_code", "year")], not_null=["region_code", "v"], ranges=[("v", 0, 100)],
+                           accepted=[("cls", ("sec", "humide"))], relationships=[("region_code", dim, "region_code")],
+                           mirrors={"raw": {"region_code": "code", "year": "annee"}})
+
+    declared = checks(df)
+    watched, seen = quality.observe_rules(declared)
+    watched.write.parquet(str(tmp_path / "t"))
+    got = quality.observed_report(declared, seen)
+    got += [tuple(r) for r in quality.run_checks([checks(spark.read.parquet(str(tmp_path / "t")))], row_rules=False).select("check", "table", "column", "violations").collect()]
+    whole = [tuple(r) for r in quality.run_checks([declared]).select("check", "table", "column", "violations").collect()]
+    assert sorted(got) == sorted(whole)
+    assert set(whole) == {
+        ("not_null", "t", "region_code", 1), ("not_null", "raw", "code", 1), ("not_null", "t", "v", 1), ("accepted_range", "t", "v", 2),
+        ("accepted_values", "t", "cls", 1), ("unique", "t", "region_code,year", 1), ("unique", "raw", "code,annee", 1), ("relationships", "t", "region_code", 1)}
+
+
 def test_raw_rules(spark):
     df = spark.createDataFrame([("MA-01", 2020), ("X-1", 2020), ("MA-02", 1800)], "region_code string, annee int")
     bad = {r.region_code: r.broken_rules for r in quality.check_raw_rules(df, "agriculture", r"^MA-[0-9]{2}$").collect()}

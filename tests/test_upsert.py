@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from agroclim.plans import upsert as up
+from agroclim.session import checkpoint_dir
+from agroclim.sources import files
 
 SCHEMA = "region_code string, date date, precipitation_sum double"
 
@@ -33,6 +35,56 @@ def test_weather_upsert(spark, tmp_path):
         up.upsert_weather(spark, path, rows(spark, [("MA-01", d(2024, 1, 1), 1), ("MA-01", d(2024, 1, 1), 2)]))
     assert up.upsert_weather(spark, path, rows(spark, [("MA-01", d(2023, 1, 1), 1)])) == 1  # idempotent re-run
     assert spark.read.parquet(path).count() == 3
+    # every row is stamped with its batch
+    up.upsert_weather(spark, path, rows(spark, [("MA-03", d(2024, 2, 1), 1)]), batch_id="b-7", source="open-meteo-archive", source_url="http://x/1")
+    per_row = rows(spark, [("MA-04", d(2024, 2, 1), 1)]).withColumn("source_url", F.lit("http://x/2"))
+    up.upsert_weather(spark, path, per_row, batch_id="b-8", source_url="http://x/ignored")
+    stamped = {r.region_code: (r._batch_id, r._source, r._source_url) for r in spark.read.parquet(path).where("date = '2024-02-01'").collect()}
+    assert stamped == {"MA-03": ("b-7", "open-meteo-archive", "http://x/1"), "MA-04": ("b-8", "open-meteo-archive", "http://x/2")}
+    # nothing of the upserts stays in the shared folder
+    assert not [n for n in files.names(spark, checkpoint_dir(spark)) if n.startswith("upsert-")]
+
+
+def test_only_touched_months_are_rewritten(spark, tmp_path):
+    path, d = str(tmp_path / "t"), dt.date
+    up.upsert_weather(spark, path, rows(spark, [("MA-01", d(2024, m, 1), m) for m in range(1, 13)]))
+
+    def parts():
+        return {p.parent.name: p.name for p in (tmp_path / "t").rglob("*.parquet")}
+
+    before = parts()
+    assert len(before) == 12
+    up.upsert_weather(spark, path, rows(spark, [("MA-01", d(2024, 3, 1), 9), ("MA-02", d(2024, 5, 2), 1)]))
+    after = parts()
+    assert {m for m in after if after[m] != before[m]} == {"month=3", "month=5"}
+    assert spark.read.parquet(path).count() == 13
+
+
+def test_a_token_is_applied_once(spark, tmp_path):
+    path, done = str(tmp_path / "t"), []
+    mk = spark.createDataFrame([("a", 1)], "k string, v int")
+
+    def work():
+        done.append(1)
+        return up.upsert(spark, path, mk, ["k"])
+
+    assert up.apply_once(spark, path, "b-1", work) == 1
+    assert up.apply_once(spark, path, "b-1", work) is None and len(done) == 1
+    with pytest.raises(ValueError):
+        up.apply_once(spark, path, "b-2", lambda: up.upsert(spark, path, mk.unionByName(mk), ["k"]))
+    assert up.apply_once(spark, path, "b-2", work) == 1  # a batch that failed is not marked
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_a_stopped_switch_is_undone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).write.parquet(path)
+    files.rename(spark, path, f"{path}.replaced")  # stopped between the two renames
+    assert up.overwrite_table(spark, spark.range(5), path) == 5
+    files.rename(spark, path, f"{path}.replaced")
+    files.recover(spark, path)
+    assert spark.read.parquet(path).count() == 5
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
 
 
 def test_agriculture_upsert(spark, tmp_path):
