@@ -37,9 +37,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agroclim.llm import textarrow
-from agroclim.llm.common import prepare, stored, table
+from agroclim.llm.common import most_frequent, prepare, stored, table
 
-HOT_WORDS = 1 << 19
+HOT_WORDS = 1 << 17
 HOT_WORD_BYTES = 32
 GROUP_BYTES = 3 << 20  # texts whose other words are folded together
 _BUCKETS = 1 << 13
@@ -146,8 +146,8 @@ def encode_words(words: DataFrame, ranks_path: str) -> DataFrame:
 
 def hot_words(docs: DataFrame, ranks_path: str, limit: int = HOT_WORDS) -> DataFrame:
     """The most frequent short words with their ids: at most ``limit`` rows (a speed tier, not a cap)."""
-    words = word_counts(docs).filter(F.length("word") <= HOT_WORD_BYTES).orderBy(F.desc("n"), "word").limit(limit)
-    return encode_words(words.select("word").repartition(max(8, limit // 16384)), ranks_path)
+    counted = stored(word_counts(docs).filter((F.length("word") <= HOT_WORD_BYTES) & (F.col("n") > 1)))
+    return encode_words(most_frequent(counted, limit).select("word").repartition(max(8, limit // 16384)), ranks_path)
 
 
 _LOADED: dict[str, pa.Array] = {}  # the last hot words, or their ids, of this worker

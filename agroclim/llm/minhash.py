@@ -40,11 +40,11 @@ import functools
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agroclim.llm import textarrow
-from agroclim.llm.common import prepare, stored, table
+from agroclim.llm.common import join_checked, prepare, stored, table
 
 COORDINATES = 64
 MATCHES = 36
@@ -52,7 +52,7 @@ PERCENT = 80
 LEVELS = range(1, 9)
 
 _SEEDS = np.random.default_rng(20).integers(1, 1 << 63, size=(COORDINATES, 2), dtype=np.uint64) | np.uint64(1)
-_SIGNED = "doc_id long, n_shingles long, set_hash binary, tokens array<long>"
+_SIGNED = "doc_id long, text_hash long, n_shingles long, set_hash binary, tokens array<long>"
 
 
 def shingles(texts: textarrow.Texts, width: int) -> list[np.ndarray]:
@@ -100,16 +100,16 @@ def _sign(width: int):
                         tokens[k] = row
                 digest = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(texts.first, len(texts)).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), pa.array(tokens, pa.list_(pa.int64()))],
-                    names=["doc_id", "n_shingles", "set_hash", "tokens"])
+                    [ids.slice(texts.first, len(texts)).cast(pa.int64()), batch.column(2).slice(texts.first, len(texts)), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), pa.array(tokens, pa.list_(pa.int64()))],
+                    names=["doc_id", "text_hash", "n_shingles", "set_hash", "tokens"])
 
     return run
 
 
 def signed(docs: DataFrame, width: int) -> DataFrame:
-    """Per row of (doc_id, text): n_shingles, set_hash (null if empty), tokens."""
+    """Per row of (doc_id, text): hash of the text, n_shingles, set_hash (null if empty), tokens."""
     prepare(docs.sparkSession)
-    return docs.select("doc_id", "text").mapInArrow(_sign(width), _SIGNED)
+    return docs.select("doc_id", "text", F.xxhash64("text")).mapInArrow(_sign(width), _SIGNED)
 
 
 def postings(classes: DataFrame) -> DataFrame:
@@ -293,21 +293,48 @@ def links(classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     return components(functools.reduce(DataFrame.union, found))
 
 
+_OWN_NUMBERS = -(1 << 62)  # classes of doc_ids with several texts are numbered down from here
+
+
+def _numbered(classes: DataFrame, texts: DataFrame, several: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Classes and texts where the smallest doc_id of a class has several texts: these classes
+    get numbers of their own (rep) and the text that belongs to each."""
+    ids = several.withColumnRenamed("doc_id", "least")
+    own = join_checked(classes, ids, ["least"], "left_semi").withColumn("rep", F.lit(_OWN_NUMBERS) - F.monotonically_increasing_id())
+    own = stored(own)
+    classes = stored(join_checked(classes, ids, ["least"], "left_anti").unionByName(own))
+    ids = several.withColumnRenamed("doc_id", "doc")
+    theirs = join_checked(texts, ids, ["doc"], "left_semi").withColumn("text_hash", F.xxhash64("text"))
+    theirs = theirs.join(own.select(F.col("least").alias("doc"), "text_hash", "rep"), ["doc", "text_hash"]).select(F.col("rep").alias("doc"), "text")
+    return classes, join_checked(texts, ids, ["doc"], "left_anti").unionByName(theirs)
+
+
 def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row per row of ``docs`` (doc_id, text)."""
+    """(doc_id, n_shingles, component_id, kept), one row per row of ``docs`` (doc_id, text).
+
+    A doc_id with several texts ties their classes together.
+    """
     rows = stored(signed(docs, width))
     sets = rows.filter("set_hash is not null and doc_id is not null")
-    classes = stored(sets.groupBy("set_hash").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens")))
-    members = sets.select("doc_id", "set_hash").join(classes.select("set_hash", "rep"), "set_hash").select("doc_id", "rep")
-    # A doc_id with several texts ties their classes together.
-    tied = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a <> b")
+    classes = sets.groupBy("set_hash").agg(
+        F.min("doc_id").alias("least"), F.min_by("text_hash", "doc_id").alias("text_hash"),
+        F.first("n_shingles").alias("n_shingles"), F.first("tokens").alias("tokens"))
+    classes = stored(classes.withColumn("rep", F.col("least")))
     texts = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc"), "text")
-    comps = links(classes, texts, width)
-    ties = stored(members.join(tied.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b")).filter("a <> b").distinct())
-    if ties.limit(1).count():
-        comps = components(comps.select(F.col("doc").alias("a"), F.col("comp").alias("b")).union(ties))
-    named = classes.select("set_hash", "rep").join(comps.withColumnRenamed("doc", "rep"), "rep", "left")
-    named = named.select("set_hash", F.coalesce("comp", "rep").alias("component"))
+    several = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.min("text_hash").alias("x"), F.max("text_hash").alias("y"))
+    several = stored(several.filter("x <> y").select("doc_id"))
+    if several.isEmpty():
+        comps = links(classes, texts, width)
+        named = classes.join(comps.withColumnRenamed("doc", "rep"), "rep", "left").select("set_hash", F.coalesce("comp", "rep").alias("component"))
+    else:
+        classes, texts = _numbered(classes, texts, several)
+        comps = links(classes, texts, width)
+        members = join_checked(sets.select("doc_id", "set_hash"), several, ["doc_id"], "left_semi").join(classes.select("set_hash", "rep"), "set_hash")
+        least = members.groupBy("doc_id").agg(F.min("rep").alias("a"))
+        ties = members.select("doc_id", F.col("rep").alias("b")).distinct().join(least, "doc_id").select("a", "b").filter("a <> b")
+        comps = components(stored(comps.select(F.col("doc").alias("a"), F.col("comp").alias("b")).union(ties)))
+        named = classes.join(comps.withColumnRenamed("doc", "rep"), "rep", "left").select("set_hash", "least", F.coalesce("comp", "rep").alias("comp"))
+        named = named.join(named.groupBy("comp").agg(F.min("least").alias("component")), "comp").select("set_hash", "component")
     out = rows.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.col("set_hash")).alias("set_hash"))
     # Rows without a set get a key of their own, not one hot null.
     key = F.coalesce(F.col("set_hash"), F.concat(F.lit("-"), F.xxhash64("doc_id").cast("string")).cast("binary"))
@@ -319,17 +346,23 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
 def drop_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     """One document of each group, with its own columns; of repeated rows of the kept doc_id one.
 
-    The one is that of the smallest text. Rows with a null doc_id stay.
+    The one is that of the smallest text. Rows with a null doc_id stay. The decision is
+    taken on doc_ids; of the texts only those of repeated kept ids are shuffled, one per
+    task and id.
     """
     names = docs.columns
     plain = docs.toDF(*[f"c{k}" for k in range(len(names))])
     doc, text = (f"c{names.index(x)}" for x in ("doc_id", "text"))
-    verdict = near_duplicates(plain.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")), width)
+    verdict = stored(near_duplicates(plain.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")), width))
     gone = verdict.filter("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    alone = F.when(F.col(doc).isNull(), F.monotonically_increasing_id())  # rows without an id are no group
-    kept = plain.withColumn("alone", alone).join(gone, F.col(doc) == F.col("gone"), "left_anti")
-    one = Window.partitionBy(F.col(doc).cast("long"), "alone").orderBy(F.col(text).cast("binary"))
-    kept = kept.withColumn("nth", F.row_number().over(one)).filter("nth = 1").drop("nth", "alone")
+    kept = plain.join(gone, F.col(doc) == F.col("gone"), "left_anti")
+    repeated = stored(verdict.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("again")))
+    if not repeated.isEmpty():
+        again = F.col(doc) == F.col("again")
+        one = kept.join(repeated, again, "left_semi").groupBy(F.col(doc).cast("long")).agg(F.min_by(F.struct(*kept.columns), F.col(text).cast("binary")).alias("row"))
+        # min_by passes null texts over: an id with null texts alone keeps one of those
+        bare = kept.join(repeated, again, "left_semi").groupBy(F.col(doc).cast("long").alias("id")).agg(F.count(text).alias("texts"), F.first(F.struct(*kept.columns)).alias("row")).filter("texts = 0")
+        kept = kept.join(repeated, again, "left_anti").unionByName(one.filter("row is not null").select("row.*")).unionByName(bare.select("row.*"))
     return kept.toDF(*names)
 
 

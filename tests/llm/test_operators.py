@@ -103,6 +103,25 @@ def test_near_duplicates_equal_brute_force(docs, nothing, rows):
     assert kept.columns == docs.columns
 
 
+def test_ids_with_several_texts_tie_their_links(spark):
+    """Rows (1, X), (1, A), (5, A'), (7, X') with X~X' and A~A' are one component; so are chains of such ids."""
+    def text(name, changed=None):
+        return " ".join(f"{name}{k}" if k != changed else "other" for k in range(60))
+
+    rows = [(1, text("x")), (1, text("a")), (5, text("a", 30)), (7, text("x", 30)), (9, text("z"))]
+    rows += [(20, text("m")), (21, text("m")), (21, text("n")), (30, text("n", 10)), (30, text("o")), (12, text("o", 59))]
+    rows += [(21, text("m")), (40, None), (40, text("q")), (41, text("q", 3))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for _ in range(2):
+        got = {(r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs, 4).collect()}
+        assert got == {(1, 1, True), (5, 1, False), (7, 1, False), (9, 9, True), (12, 12, True), (20, 12, False), (21, 12, False), (30, 12, False),
+                       (40, 40, True), (41, 40, False)}
+    kept = sorted((r["doc_id"], r["text"]) for r in minhash.drop_near_duplicates(docs).collect())
+    assert kept == [(1, text("a")), (9, text("z")), (12, text("o", 59)), (40, text("q"))]
+    bare = spark.createDataFrame([(3, None), (3, None), (None, "x y z"), (None, "x y z")], "doc_id long, text string")
+    assert Counter(tuple(r) for r in minhash.drop_near_duplicates(bare).collect()) == Counter([(3, None), (None, "x y z"), (None, "x y z")])
+
+
 def test_pairs_left_lose_no_link(spark):
     """A group of edited copies, most of them linked with few others, takes the bounded join of the pairs left."""
     rng = random.Random(11)
