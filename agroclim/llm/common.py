@@ -19,9 +19,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_MAX_ROWS = 50_000
 
 
+# Rows of a batch of whole texts between Spark and Python: some MB of them, in both memories.
+BATCH_ROWS = 2048
+
+
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers import this package even if only the driver's path names it."""
+    """Let Python workers import this package even if only the driver's path names it, and
+    bound the Arrow batches of texts (a smaller bound of the session is kept)."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", REPO_ROOT)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(setting)) <= BATCH_ROWS:
+        spark.conf.set(setting, BATCH_ROWS)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -66,6 +74,25 @@ def most_frequent(counted: DataFrame, limit: int, n: str = "n") -> DataFrame:
     return counted.filter(F.lit(False) if cut is None else level >= cut)
 
 
+def sampled(rows: DataFrame, by: str, limit: int) -> DataFrame:
+    """At most ``limit`` rows of a stored table, chosen by a 64-bit hash column, the same on
+    every run: a share of the hash range that holds about twice as many is cut into 128
+    classes, and classes are taken in order while they fit (equal hashes go together)."""
+    n = rows.count()
+    if n <= limit:
+        return rows
+    spot = F.shiftrightunsigned(by, 11).cast("double") / float(1 << 53)
+    share = min(1.0, 2.0 * limit / n)
+    inside = rows.filter(spot < share)
+    level = F.floor(spot / share * 128).cast("int")
+    total, taken = 0, []
+    for row in inside.groupBy(level.alias("level")).count().orderBy("level").collect():
+        if total + row["count"] <= limit:
+            total += row["count"]
+            taken.append(row["level"])
+    return inside.filter(level.isin(taken))
+
+
 def code_point_rank(column: Column) -> Column:
     """A key whose order is code point order, null last (UTF-8 bytes order like code points)."""
     return F.struct(column.isNull(), column.cast("binary"))

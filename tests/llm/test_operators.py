@@ -431,11 +431,68 @@ def test_personal_data_base_equals_brute_force(spark, nothing):
         assert {kind: got[k][kind] for kind in BASE} == spans, text
         taken = [tuple(map(int, s.split(":"))) for own in spans.values() for s in own]
         assert all(not (a < x["e"] and x["s"] < b) for x in got[k]["added"] for a, b in taken)
+    taken = pii.spans(frame).select("doc", pii._listed(False).alias("base"), pii._listed(True).alias("spans")).collect()
+    for r in taken:  # the listed strings, by definition
+        own = {kind: [(m.start(), m.end()) for m in re.finditer(p, made[r["doc"]] or "") if ok(m.group())] for kind, (p, ok) in BASE.items()}
+        assert r["base"] == ",".join(f"{kind}:{a}:{b}" for kind in BASE for a, b in own[kind])
+        for x in got[r["doc"]]["added"]:
+            own.setdefault(x["kind"], []).append((x["s"], x["e"]))
+        assert r["spans"] == ",".join(f"{kind}:{a}:{b}" for kind in pii.ADDED_KINDS for a, b in sorted(own.get(kind, [])))
     docs = spark.createDataFrame([(1, "mail a.b@c.de now", "k")], "doc_id long, text string, doc string")
     assert [tuple(r) for r in pii.redact(docs).collect()] == [(1, "mail [email] now", "k")]
     assert pii.redact(nothing).count() == 0
 
 
+def test_keys_and_loose_numbers_are_added(spark):
+    """Spans outside the base patterns, planted among decoys: found, and the decoys left alone."""
+    rng = random.Random(7)
+
+    def card(valid):
+        while True:
+            number = "".join(rng.choice("0123456789") for _ in range(16))
+            if luhn(number) == valid:
+                return number
+
+    rows, planted = [], {}
+    for k in range(900):
+        words = " ".join(rng.choice(["lorem", "ipsum", "verschiedenheiten", "uncharacteristically", "2024"]) for _ in range(20))
+        hexes = "".join(rng.choice("0123456789abcdef") for _ in range(40))
+        number = card(True)
+        dotted = ".".join(number[i:i + 4] for i in range(0, 16, 4))
+        kinds = [("secret", f'token = "{hexes}"', hexes), (None, f"commit {hexes}", hexes), (None, f"order {card(False)}", None), ("card", f"visa {dotted}", dotted) if k % 3 else (None, "", None),
+                 ("base", f"call +1 (743) 555-{k:04d}", None), ("base", f"mail a{k}@b.example", None), ("phone", f"tel 030 555 {k:04d} 77", f"030 555 {k:04d} 77"), (None, "on 2024-05-06 07:08:09", None)]
+        kind, text, span = kinds[k % len(kinds)]
+        rows.append((k, f"{words} then {text} and {words}"))
+        planted[k] = (kind, span)
+    docs = spark.createDataFrame(rows, "doc long, text string")
+    text = dict(rows)
+    hits = Counter()
+    for r in pii.spans(docs).collect():
+        kind, span = planted[r["doc"]]
+        found = [(x["kind"], text[r["doc"]][x["s"]:x["e"]]) for x in r["added"]]
+        if span and kind not in (None, "base"):
+            hits[kind, found == [(kind, span)]] += 1
+        elif kind is None:
+            hits["decoy", not found] += 1
+    for kind in ("secret", "phone", "card", "decoy"):
+        assert hits[kind, True] >= 0.9 * (hits[kind, True] + hits[kind, False]), hits
+
+
+def test_long_runs_are_read_once(spark):
+    import time
+
+    mega = 1 << 20
+    made = ["a" * mega + " @", "a." * (mega // 2), "1" * mega, "1." * (mega // 2), "a@" + "b" * mega, "x" * mega + "@y.z", "+1" + " " * mega, "<" * mega]
+    frame = spark.createDataFrame(list(enumerate(made)), "doc long, text string").repartition(len(made))
+    begin = time.time()
+    got = {r["doc"]: r for r in pii.detected(frame).select("doc", *[F.size(f"base_{k}").alias(k) for k in BASE]).collect()}
+    assert time.time() - begin < 120
+    assert [got[k]["email"] for k in range(len(made))] == [0, 0, 0, 0, 0, 1, 0, 0]
+    many = "a@b.cd " * 20_000
+    row = pii.detected(spark.createDataFrame([(1, many)], "doc long, text string")).select(F.col("base_email")[19_999].alias("last"), F.size("base_email").alias("n")).first()
+    assert row["n"] == 20_000 and (row["last"]["s"], row["last"]["e"]) == (7 * 19_999, 7 * 19_999 + 6)
+
+
 def test_pipeline_equals_brute_force(spark):
     import corpus_pipeline
     from agroclim.llm.common import table
