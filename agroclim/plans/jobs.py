@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 
 from agroclim.constants import ISO_CODE_PATTERN, MOCK_PREFIX
 from agroclim.functions.numbers import parse_decimal, parse_year
-from agroclim.operators import cleaning, gold, silver
-from agroclim.operators.quality import assert_clean
+from agroclim.operators import cleaning, gold, runs, silver
+from agroclim.operators.quality import assert_clean, missing_from
 from agroclim.operators.report import merge_kpis
 from agroclim.plans import serving
-from agroclim.plans.upsert import assert_unique_keys
+from agroclim.plans.ledger import Run
+from agroclim.plans.upsert import assert_unique_keys, counted_write, upsert_agriculture, upsert_weather
 from agroclim.schemas import AGRICULTURE_KEYS, WEATHER_KEYS
 from agroclim.sources import bronze, sinks
 
@@ -73,6 +74,51 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, al
     }
 
 
+def record_rejects(rows: DataFrame, aliases: DataFrame, dim: DataFrame, root: str, batch_id: str, code_pattern: str = ISO_CODE_PATTERN) -> int:
+    """Keep what cleaning drops: rows of unknown region or year (``agriculture_rejects``) and
+    the regions of ``dim`` without any clean row (``agriculture_absent``), by batch id.
+    Returns the number of rejected rows."""
+    base = root.rstrip("/")
+    rejects = cleaning.agriculture_rejects(rows, aliases, code_pattern).withColumn("batch_id", F.lit(batch_id))
+    n = counted_write(rejects, f"{base}/agriculture_rejects", mode="append")
+    absent = missing_from(dim, cleaning.clean_agriculture(rows, aliases, code_pattern)).withColumn("batch_id", F.lit(batch_id))
+    counted_write(absent, f"{base}/agriculture_absent", mode="append")
+    return n
+
+
+def ingest(
+    spark: SparkSession,
+    root: str,
+    weather: DataFrame | None = None,
+    agriculture: tuple[DataFrame, str] | None = None,
+    aliases: DataFrame | None = None,
+    dim: DataFrame | None = None,
+    failed_chunks: DataFrame | None = None,
+    batch_id: str | None = None,
+) -> Run:
+    """One ingestion run into the raw tables under ``root``, with its record in the ledger.
+
+    ``weather``: daily rows (region_code, date, measures); ``agriculture``: canonical text
+    rows and their source tag (``bronze.load_agriculture``), with ``aliases`` and ``dim``
+    to resolve and check regions; ``failed_chunks``: the request chunks that failed. A
+    source left out is skipped. Returns the run (its ``status`` is 0 or 1); an error is
+    recorded as status 2 and raised. Both sources carry the run's batch id.
+    """
+    base = root.rstrip("/")
+    with Run(spark, base, batch_id) as run:
+        if failed_chunks is not None:
+            run.failed(failed_chunks.count())
+        if weather is not None:
+            rows = silver.coerce_raw_weather(weather)
+            run.loaded(runs.WEATHER, upsert_weather(spark, f"{base}/{runs.WEATHER}", rows, run.batch_id))
+        if agriculture is not None:
+            rows, source = agriculture
+            run.rejected = record_rejects(rows, aliases, dim, base, run.batch_id)
+            clean = silver.coerce_raw_agriculture(cleaning.clean_agriculture(rows, aliases))
+            run.loaded(runs.AGRICULTURE, upsert_agriculture(spark, f"{base}/{runs.AGRICULTURE}", clean, source, run.batch_id), source)
+    return run
+
+
 def read_silver(spark: SparkSession, silver_root: str) -> tuple[DataFrame, DataFrame]:
     root = silver_root.rstrip("/")
     return spark.read.parquet(f"{root}/weather_daily"), spark.read.parquet(f"{root}/agriculture_regional")

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,29 +68,33 @@ def load_dim_region(spark: SparkSession, path: str) -> DataFrame:
 
 
 def sniff_csv_files(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
-    """One row per file: path, encoding, separator and header line.
+    """One row per file: path, encoding, header line and separator (empty files give none).
 
-    Encoding: UTF-8 when the bytes are valid UTF-8, else ISO-8859-1 (which decodes
-    any byte, so it is the last resort). Separator: the candidate among
-    ``, ; TAB |`` occurring most often in the header line (ties: comma first).
-    Only the per-file metadata comes back to the driver, never the rows.
+    The files are read as lines, so a file of any size is split and never held whole.
+    Encoding: UTF-8 when the bytes of every line are valid UTF-8, else ISO-8859-1 (which
+    decodes any byte, so it is the last resort). Header: the first line of the file's
+    first block. Separator: the candidate among ``, ; TAB |`` occurring most often in it
+    (ties: comma first). Only the per-file metadata comes back to the driver, never rows.
     """
-    files = spark.read.format("binaryFile").load(list(paths) if not isinstance(paths, str) else paths)
-    content = F.col("content")
-    valid = F.expr("is_valid_utf8(cast(content as string))")
-    encoding = F.when(valid, F.lit("UTF-8")).otherwise(F.lit("ISO-8859-1"))
-    text = F.when(valid, F.col("content").cast("string")).otherwise(F.decode(content, "ISO-8859-1"))
-    header = F.regexp_replace(F.substring_index(F.regexp_replace(text, "^\ufeff", ""), "\n", 1), "\r$", "")
+    # one line: its bytes as they are, its file, the block it lies in and its order there
+    lines = spark.read.text(list(paths) if not isinstance(paths, str) else paths).select(
+        F.col("value"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("order"),
+    )
+    found = lines.groupBy("path").agg(
+        F.every(F.is_valid_utf8("value")).alias("valid"),
+        F.min_by(F.when(F.col("block") == 0, F.col("value").cast("binary")), F.when(F.col("block") == 0, F.col("order"))).alias("first"),
+    )
+    header = F.when(F.col("valid"), F.decode("first", "UTF-8")).otherwise(F.decode("first", "ISO-8859-1"))
     counts = [F.size(F.split(F.col("header"), "\\" + s if s in "|" else s)) - 1 for s in SEPARATORS]
     best = F.lit(SEPARATORS[0])
     best_n = counts[0]
     for sep, n in zip(SEPARATORS[1:], counts[1:]):
         best = F.when(n > best_n, F.lit(sep)).otherwise(best)
         best_n = F.greatest(best_n, n)
-    return (
-        files.select("path", encoding.alias("encoding"), header.alias("header"))
-        .withColumn("sep", best)
-    )
+    return found.select(
+        "path", F.when(F.col("valid"), F.lit("UTF-8")).otherwise(F.lit("ISO-8859-1")).alias("encoding"), F.regexp_replace(header, "^\ufeff", "").alias("header")
+    ).withColumn("sep", best)
 
 
 def read_tabular_csv(spark: SparkSession, paths: Sequence[str] | str) -> DataFrame:
@@ -118,7 +123,7 @@ def read_tabular_csv(spark: SparkSession, paths: Sequence[str] | str) -> DataFra
         df = df.select(*[na_to_null(F.col(f"`{c}`")).alias(c) for c in df.columns])
         frames.append(normalize_columns(df))
     if not frames:
-        raise ValueError(f"no CSV file found in {paths}")
+        raise FileNotFoundError(f"no CSV file found in {paths}")
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
@@ -128,19 +133,12 @@ def read_tabular_csv(spark: SparkSession, paths: Sequence[str] | str) -> DataFra
 # --- agriculture source precedence -------------------------------------------------------
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
-
-
 def load_agriculture(spark: SparkSession, fixture_path: str, path: str | None = None) -> tuple[DataFrame, str]:
     """(rows, source tag) following the source precedence:
 
     * no path configured -> the mock fixture, ``mock-not-configured`` (normal state);
-    * path configured but unreadable -> the fixture, ``mock-fallback-network-error``
-      (degraded run);
+    * path configured (a file, folder or glob) but unreadable, also where a file is listed
+      and cannot be read -> the fixture, ``mock-fallback-network-error`` (degraded run);
     * readable but required columns missing -> ValueError, never a fallback;
     * else the file, ``datagovma``.
 
@@ -149,9 +147,10 @@ def load_agriculture(spark: SparkSession, fixture_path: str, path: str | None =
     """
     if not path:
         return _fixture(spark, fixture_path), SOURCE_AGRI_MOCK
-    if not path_exists(spark, path):
+    try:
+        df = read_tabular_csv(spark, path)  # reads every line of the files to tell their layout
+    except (FileNotFoundError, PySparkException):
         return _fixture(spark, fixture_path), SOURCE_AGRI_FALLBACK
-    df = read_tabular_csv(spark, path)
     validate_columns(df, origin=path)
     return df.select(*AGRI_COLUMNS), SOURCE_AGRI_REAL
 

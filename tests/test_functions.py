@@ -160,6 +160,24 @@ def test_fixed_text_matches_python_rounding(spark):
         assert got == [f"{v:.{d}f}" for v in vals], d
 
 
+def test_fixed_text_is_exact_for_every_double(spark):
+    import random
+    import struct
+
+    rng = random.Random(3)
+    vals = [0.0, -0.0, 12345678902.5, 1e22, 1e23, 1e300, 5e-324, 1.7976931348623157e308, math.inf, -math.inf, 2.0**53, 2.0**53 + 2, 2.0**52 + 0.5, 2.0**51 + 0.5,
+            1e-20, 5e-21, -1e-21, 0.9999999, 2.0**-72, 2.0**-73, 0.05, -0.05, 2.0**124, 2.0**123 - 2.0**80]
+    vals += [x for x in (struct.unpack("<d", struct.pack("<Q", rng.getrandbits(64)))[0] for _ in range(1500)) if x == x]
+    vals += [rng.choice([-1, 1]) * rng.random() * 10 ** rng.randint(-22, 20) for _ in range(1500)]
+    vals += [rng.randint(-10**7, 10**7) / 2 ** rng.randint(0, 12) for _ in range(1000)]
+    df = spark.createDataFrame([(v,) for v in vals], "v double").repartition(8)
+    for d in (0, 2, 7, 20):
+        got = {struct.pack("<d", r.v): r.t for r in df.select("v", display.fixed_text(F.col("v"), d).alias("t")).collect()}
+        assert got == {struct.pack("<d", v): f"{v:.{d}f}" for v in vals}, d
+    with pytest.raises(ValueError):
+        display.fixed_text(F.col("v"), 21)
+
+
 def test_parsers_take_any_unicode_space_and_no_type_suffix(spark):
     nb = " "
     got = col_values(spark, [nb + "2010", "2010" + nb + "/" + nb + "2011", "\t2010\t", "2010d", "2010f", "2.01e3"], numbers.parse_year)

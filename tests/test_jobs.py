@@ -123,3 +123,39 @@ def test_colliding_labels_in_one_load_raise(spark, tmp_path):
     sinks.land_bronze_agriculture(agri, str(bronze_root / "agriculture"), "2025-01-03", "datagovma")
     with pytest.raises(ValueError, match="repeats key"):
         jobs.silver_agriculture_from_bronze(spark, str(bronze_root), cleaning.alias_table(spark)).collect()
+
+
+def test_runs_are_recorded(spark, tmp_path):
+    from agroclim.constants import SOURCE_AGRI_FALLBACK, SOURCE_AGRI_MOCK, SOURCE_AGRI_REAL
+    from agroclim.plans import ledger
+    from agroclim.sources.sinks import region_rows
+
+    root, aliases, dim = str(tmp_path / "raw"), cleaning.alias_table(spark), region_rows(spark)
+    weather = spark.createDataFrame([("MA-01", dt.date(2024, 1, 1), 1.25), ("MA-02", dt.date(2024, 1, 1), 2.0)], "region_code string, date date, precipitation_sum double")
+    agri = spark.createDataFrame([("Rabat-Salé-Kénitra", "2020", "1", "2", "3"), ("Atlantis", "2020", "1", "2", "3"), ("MA-02", "N/A", "1", "2", "3")],
+                                 "region_code string, annee string, production_tonnes string, surface_irriguee_ha string, ressource_hydrique_m3 string")
+    failed = spark.createDataFrame([("MA-04", "2024-01-01", "2024-01-31", "boom")], "region_code string, chunk_start string, chunk_end string, error string")
+
+    def run(**sources):
+        return jobs.ingest(spark, root, aliases=aliases, dim=dim, **sources).status
+
+    assert run(weather=weather, agriculture=(agri, SOURCE_AGRI_REAL), batch_id="b1") == 0       # full success
+    assert run(agriculture=(agri, SOURCE_AGRI_REAL), failed_chunks=failed, batch_id="b2") == 1   # a chunk failed
+    assert run(agriculture=(agri, SOURCE_AGRI_MOCK), batch_id="b3") == 0                         # the mock by configuration
+    assert run(agriculture=(agri, SOURCE_AGRI_FALLBACK), batch_id="b4") == 1                     # the mock after a read error
+    assert run(weather=weather, batch_id="b5") == 0                                              # agriculture skipped
+    junk = agri.withColumn("annee", F.lit("2020")).withColumn("production_tonnes", F.lit("much"))
+    with pytest.raises(Exception, match="much"):
+        run(weather=weather.withColumn("precipitation_sum", F.lit(7.0)), agriculture=(junk, SOURCE_AGRI_REAL), batch_id="b6")
+    with pytest.raises(ValueError, match="source is mandatory"):
+        run(agriculture=(agri, ""), batch_id="b7")
+    got = {r.batch_id: (r.weather_rows, r.agriculture_rows, r.rejected_rows, r.failed_chunks, r.agriculture_source, r.status) for r in ledger.read_runs(spark, root).collect()}
+    assert got == {
+        "b1": (2, 1, 2, 0, SOURCE_AGRI_REAL, 0), "b2": (0, 1, 2, 1, SOURCE_AGRI_REAL, 1), "b3": (0, 1, 2, 0, SOURCE_AGRI_MOCK, 0),
+        "b4": (0, 1, 2, 0, SOURCE_AGRI_FALLBACK, 1), "b5": (2, 0, 0, 0, "skipped", 0), "b6": (2, 0, 1, 0, "skipped", 2), "b7": (0, 0, 2, 0, "skipped", 2)}
+    # the weather of the failed run stays, under its batch id
+    stored = spark.read.parquet(f"{root}/weather_daily")
+    assert {(r.region_code, float(r.precipitation_sum), r._batch_id) for r in stored.collect()} == {("MA-01", 7.0, "b6"), ("MA-02", 7.0, "b6")}
+    rejects = spark.read.parquet(f"{root}/agriculture_rejects").where("batch_id = 'b1'")
+    assert {(r.label, r.reject_reason) for r in rejects.collect()} == {("Atlantis", "unknown_region"), ("MA-02", "invalid_year")}
+    assert spark.read.parquet(f"{root}/agriculture_absent").where("batch_id = 'b1'").count() == 11

@@ -66,3 +66,38 @@ def test_latest_wins_reduces_before_the_shuffle(spark):
     # WindowGroupLimit appears on both sides of the Exchange: partial (map side) and final
     assert tree.count("WindowGroupLimit") == 2
     assert tree.index("Exchange") < tree.rindex("WindowGroupLimit")
+
+
+def test_gap_queries_read_two_columns_once(plans):
+    # spans, chunks, gaps and completeness come from one scan's day bits: the key of the region
+    # and the day, hash aggregates only, no calendar join
+    for name in ("chunks", "ingest_manifest", "missing_days", "missing_chunks", "completeness"):
+        scans = re.findall(r"lineitem\.parquet\]\n(?:.*\n)*?ReadSchema: (struct<[^\n]*>)", plans[name])
+        assert len(scans) == 1 and sorted(re.findall(r"(l_\w+):", scans[0])) == ["l_shipdate", "l_suppkey"], name
+        assert "SortAggregate" not in plans[name] and "WindowGroupLimit" not in plans[name], name
+        assert "LeftAnti" not in plans[name], name
+    scans = re.findall(r"lineitem\.parquet\]\n(?:.*\n)*?ReadSchema: (struct<[^\n]*>)", plans["ingest_summary"])
+    assert 1 <= len(scans) <= 2 and all(sorted(re.findall(r"(l_\w+):", s)) == ["l_shipdate", "l_suppkey"] for s in scans)
+
+
+def test_the_stored_suite_reads_no_facts_again(plans):
+    assert "lineitem.parquet" not in plans["dq_report"]  # the facts were read once, into the stored tables
+
+
+def test_silver_months_are_split_by_adaptive_execution(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from agroclim.sources import sinks
+
+    days = spark.range(0, 400_000).select(
+        F.concat(F.lit("MA-"), (F.col("id") % 100).cast("string")).alias("region_code"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 31).cast("int")).alias("observation_date"), F.rand(1).alias("v"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        sinks.write_silver_weather(days, str(tmp_path / "t"), full=True)
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    found = list((tmp_path / "t").rglob("*.parquet"))
+    assert {f.parent.name for f in found} == {"month=1"} and len(found) > 1  # one hot month, several tasks
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 400_000
