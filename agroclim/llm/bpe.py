@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from agroclim.llm import textarrow
 from agroclim.llm.common import most_frequent, prepare, stored, table
 
-HOT_WORDS = 1 << 17
+HOT_WORDS = 1 << 18
 HOT_WORD_BYTES = 32
 GROUP_BYTES = 3 << 20  # texts whose other words are folded together
 _BUCKETS = 1 << 13

@@ -7,6 +7,7 @@ one operator of the library over the whole data.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -293,10 +294,7 @@ def q_filter_kpis(spark, root):
 def q_complete_by_year(spark, root):
     """D5: status of every year from one before the first to one after the last
     (absent years are partial)."""
-    kpis = panel.merged_kpis(spark, root)
-    span = kpis.agg(F.min("year").alias("lo"), F.max("year").alias("hi"))
-    years = span.select(F.explode(F.sequence(F.col("lo") - 1, F.col("hi") + 1)).alias("year"))
-    return report.year_status(kpis, years)
+    return report.years_around(panel.merged_kpis(spark, root))
 
 
 @register("latest_complete_year")
@@ -386,9 +384,17 @@ def q_kpi_cards(spark, root):
     return report.kpi_cards(panel.merged_kpis(spark, root), 1998, list(PROXY_CODES))
 
 
+def _recent_weather(spark, root, days):
+    """Raw weather of the last days: the window is cut from the ingestions, by the newest day
+    of a two-column aggregate, before the newest ingestion per key is taken."""
+    ing = proxy.ingestions(spark, root)
+    recent = planning.date_window(ing, ing.select(F.max("date")).scalar(), lookback=days)
+    return proxy.with_measures(silver.latest_wins(recent, WEATHER_KEYS, proxy.INGEST_ORDER))
+
+
 @register("preview_json")
 def q_preview_json(spark, root):
-    return report.preview_json(panel.raw_weather(spark, root).select(
+    return report.json_rows(_recent_weather(spark, root, 7).select(
         "region_code", "date", "precipitation_sum", "et0_fao_evapotranspiration", "shortwave_radiation_sum"))
 
 
@@ -432,9 +438,22 @@ def q_dq_accepted_values(spark, root):
 
 @register("dq_checks")
 def q_dq_checks(spark, root):
-    """K6 DDL checks on raw agriculture rows resolved from the dirty CSV."""
+    """K6: the DDL checks of four tables on feeds with faults (codes, dates, years, classes
+    and scores out of their domains), one row per faulty row with the broken rules."""
+    spoiled = F.dayofmonth("date") == 29
+    weather = panel.raw_weather(spark, root).select(
+        F.when(F.dayofyear("date") == 60, F.concat(F.lit("X-"), "region_code")).otherwise(F.col("region_code")).alias("region_code"),
+        F.when(spoiled, F.add_months("date", 12 * 110)).otherwise(F.col("date")).alias("date"))
     clean = cleaning.clean_agriculture(panel.dirty_agriculture_csv(spark, root), panel.region_aliases(spark, root), CODE_PATTERN)
-    return quality.check_raw_rules(clean, "agriculture", CODE_PATTERN).select("region_code", "annee", "broken_rules")
+    agriculture = clean.withColumn("annee", F.when(F.col("annee") % 4 == 0, F.col("annee") + 200).otherwise(F.col("annee")))
+    marts = panel.kpi_marts(spark, root)
+    climate = marts.select("region_code", "year", F.when(F.col("dry_days") % 2 == 1, F.lit("inconnu")).otherwise(F.col("drought_class")).alias("drought_class"))
+    solar = marts.select("region_code", "year", (F.col("sunny_days_pct") * 1.5).alias("solar_potential_score"))
+    parts = []
+    for table, rows, period in (("weather", weather, "date"), ("agriculture", agriculture, "annee"), ("climate", climate, "year"), ("solar", solar, "year")):
+        bad = quality.check_raw_rules(rows, table, CODE_PATTERN)
+        parts.append(bad.select(F.lit(table).alias("table"), "region_code", F.col(period).cast("string").alias("period"), "broken_rules"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 @register("dq_days_observed")
@@ -463,9 +482,9 @@ def q_orphan_regions(spark, root):
 
 @register("missing_regions")
 def q_missing_regions(spark, root):
-    """G1/C7: regions of the dimension with no clean agriculture row in the load."""
+    """G1/C7: regions of the dimension with no clean agriculture row in the load of 1996."""
     clean = cleaning.clean_agriculture(panel.dirty_agriculture_csv(spark, root), panel.region_aliases(spark, root), CODE_PATTERN)
-    return quality.missing_from(panel.dim_region(spark, root), clean)
+    return quality.missing_from(panel.dim_region(spark, root), clean.where("annee = 1996"))
 
 
 # --- planning -------------------------------------------------------------------------------
@@ -473,9 +492,7 @@ def q_missing_regions(spark, root):
 
 @register("date_window")
 def q_date_window(spark, root):
-    raw = panel.raw_weather(spark, root)
-    newest = raw.select(F.max("date")).scalar()
-    return planning.date_window(raw, newest).select("region_code", "date", "precipitation_sum", "shortwave_radiation_sum")
+    return _recent_weather(spark, root, 5).select("region_code", "date", "precipitation_sum", "shortwave_radiation_sum")
 
 
 @register("select_regions")

@@ -362,12 +362,23 @@ union all
 select 'drought_class', drought_class from climate_kpi
 where drought_class is not null and drought_class not in ('tres_sec','sec','normal','humide')""")
 
-ORACLE["dq_checks"] = with_ctes(["clean_agri"], """
-select region_code, cast(annee as bigint) as annee,
-  list_filter([case when region_code is not null and not regexp_matches(region_code, '^R[0-9]{2}$') then 'code_pattern' end,
-               case when not (annee between 1900 and 2100) then 'year_range' end], lambda x: x is not null) as broken_rules
-from clean_agri
-where (region_code is not null and not regexp_matches(region_code, '^R[0-9]{2}$')) or not (annee between 1900 and 2100)""")
+ORACLE["dq_checks"] = with_ctes(["raw_weather", "clean_agri", "climate_kpi", "solar_potential"], """
+select "table", region_code, period, broken_rules from (
+  select 'weather' as "table", region_code, cast(date as varchar) as period,
+    list_filter([case when not regexp_matches(region_code, '^R[0-9]{2}$') then 'code_pattern' end,
+                 case when date < date '1900-01-01' or date > date '2100-01-01' then 'date_range' end], lambda x: x is not null) as broken_rules
+  from (select case when dayofyear(date) = 60 then 'X-' || region_code else region_code end as region_code,
+               cast(case when day(date) = 29 then date + interval 110 year else date end as date) as date from raw_weather) w
+  union all
+  select 'agriculture', region_code, cast(y as varchar),
+    list_filter([case when not regexp_matches(region_code, '^R[0-9]{2}$') then 'code_pattern' end,
+                 case when y < 1900 or y > 2100 then 'year_range' end], lambda x: x is not null)
+  from (select region_code, case when annee % 4 = 0 then annee + 200 else annee end as y from clean_agri) a
+  union all
+  select 'climate', region_code, cast(year as varchar), ['class_domain'] from climate_kpi where dry_days % 2 = 1
+  union all
+  select 'solar', region_code, cast(year as varchar), ['score_range'] from solar_potential where sunny_days_pct * 1.5 > 100
+) t where len(broken_rules) > 0""")
 
 ORACLE["dq_days_observed"] = with_ctes(["stg_weather"], f"""
 select region_code, cast(y as bigint) as year, days_observed, {D('covered')} as water_balance_coverage, {D('covered')} as solar_coverage
@@ -382,7 +393,7 @@ select region_code, count(*) as rows from clean_agri c
 where region_code is not null and region_code not in (select region_code from dim_region) group by region_code""")
 
 ORACLE["missing_regions"] = with_ctes(["clean_agri", "dim_region"], """
-select region_code from dim_region except select region_code from clean_agri""")
+select region_code from dim_region except select region_code from clean_agri where annee = 1996""")
 
 # --- planning -----------------------------------------------------------------------------------------------
 
