@@ -136,6 +136,15 @@ def test_latest_wins_with_a_hot_key(spark):
     assert out["R1"] == max((i % 3, i) for i in range(0, 60000, 1000))
 
 
+def test_accents_of_every_character_are_stripped(spark):
+    import unicodedata
+
+    points = [c for c in range(0xA0, 0x110000) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) not in ("Cn", "Co")]
+    df = spark.createDataFrame([("x" + chr(c) + "y",) for c in points], "t string").repartition(8)
+    for r in df.select("t", labels.strip_accents(F.col("t")).alias("s")).collect():
+        assert r.s == "".join(c for c in unicodedata.normalize("NFKD", r.t) if not unicodedata.combining(c)), r.t
+
+
 def test_fixed_text_matches_python_rounding(spark):
     import random
 
