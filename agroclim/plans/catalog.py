@@ -188,31 +188,27 @@ def q_explode_daily(spark, root):
 
 @register("normalize_label")
 def q_normalize_label(spark, root):
-    dirty = panel.dirty_agriculture_csv(spark, root)
-    return dirty.select(F.col("region_code").alias("label")).distinct().select(
-        "label", labels.normalize_label(F.col("label")).alias("normalized"), labels.label_key(F.col("label")).alias("label_key")
-    )
+    """I1 on one messy label per order."""
+    return proxy.order_texts(spark, root).select(
+        "o_orderkey", "label", labels.normalize_label(F.col("label")).alias("normalized"), labels.label_key(F.col("label")).alias("label_key"))
 
 
 @register("resolve_region")
 def q_resolve_region(spark, root):
-    dirty = panel.dirty_agriculture_csv(spark, root).select(F.col("region_code").alias("label")).distinct()
-    return cleaning.resolve_region(dirty, "label", panel.region_aliases(spark, root), CODE_PATTERN)
+    texts = proxy.order_texts(spark, root).select("o_orderkey", "label")
+    return cleaning.resolve_region(texts, "label", panel.region_aliases(spark, root), CODE_PATTERN)
 
 
 @register("parse_decimal")
 def q_parse_decimal(spark, root):
-    dirty = panel.dirty_agriculture_csv(spark, root)
-    texts = dirty.select(F.col("production_tonnes").alias("text")).unionByName(
-        dirty.select(F.col("surface_irriguee_ha").alias("text"))).unionByName(
-        dirty.select(F.col("ressource_hydrique_m3").alias("text"))).distinct()
-    return texts.select("text", numbers.parse_decimal(F.col("text")).alias("value"))
+    texts = proxy.order_texts(spark, root)
+    return texts.select("o_orderkey", F.col("amount_text").alias("text"), numbers.parse_decimal(F.col("amount_text")).alias("value"))
 
 
 @register("parse_year")
 def q_parse_year(spark, root):
-    dirty = panel.dirty_agriculture_csv(spark, root)
-    return dirty.select(F.col("annee").alias("text")).distinct().select("text", numbers.parse_year(F.col("text")).alias("year"))
+    texts = proxy.order_texts(spark, root)
+    return texts.select("o_orderkey", F.col("year_text").alias("text"), numbers.parse_year(F.col("year_text")).alias("year"))
 
 
 @register("clean_agriculture")

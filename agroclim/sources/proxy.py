@@ -237,3 +237,53 @@ def dirty_agriculture(spark: SparkSession, root: str) -> DataFrame:
         water.alias("ressource_hydrique_m3"),
         F.col("_source").alias("source"),
     )
+
+
+def order_texts(spark: SparkSession, root: str) -> DataFrame:
+    """One line of a messy drop per order: o_orderkey, label, year_text, amount_text.
+
+    The order's key picks the style of each text: codes in lower case and unknown ones,
+    accents, hyphens, apostrophes and no-break spaces around names, unknown labels; plain,
+    campaign, float, blank and spoiled years; plain, French and dotted numbers.
+    """
+    orders = read_table(spark, root, "orders", ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"])
+    customer = read_table(spark, root, "customer", ["c_custkey", "c_nationkey"])
+    region = read_table(spark, root, "region", ["r_regionkey", "r_name"])
+    places = join_bounded(nation_region(spark, root), region, F.col("n_regionkey") == F.col("r_regionkey"), max_rows=NATION_MAX_ROWS)
+    where = join_bounded(customer, places, F.col("c_nationkey") == F.col("n_nationkey"), max_rows=NATION_MAX_ROWS).select(
+        "c_custkey", "n_name", "n_regionkey", "r_name")
+    rows = join_bounded(orders, where, F.col("o_custkey") == F.col("c_custkey"), max_rows=SUPPLIER_MAP_MAX_ROWS)
+    key, rk, name = F.col("o_orderkey"), F.col("n_regionkey"), F.col("n_name")
+    capitalised = F.concat(F.upper(F.substring("r_name", 1, 1)), F.lower(F.expr("substring(r_name, 2)")))
+
+    def pick(n: int, styles: list[Column]) -> Column:
+        out = styles[-1]
+        for k, style in reversed(list(enumerate(styles[:-1]))):
+            out = F.when(key % n == k, style).otherwise(out)
+        return out
+
+    label = pick(8, [
+        F.concat(F.lit(" "), F.lower(region_code(rk)), F.lit(" ")),
+        F.regexp_replace(F.translate(capitalised, "aeiAEI", "àéîÀÉÎ"), " ", "-"),
+        F.concat(F.lit("L'"), name),
+        F.concat(F.lit(" "), name, F.lit("  ")),
+        F.translate(name, "AEIOU", "ÅÉÌÕÜ"),
+        F.concat(F.lit("Atlantis "), (key % 97).cast("string")),
+        F.concat(F.lit("r"), F.lpad((rk + 5).cast("string"), 2, "0")),
+        F.regexp_replace(name, " ", "--"),
+    ])
+    y, later = F.year("o_orderdate").cast("string"), (F.year("o_orderdate") + 1).cast("string")
+    year = pick(7, [
+        y, F.concat(y, F.lit("/"), later), F.concat(F.lit(" "), y, F.lit(".0 ")), F.concat(y, F.lit(" / "), later),
+        F.lit(""), F.concat(y, F.lit("d")), F.concat(F.lit(" "), y),
+    ])
+    price = _dec(F.col("o_totalprice"), 12, 2)
+    grouped = F.format_number(price, 2)
+    amount = pick(5, [
+        price.cast("string"),
+        F.translate(F.regexp_replace(grouped, ",", " "), ".", ","),
+        F.translate(F.regexp_replace(grouped, ",", " "), ".", ","),
+        F.translate(grouped, ",.", ".,"),
+        F.translate(price.cast("string"), ".", ","),
+    ])
+    return rows.select("o_orderkey", label.alias("label"), year.alias("year_text"), amount.alias("amount_text"))

@@ -150,21 +150,20 @@ ORACLE["explode_daily"] = with_ctes(["raw_weather"], f"select {RAW_W_COLS} from
 
 # --- scalar functions -----------------------------------------------------------------------------
 
-ORACLE["normalize_label"] = with_ctes(["dirty_agri"], f"""
-select label, {norm_label('label')} as normalized, {label_key('label')} as label_key
-from (select distinct region as label from dirty_agri) t""")
+# no-break spaces, which this engine's trim and \s do not know, are blanks
+BLANKED = "replace({c}, chr(160), ' ')"
 
-ORACLE["resolve_region"] = with_ctes(["dirty_agri", "aliases"], f"""
-select t.label, coalesce({code_or_null('t.label')}, al.region_code) as resolved_code
-from (select distinct region as label from dirty_agri) t left join aliases al on al.alias_key = {norm_label('t.label')}""")
+ORACLE["normalize_label"] = with_ctes(["order_texts"], f"""
+select o_orderkey, label, {norm_label(BLANKED.format(c='label'))} as normalized, {label_key('label')} as label_key from order_texts""")
 
-ORACLE["parse_decimal"] = with_ctes(["dirty_agri"], f"""
-select text, {parse_dec('text')} as value from (
-  select production_tonnes as text from dirty_agri union select surface_irriguee_ha from dirty_agri
-  union select ressource_hydrique_m3 from dirty_agri) t""")
+ORACLE["resolve_region"] = with_ctes(["order_texts", "aliases"], f"""
+select o_orderkey, label, coalesce({code_or_null('label')}, al.region_code) as resolved_code
+from order_texts left join aliases al on al.alias_key = {norm_label(BLANKED.format(c='label'))}""")
 
-ORACLE["parse_year"] = with_ctes(["dirty_agri"], f"""
-select text, cast({parse_year('text')} as bigint) as year from (select distinct annee as text from dirty_agri) t""")
+ORACLE["parse_decimal"] = with_ctes(["order_texts"], f"select o_orderkey, amount_text as text, {parse_dec('amount_text')} as value from order_texts")
+
+ORACLE["parse_year"] = with_ctes(["order_texts"], f"""
+select o_orderkey, year_text as text, cast({parse_year(BLANKED.format(c='year_text'))} as bigint) as year from order_texts""")
 
 ORACLE["clean_agriculture"] = with_ctes(["clean_agri"], """
 select region_code, cast(annee as bigint) as annee, production_tonnes, surface_irriguee_ha, ressource_hydrique_m3 from clean_agri""")
