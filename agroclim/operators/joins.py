@@ -12,8 +12,8 @@ DEFAULT_BROADCAST_MAX_ROWS = 100_000
 
 
 # Per-session memo of size checks, keyed by the plan's semantic hash: one answer per
-# distinct plan. Only "at most N rows" answers for bounded dimensions are kept, and a
-# session that rewrites an input can call ``forget_sizes`` (the upsert writers do).
+# distinct plan. Forgotten when an input table changes (``sources.tables.refresh``) and
+# by the writers of this library.
 _SIZE_MEMO: dict[tuple[str, int, int], bool] = {}
 
 
@@ -28,14 +28,13 @@ def forget_sizes() -> None:
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` holds at most ``max_rows`` rows.
 
-    Runs ``limit(max_rows + 1).count()``: every task stops after ``max_rows + 1``
-    rows, so the check reads at most (max_rows + 1) x tasks rows of a big input and
-    about the whole input only when it is small anyway. Answers are memoised per
-    session and plan.
+    A plain count: partial sums per task, no column read, for a dimension mostly the
+    files' footers. Only dimensions and key maps are asked, never a plan over facts.
+    Answers are memoised per session and plan until an input table changes.
     """
     key = (_session_key(df), df.semanticHash(), max_rows)
     if key not in _SIZE_MEMO:
-        _SIZE_MEMO[key] = df.limit(max_rows + 1).count() <= max_rows
+        _SIZE_MEMO[key] = df.count() <= max_rows
     return _SIZE_MEMO[key]
 
 

@@ -16,19 +16,21 @@ from pyspark.sql import DataFrame, SparkSession
 from agroclim.operators import gold, silver
 from agroclim.schemas import WEATHER_KEYS
 from agroclim.session import session_key
-from agroclim.sources import proxy
+from agroclim.sources import proxy, tables
 
 
 _PLANS: dict[tuple[str, str, str], DataFrame] = {}
+tables.on_change(_PLANS.clear)
 
 
 def shared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """Build a panel plan once per (session, root) and hand out the same lazy
-    DataFrame: the panel reads immutable inputs, and rebuilding identical plans
-    costs hundreds of driver round trips."""
+    """Build a panel plan once per (session, root) and hand out the same lazy DataFrame
+    until an input table changes: rebuilding identical plans costs hundreds of driver
+    round trips."""
 
     @functools.wraps(fn)
     def get(spark: SparkSession, root: str) -> DataFrame:
+        tables.refresh(spark, root)
         key = (fn.__name__, session_key(spark), root)
         if key not in _PLANS:
             _PLANS[key] = fn(spark, root)

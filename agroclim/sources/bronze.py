@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,10 +83,12 @@ def sniff_csv_files(spark: SparkSession, paths: Sequence[str] | str) -> DataFram
         F.monotonically_increasing_id().alias("order"),
     )
     found = lines.groupBy("path").agg(
-        F.every(F.is_valid_utf8("value")).alias("valid"),
-        F.min_by(F.when(F.col("block") == 0, F.col("value").cast("binary")), F.when(F.col("block") == 0, F.col("order"))).alias("first"),
+        # a set of at most two values; it makes the aggregate a hash aggregate of objects,
+        # where a text buffer alone would sort all lines
+        (~F.array_contains(F.collect_set(F.is_valid_utf8("value")), F.lit(False))).alias("valid"),
+        F.min_by(F.when(F.col("block") == 0, F.col("value")), F.when(F.col("block") == 0, F.col("order"))).alias("first"),
     )
-    header = F.when(F.col("valid"), F.decode("first", "UTF-8")).otherwise(F.decode("first", "ISO-8859-1"))
+    header = F.when(F.col("valid"), F.col("first")).otherwise(F.decode(F.col("first").cast("binary"), "ISO-8859-1"))
     counts = [F.size(F.split(F.col("header"), "\\" + s if s in "|" else s)) - 1 for s in SEPARATORS]
     best = F.lit(SEPARATORS[0])
     best_n = counts[0]
@@ -149,7 +152,9 @@ def load_agriculture(spark: SparkSession, fixture_path: str, path: str | None =
         return _fixture(spark, fixture_path), SOURCE_AGRI_MOCK
     try:
         df = read_tabular_csv(spark, path)  # reads every line of the files to tell their layout
-    except (FileNotFoundError, PySparkException):
+    except (FileNotFoundError, PySparkException, Py4JJavaError) as error:
+        if isinstance(error, Py4JJavaError) and "FAILED_READ_FILE" not in str(error.java_exception):
+            raise
         return _fixture(spark, fixture_path), SOURCE_AGRI_FALLBACK
     validate_columns(df, origin=path)
     return df.select(*AGRI_COLUMNS), SOURCE_AGRI_REAL

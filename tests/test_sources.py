@@ -47,6 +47,46 @@ def test_load_agriculture_precedence(spark, tmp_path):
         bronze.load_agriculture(spark, fixture, bad)
 
 
+def test_globs_and_unreadable_files(spark, tmp_path):
+    fixture = write(tmp_path / "fixture.csv", f"{HEADER}\nFès-Meknès,2015,1,2,3\n")
+    write(tmp_path / "drops" / "a.csv", f"{HEADER}\nRabat,2016,4,5,6\n")
+    write(tmp_path / "drops" / "b.csv", HEADER.replace(",", "|") + "\nOriental|2017|4|5|6\n")
+    df, src = bronze.load_agriculture(spark, fixture, str(tmp_path / "drops" / "*.csv"))
+    assert src == SOURCE_AGRI_REAL and {r.region_code for r in df.collect()} == {"Rabat", "Oriental"}
+    df, src = bronze.load_agriculture(spark, fixture, str(tmp_path / "nothing" / "*.csv"))
+    assert src == SOURCE_AGRI_FALLBACK and df.count() == 1
+    # a file that is listed and cannot be read: compressed by name, not in fact
+    write(tmp_path / "broken.csv.gz", "no gzip")
+    df, src = bronze.load_agriculture(spark, fixture, str(tmp_path / "broken.csv.gz"))
+    assert src == SOURCE_AGRI_FALLBACK and df.count() == 1
+    write(tmp_path / "empty.csv", "")
+    assert bronze.load_agriculture(spark, fixture, str(tmp_path / "empty.csv"))[1] == SOURCE_AGRI_FALLBACK
+
+
+def test_layouts_are_told_from_split_files(spark, tmp_path):
+    body = "".join(f"Fès-Meknès;{2000 + k % 20};{k},5;1;2\n" for k in range(20_000))
+    path = write(tmp_path / "big.csv", HEADER.replace(",", ";") + "\n" + body)
+    late = write(tmp_path / "late.csv", HEADER + "\n" + "Rabat,2010,1,2,3\n" * 20_000 + "Fès-Meknès,2010,1,2,3\n", "latin-1")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        got = {r.path.rsplit("/", 1)[1]: (r.sep, r.encoding, r.header) for r in bronze.sniff_csv_files(spark, [path, late]).collect()}
+        rows = bronze.read_tabular_csv(spark, [path, late]).groupBy("region_code").count().collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == {"big.csv": (";", "UTF-8", HEADER.replace(",", ";")), "late.csv": (",", "ISO-8859-1", HEADER)}  # the odd byte is in the last block
+    assert {r.region_code: r["count"] for r in rows} == {"Fès-Meknès": 20_001, "Rabat": 20_000}
+
+
+def test_a_changed_input_is_read_again(spark, tmp_path):
+    from agroclim.sources import tables
+
+    spark.range(3).write.parquet(str(tmp_path / "region.parquet"))
+    assert tables.read_table(spark, str(tmp_path), "region").count() == 3
+    spark.range(4).write.mode("append").parquet(str(tmp_path / "region.parquet"))
+    assert tables.read_table(spark, str(tmp_path), "region").count() == 7
+
+
 def payload(times, **overrides):
     daily = {"time": times}
     for name in DAILY_VARIABLES:
