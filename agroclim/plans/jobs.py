@@ -6,21 +6,22 @@ is re-run alone and a lost executor recomputes from files, not from a long linea
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agroclim.constants import ISO_CODE_PATTERN, MOCK_PREFIX
+from agroclim.constants import ISO_CODE_PATTERN, LOOKBACK_DAYS, MOCK_PREFIX
 from agroclim.functions.numbers import parse_decimal, parse_year
-from agroclim.operators import cleaning, gold, runs, silver
+from agroclim.operators import cleaning, gold, planning, runs, silver
 from agroclim.operators.quality import assert_clean, missing_from
 from agroclim.operators.report import merge_kpis
 from agroclim.plans import serving
 from agroclim.plans.ledger import Run
-from agroclim.plans.upsert import assert_unique_keys, counted_write, upsert_agriculture, upsert_weather
-from agroclim.schemas import AGRICULTURE_KEYS, WEATHER_KEYS
-from agroclim.sources import bronze, sinks
+from agroclim.plans.upsert import assert_unique_keys, counted_write, in_partitions, upsert_agriculture, upsert_weather
+from agroclim.schemas import AGRICULTURE_KEYS, SILVER_WEATHER, WEATHER_KEYS
+from agroclim.sources import bronze, files, sinks
 
 from agroclim.sources.bronze import WEATHER_INGEST_ORDER  # noqa: E402
 
@@ -124,6 +125,35 @@ def read_silver(spark: SparkSession, silver_root: str) -> tuple[DataFrame, DataF
     return spark.read.parquet(f"{root}/weather_daily"), spark.read.parquet(f"{root}/agriculture_regional")
 
 
+def newest_day(spark: SparkSession, silver_root: str):
+    """The newest observed day of silver weather: the newest month is told by the partition
+    folders' names, and of its files one column is read."""
+    root = f"{silver_root.rstrip('/')}/weather_daily"
+
+    def newest(folder: str, key: str) -> int | None:
+        return max((int(n.split("=")[1]) for n in files.names(spark, folder) if n.startswith(f"{key}=") and n.split("=")[1].isdigit()), default=None)
+
+    year = newest(root, "year")
+    month = None if year is None else newest(f"{root}/year={year}", "month")
+    if month is None:
+        return None
+    days = spark.read.schema(SILVER_WEATHER).parquet(root).where((F.col("year") == str(year)) & (F.col("month") == str(month)))
+    return days.agg(F.max("observation_date")).first()[0]
+
+
+def recent_weather(spark: SparkSession, silver_root: str, lookback: int = LOOKBACK_DAYS) -> DataFrame:
+    """Silver weather of the last days up to the newest one; only the months of the window
+    are opened. Empty where nothing is stored."""
+    weather = spark.read.schema(SILVER_WEATHER).parquet(f"{silver_root.rstrip('/')}/weather_daily")
+    end = newest_day(spark, silver_root)
+    if end is None:
+        return weather.where(F.lit(False))
+    start = end - dt.timedelta(days=lookback - 1)
+    first, last = start.year * 12 + start.month - 1, end.year * 12 + end.month - 1
+    months = [(k // 12, k % 12 + 1) for k in range(first, last + 1)]
+    return planning.date_window(in_partitions(weather, silver.PARTITIONS, months), F.lit(end), lookback, date_col="observation_date")
+
+
 def silver_to_gold(spark: SparkSession, silver_root: str, dim_region: DataFrame, gold_root: str) -> dict[str, int]:
     weather, agriculture = read_silver(spark, silver_root)
     region_year = gold.region_year(weather, agriculture)

@@ -159,3 +159,19 @@ def test_runs_are_recorded(spark, tmp_path):
     rejects = spark.read.parquet(f"{root}/agriculture_rejects").where("batch_id = 'b1'")
     assert {(r.label, r.reject_reason) for r in rejects.collect()} == {("Atlantis", "unknown_region"), ("MA-02", "invalid_year")}
     assert spark.read.parquet(f"{root}/agriculture_absent").where("batch_id = 'b1'").count() == 11
+
+
+def test_the_newest_days_open_their_months_only(spark, tmp_path):
+    root = str(tmp_path)
+    days = [dt.date(2023, 11, 1) + dt.timedelta(days=i) for i in range(94)]  # to 2024-02-02
+    rows = spark.createDataFrame([("MA-01", d) for d in days], "region_code string, observation_date date").withColumn("temp_mean_c", F.lit(1).cast("decimal(5,2)"))
+    sinks.write_silver_weather(rows, f"{root}/weather_daily", full=True)
+    for month in ("year=2023/month=11", "year=2023/month=12"):  # older months cannot be read
+        for f in (tmp_path / "weather_daily" / month).glob("*.parquet"):
+            f.write_bytes(b"no parquet here")
+            (f.parent / f".{f.name}.crc").unlink(missing_ok=True)
+    assert jobs.newest_day(spark, root) == dt.date(2024, 2, 2)
+    got = sorted(r.observation_date for r in jobs.recent_weather(spark, root).collect())
+    assert got == [dt.date(2024, 1, 29) + dt.timedelta(days=k) for k in range(5)]
+    (tmp_path / "empty" / "weather_daily").mkdir(parents=True)
+    assert jobs.recent_weather(spark, str(tmp_path / "empty")).count() == 0
