@@ -41,7 +41,7 @@ from agroclim.llm.common import most_frequent, prepare, stored, table
 
 HOT_WORDS = 1 << 18
 HOT_WORD_BYTES = 32
-GROUP_BYTES = 3 << 20  # texts whose other words are folded together
+GROUP_BYTES = 2 << 20  # texts whose other words are folded together
 _BUCKETS = 1 << 13
 _LONG = 64
 

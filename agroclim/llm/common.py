@@ -23,10 +23,17 @@ BROADCAST_MAX_ROWS = 50_000
 BATCH_ROWS = 2048
 
 
+# Python workers give freed memory back instead of keeping it in pools of their own.
+WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "1", "MALLOC_TRIM_THRESHOLD_": "131072"}
+
+
 def prepare(spark: SparkSession) -> None:
     """Let Python workers import this package even if only the driver's path names it, and
     bound the Arrow batches of texts (a smaller bound of the session is kept)."""
-    spark.sparkContext.environment.setdefault("PYTHONPATH", REPO_ROOT)
+    environment = spark.sparkContext.environment
+    environment.setdefault("PYTHONPATH", REPO_ROOT)
+    for name, value in WORKER_MEMORY.items():
+        environment.setdefault(name, value)
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(setting)) <= BATCH_ROWS:
         spark.conf.set(setting, BATCH_ROWS)
