@@ -454,12 +454,8 @@ def q_dq_checks(spark, root):
 
 @register("dq_days_observed")
 def q_dq_days_observed(spark, root):
-    """L4 on a feed that loses every 41st day: of its days with water and solar data some
-    years stay complete (coverage 0.95) with fewer days than asked."""
-    stg = panel.silver_weather(spark, root).where("has_water_balance_data and has_solar_data")
-    lossy = stg.where((F.dayofyear("observation_date") + F.year("observation_date")) % 41 != 0)
-    years = planning.year_coverage(planning.day_maps(lossy, "observation_date"))
-    return quality.check_days_observed(years.withColumns({c: F.col("coverage") for c in ("water_balance_coverage", "solar_coverage")}))
+    """L4: whole region-years of the panel that count as complete with fewer days than asked."""
+    return quality.check_days_observed(panel.region_year(spark, root))
 
 
 @register("dq_report")

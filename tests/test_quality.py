@@ -59,3 +59,25 @@ def test_region_dimension_integrity(spark):
     broken = dim.unionByName(dim.limit(1))
     rules = {r.rule for r in quality.check_dim(broken, expected_rows=12).collect()}
     assert rules == {"duplicate_code", "row_count"}
+
+
+def _days(spark, n):
+    """Silver weather of one region: the first ``n`` days of 2019, all measured."""
+    return spark.sql(f"""select 'R01' as region_code, date_add(date'2019-01-01', cast(id as int)) as observation_date,
+        cast(20 as decimal(5,2)) as temp_max_c, cast(10 as decimal(5,2)) as temp_min_c, cast(15 as decimal(5,2)) as temp_mean_c,
+        cast(1 as decimal(6,2)) as precipitation_mm, cast(2 as decimal(6,2)) as et0_mm, cast(18 as decimal(7,2)) as solar_radiation_mj_m2,
+        cast(5 as decimal(10,3)) as solar_radiation_kwh_m2, cast(50 as decimal(5,2)) as humidity_mean_pct, cast(9 as decimal(5,2)) as wind_max_kmh,
+        true as has_water_balance_data, true as has_solar_data from range({n})""")
+
+
+def test_days_observed_reads_every_day(spark, monkeypatch):
+    from agroclim.plans import catalog, panel
+
+    root = "/root/testdata/sf0.001"
+    agriculture = panel.silver_agriculture(spark, root).limit(0)
+    monkeypatch.setattr(panel, "silver_agriculture", lambda spark, root: agriculture)
+    for days, flagged in ((365, []), (349, [("R01", 2019, 349)]), (340, [])):
+        monkeypatch.setattr(panel, "_PLANS", {})
+        monkeypatch.setattr(panel, "silver_weather", lambda spark, root, days=days: _days(spark, days))
+        got = catalog.QUERIES["dq_days_observed"](spark, root).collect()
+        assert [(r.region_code, r.year, r.days_observed) for r in got] == flagged
