@@ -81,3 +81,14 @@ def test_days_observed_reads_every_day(spark, monkeypatch):
         monkeypatch.setattr(panel, "silver_weather", lambda spark, root, days=days: _days(spark, days))
         got = catalog.QUERIES["dq_days_observed"](spark, root).collect()
         assert [(r.region_code, r.year, r.days_observed) for r in got] == flagged
+
+
+def test_missing_regions_reads_every_year(spark, monkeypatch):
+    from agroclim.plans import catalog, panel
+
+    root = "/root/testdata/sf0.001"
+    assert catalog.QUERIES["missing_regions"](spark, root).collect() == []
+    whole = panel.dirty_agriculture_csv(spark, root)
+    monkeypatch.setattr(panel, "dirty_agriculture_csv", lambda spark, root: whole.where("annee like '%1997%'"))
+    seen = {r.region_code for r in catalog.QUERIES["missing_regions"](spark, root).collect()}
+    assert len(seen) < panel.dim_region(spark, root).count()  # no row of 1996 is left
