@@ -1,13 +1,27 @@
-"""Gradient-boosted trees: trained in numpy on a bounded sample, applied as a Spark expression."""
+"""Gradient-boosted trees, applied as a Spark expression.
+
+``train`` fits rows in numpy. ``train_profiles`` fits a table of any size: values are put
+into fixed bins, rows alike in all bins are counted together (a profile), and for each level
+of a tree Spark adds up the gradients of all profiles by node, feature and bin. Gradients are
+whole numbers of 2**-30, so that neither order nor partitioning changes a sum.
+"""
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TREES, DEPTH, RATE, LEAF, BINS = 30, 3, 0.3, 10, 32
 
+# Upper ends of the bins of counts (single, then four to a doubling) and of shares.
+COUNT_CUTS = np.concatenate([np.arange(32.0), np.round(32 * 2 ** (np.arange(45) / 4))])
+SHARE_CUTS = np.arange(64) / 64
+_CELLS = 128  # more than the bins of a feature
+_UNIT = 1 << 30
+_STEPS = 512  # steps of the threshold in a unit of log-odds
+
 
 def _grow(x: np.ndarray, g: np.ndarray, h: np.ndarray, rows: np.ndarray, depth: int):
     """A tree as nested (feature, threshold, below-or-equal, above), or a leaf's value."""
@@ -55,6 +69,128 @@ def scores(model: tuple[float, list], x: np.ndarray) -> np.ndarray:
     return model[0] + sum((_apply(t, x) for t in model[1]), np.zeros(len(x)))
 
 
+def binned(x: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
+    """The bins of values: a value up to ``cuts[k][b]`` is in bin b or below."""
+    return np.stack([np.searchsorted(c, x[:, k], side="left") for k, c in enumerate(cuts)], axis=1).astype(np.uint8)
+
+
+def profile_counts(x: np.ndarray, **columns: np.ndarray) -> pa.Table:
+    """Rows of bins as the column key (one byte a feature) beside ``columns``."""
+    flat = np.ascontiguousarray(x).tobytes()
+    key = pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]), pa.py_buffer(flat)])
+    return pa.table({"key": key} | {c: pa.array(v) for c, v in columns.items()})
+
+
+def _profiles_of(batch: pa.RecordBatch, features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    x = np.frombuffer(b"".join(batch.column("key").to_pylist()), dtype=np.uint8).reshape(-1, features)
+    return x, *(batch.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in ("positive", "n"))
+
+
+def _at(splits: dict[int, tuple[int, int]], x: np.ndarray) -> np.ndarray:
+    """The node of each row; those below node i are 2 i + 1 and 2 i + 2."""
+    at = np.zeros(len(x), dtype=np.int64)
+    for node in sorted(splits):
+        k, b = splits[node]
+        own = at == node
+        at[own] = 2 * node + 1 + (x[own, k] > b)
+    return at
+
+
+def _sums(model: tuple[float, list], splits: dict[int, tuple[int, int]], nodes: list[int], features: int):
+    """Sums of gradient, curvature and rows by node, feature and bin."""
+
+    def run(batches):
+        place = np.full(2 << DEPTH, -1)
+        place[nodes] = np.arange(len(nodes))
+        total = np.zeros((3, len(nodes) * features * _CELLS))
+        for batch in batches:
+            x, positive, n = _profiles_of(batch, features)
+            p = 1 / (1 + np.exp(-scores(model, x)))
+            node = place[_at(splits, x)]
+            inside = node >= 0
+            cell = ((node[inside, None] * features + np.arange(features)) * _CELLS + x[inside]).ravel()
+            for out, w in zip(total, (np.rint((positive - n * p) * _UNIT), np.rint(n * p * (1 - p) * _UNIT), n), strict=True):
+                out += np.bincount(cell, np.repeat(w[inside], features), len(out))
+        used = np.flatnonzero(total[2])
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), *(pa.array(t[used].astype(np.int64)) for t in total)], names=["cell", "g", "h", "n"])
+
+    return run
+
+
+def train_profiles(profiles: DataFrame, cuts: list[np.ndarray]) -> tuple[float, list]:
+    """(base log-odds, trees) as of ``train``, of all rows of a stored table of profiles.
+
+    ``profiles`` has key (a byte a feature, its bin), positive and n (rows with label 1, all
+    rows). The thresholds of the trees returned are bins; ``unbinned`` gives values.
+    """
+    whole = profiles.agg(F.coalesce(F.sum("positive"), F.lit(0)).alias("positive"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
+    share = (whole["positive"] + 1) / (whole["n"] + 2)
+    base, trees, features = float(np.log(share / (1 - share))), [], len(cuts)
+    for _ in range(TREES if whole["n"] else 0):
+        splits, values, nodes = {}, {0: 0.0}, [0]
+        for depth in range(DEPTH):
+            if not nodes:
+                break
+            summed = profiles.mapInArrow(_sums((base, trees), splits, nodes, features), "cell int, g long, h long, n long")
+            cells = summed.groupBy("cell").agg(F.sum("g"), F.sum("h"), F.sum("n")).toArrow()  # at most nodes x features x bins
+            total = np.zeros((3, len(nodes) * features * _CELLS))
+            total[:, cells.column(0).to_numpy()] = [c.to_numpy() for c in cells.columns[1:]]
+            total[:2] /= _UNIT
+            opened = []
+            for node, (g, h, n) in zip(nodes, total.reshape(3, len(nodes), features, _CELLS).transpose(1, 0, 2, 3), strict=True):
+                all_g, all_h, all_n = g[0].sum(), h[0].sum(), n[0].sum()
+                values[node] = float(RATE * all_g / (all_h + 1.0))
+                low_g, low_h, low_n = (np.cumsum(x, axis=1) for x in (g, h, n))
+                gain = low_g**2 / (low_h + 1) + (all_g - low_g) ** 2 / (all_h - low_h + 1) - all_g**2 / (all_h + 1)
+                gain[(low_n < LEAF) | (all_n - low_n < LEAF)] = 0
+                k, b = np.unravel_index(gain.argmax(), gain.shape)
+                if all_n < 2 * LEAF or gain[k, b] <= 1e-6:
+                    continue
+                splits[node] = (int(k), int(b))
+                for child, (own_g, own_h) in ((2 * node + 1, (low_g[k, b], low_h[k, b])), (2 * node + 2, (all_g - low_g[k, b], all_h - low_h[k, b]))):
+                    values[child] = float(RATE * own_g / (own_h + 1.0))
+                    opened.append(child)
+            nodes = opened
+        trees.append(_nested(splits, values, 0))
+    return base, trees
+
+
+def _nested(splits: dict[int, tuple[int, int]], values: dict[int, float], node: int):
+    if node not in splits:
+        return values[node]
+    return *splits[node], _nested(splits, values, 2 * node + 1), _nested(splits, values, 2 * node + 2)
+
+
+def unbinned(model: tuple[float, list], cuts: list[np.ndarray]) -> tuple[float, list]:
+    """A model over bins as one over values."""
+    def build(tree):
+        if not isinstance(tree, tuple):
+            return tree
+        k, b, low, high = tree
+        return k, float(cuts[k][b]), build(low), build(high)
+
+    return model[0], [build(t) for t in model[1]]
+
+
+def _ranked(model: tuple[float, list], features: int):
+    def run(batches):
+        for batch in batches:
+            x, positive, n = _profiles_of(batch, features)
+            step = np.floor(scores(model, x) * _STEPS).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(step), pa.array(positive.astype(np.int64)), pa.array(n.astype(np.int64))], names=["step", "positive", "n"])
+
+    return run
+
+
+def precise_threshold(model: tuple[float, list], profiles: DataFrame, features: int, precision: float) -> float:
+    """The least log-odds (in steps of 1/512) from which on at least ``precision`` of all rows have label 1; infinity if none."""
+    steps = profiles.mapInArrow(_ranked(model, features), "step int, positive long, n long").groupBy("step").agg(F.sum("positive"), F.sum("n"))
+    step, positive, n = (c.to_numpy() for c in steps.toArrow().columns)  # one row a step of the log-odds
+    order = np.argsort(-step)
+    precise = np.flatnonzero(np.cumsum(positive[order]) >= precision * np.cumsum(n[order]))
+    return float(step[order][precise[-1]] / _STEPS) if len(precise) else float("inf")
+
+
 def score_column(model: tuple[float, list], features: list[Column]) -> Column:
     """The model's log-odds as one SQL expression over the features."""
     def build(tree) -> Column:

@@ -407,6 +407,33 @@ def test_boosted_trees_as_a_column(spark):
     assert np.allclose(got, boosting.scores(model, x))
 
 
+def test_boosted_trees_count_every_row(spark):
+    """Trees of profiles equal those of the rows, and a rare kind among many rows counts in full."""
+    rng = np.random.default_rng(2)
+    x = np.column_stack([rng.integers(0, 6, 90_000), rng.integers(0, 4, 90_000)]).astype(float)
+    y = (x[:, 0] == 5) & (x[:, 1] == 3) & (np.arange(len(x)) % 9 > 0)
+    cuts = [boosting.COUNT_CUTS, boosting.COUNT_CUTS]
+    rows = boosting.profile_counts(boosting.binned(x, cuts), positive=y.astype(np.int64), n=np.ones(len(x), np.int64))
+    frame = spark.createDataFrame(rows.to_pandas(), "key binary, positive long, n long").repartition(7)
+    model = boosting.train_profiles(frame, cuts)
+    plain = boosting.train(x, y.astype(float))
+    got, want = boosting.scores(boosting.unbinned(model, cuts), x), boosting.scores(plain, x)
+    assert np.allclose(got, want, atol=1e-3)
+    again = boosting.train_profiles(frame.repartition(3).groupBy("key").agg(F.sum("positive").alias("positive"), F.sum("n").alias("n")), cuts)
+    assert np.allclose(boosting.scores(again, boosting.binned(x, cuts)), got, atol=1e-3)
+    assert boosting.precise_threshold(model, frame, 2, 0.85) <= got.max() < boosting.precise_threshold(model, frame, 2, 0.95)
+
+
+def test_personal_data_learns_from_every_candidate(spark, monkeypatch):
+    """More candidates than the 20,000 of the former sample: each is counted once."""
+    seen = []
+    monkeypatch.setattr(boosting, "train_profiles", lambda profiles, cuts: seen.append(profiles.agg(F.sum("n")).first()[0]) or (0.0, []))
+    monkeypatch.setattr(boosting, "precise_threshold", lambda model, profiles, *rest: seen.append(profiles.agg(F.sum("n")).first()[0]) or float("inf"))
+    docs = spark.range(30_000).selectExpr("id as doc", "concat('on ', cast(2000000 + id as string), '-77 and a', id, '@b.example') as text")
+    pii.fit(docs)
+    assert sum(seen) == 60_000
+
+
 def luhn(d):
     return sum(int(c) if k % 2 == 0 else (2 * int(c) - 9 if int(c) > 4 else 2 * int(c)) for k, c in enumerate(reversed(d))) % 10 == 0
 
