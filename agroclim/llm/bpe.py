@@ -28,7 +28,6 @@ import base64
 import functools
 import hashlib
 import json
-import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +41,7 @@ from agroclim.llm.common import most_frequent, prepare, stored, table
 HOT_WORDS = 1 << 18
 HOT_WORD_BYTES = 32
 GROUP_BYTES = 2 << 20  # texts whose other words are folded together
-_BUCKETS = 1 << 13
+_BUCKETS = 1 << 15
 _LONG = 64
 
 
@@ -67,20 +66,39 @@ def _merge(parts: list[bytes], ranks: dict[bytes, int]) -> list[bytes]:
     return parts
 
 
+def _hashed(pairs: list[str]) -> np.ndarray:
+    """Spark's ``hash`` (Murmur3, seed 42) of strings of two pieces, eight bytes each."""
+    out = np.full(len(pairs), 42, dtype=np.uint32)
+
+    def turned(x: np.ndarray, by: int) -> np.ndarray:
+        return x << np.uint32(by) | x >> np.uint32(32 - by)
+
+    with np.errstate(over="ignore"):
+        for half in np.frombuffer("".join(pairs).encode(), dtype="<u4").reshape(-1, 2).T:
+            out ^= turned(half * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)
+            out = turned(out, 13) * np.uint32(5) + np.uint32(0xE6546B64)
+        out ^= np.uint32(8)
+        for by, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+            out = (out ^ out >> np.uint32(by)) * np.uint32(factor)
+    return out.view(np.int32)
+
+
 @functools.lru_cache(maxsize=2)
 def _literals(path: str) -> tuple[str, str, dict[str, int]]:
     """Pairs and what they merge to, as JSON; the characters of the 256 bytes; pieces that no merges reach."""
     ranks = load_ranks(path)
     shown = {piece: chr(_BASE + rank) for piece, rank in ranks.items()}
     buckets: list[dict[str, str]] = [{} for _ in range(_BUCKETS)]
-    odd = {}
+    pairs, odd = {}, {}
     for piece, rank in ranks.items():
         for cut in range(1, len(piece)):
             left, right = shown.get(piece[:cut]), shown.get(piece[cut:])
             if left and right:
-                buckets[zlib.crc32((left + right).encode()) % _BUCKETS][left + right] = shown[piece]
+                pairs[left + right] = shown[piece]
         if len(piece) > 1 and len(_merge([piece[k:k + 1] for k in range(len(piece))], ranks)) > 1:
             odd[piece.decode("latin-1")] = rank
+    for place, (pair, to) in zip((_hashed(list(pairs)) % _BUCKETS).tolist(), pairs.items(), strict=True):
+        buckets[place][pair] = to
     return json.dumps(buckets, separators=(",", ":"), ensure_ascii=False), "".join(shown[bytes([k])] for k in range(256)), odd
 
 
@@ -98,7 +116,7 @@ def fold_words(words: Column, ranks_path: str) -> Column:
     def fold(word: Column, pairs: Column) -> Column:
         def merged(state: Column) -> Column:
             two = F.transform(F.sequence(F.lit(1), F.length(state) - 1), lambda i: F.substring(state, i, F.lit(2)))
-            found = F.transform(two, lambda x: F.try_element_at(F.get(pairs, F.pmod(F.crc32(x.cast("binary")), F.lit(_BUCKETS)).cast("int")), x))
+            found = F.transform(two, lambda x: F.try_element_at(F.get(pairs, F.pmod(F.hash(x), F.lit(_BUCKETS))), x))
             return _let(found, lambda to: _let(F.array_min(to), lambda best: F.when(best.isNull(), F.concat(F.lit("."), state)).otherwise(
                 replaced(state, best, F.array_position(to, best).cast("int")))))
 

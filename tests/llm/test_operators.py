@@ -258,6 +258,12 @@ def test_bpe_equals_the_library_and_comes_back(docs, nothing, rows):
     assert bpe.encode_documents(nothing, RANKS).count() == 0
 
 
+def test_pairs_are_dealt_as_spark_hashes(spark):
+    pairs = [chr(bpe._BASE + a) + chr(bpe._BASE + b) for a, b in ((0, 0), (1, 256), (50_000, 7), (32, 49_999))]
+    got = spark.createDataFrame([(x,) for x in pairs], "x string").select("x", F.hash("x")).collect()
+    assert dict(map(tuple, got)) == dict(zip(pairs, bpe._hashed(pairs).tolist(), strict=True))
+
+
 def test_long_words_fold_as_the_library_does(spark):
     rng, enc = random.Random(3), encoding()
     words = ["a" * n for n in (1, 2, 63, 64, 65, 66, 1001)] + ["".join(rng.choice("aab") for _ in range(rng.choice([10, 70, 400]))) for _ in range(60)]
