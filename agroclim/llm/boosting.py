@@ -3,7 +3,8 @@
 ``train`` fits rows in numpy. ``train_profiles`` fits a table of any size: values are put
 into fixed bins, rows alike in all bins are counted together (a profile), and for each level
 of a tree Spark adds up the gradients of all profiles by node, feature and bin. Gradients are
-whole numbers of 2**-30, so that neither order nor partitioning changes a sum.
+whole numbers of 2**-30, so that neither order nor partitioning changes a sum. No Python
+runs on its rows.
 """
 
 from __future__ import annotations
@@ -81,40 +82,45 @@ def profile_counts(x: np.ndarray, **columns: np.ndarray) -> pa.Table:
     return pa.table({"key": key} | {c: pa.array(v) for c, v in columns.items()})
 
 
-def _profiles_of(batch: pa.RecordBatch, features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    x = np.frombuffer(b"".join(batch.column("key").to_pylist()), dtype=np.uint8).reshape(-1, features)
-    return x, *(batch.column(c).to_numpy(zero_copy_only=False).astype(np.float64) for c in ("positive", "n"))
+def bin_column(value: Column, cuts: np.ndarray) -> Column:
+    """The bin of one value, as of ``binned``."""
+    return F.size(F.filter(F.lit(cuts.tolist()), lambda cut: cut < value))
 
 
-def _at(splits: dict[int, tuple[int, int]], x: np.ndarray) -> np.ndarray:
-    """The node of each row; those below node i are 2 i + 1 and 2 i + 2."""
-    at = np.zeros(len(x), dtype=np.int64)
-    for node in sorted(splits):
-        k, b = splits[node]
-        own = at == node
-        at[own] = 2 * node + 1 + (x[own, k] > b)
-    return at
+def key_column(bins: Column) -> Column:
+    """The key of a profile from its bins (array<int>)."""
+    return F.array_join(F.transform(bins, lambda b: F.chr(b)), "").cast("binary")
 
 
-def _sums(model: tuple[float, list], splits: dict[int, tuple[int, int]], nodes: list[int], features: int):
-    """Sums of gradient, curvature and rows by node, feature and bin."""
+def _bins(features: int) -> Column:
+    """The bins (array<int>) of the column key."""
+    signs = F.decode("key", "ISO-8859-1")
+    return F.transform(F.sequence(F.lit(1), F.lit(features)), lambda k: F.ascii(F.substring(signs, k, F.lit(1))))
+
+
+def _scored(model: tuple[float, list], profiles: DataFrame, features: int) -> DataFrame:
+    """Profiles as x (bins), positive, n and their log-odds."""
+    rows = profiles.select(_bins(features).alias("x"), "positive", "n")
+    return rows.withColumn("score", score_column(model, [F.get("x", F.lit(k)) for k in range(features)]))
+
+
+def _place(splits: dict[int, tuple[int, int]], nodes: list[int], node: int = 0) -> Column:
+    """Which of ``nodes`` a row comes to, -1 if none; those below node i are 2 i + 1 and 2 i + 2."""
+    if node not in splits:
+        return F.lit(nodes.index(node) if node in nodes else -1)
+    k, b = splits[node]
+    return F.when(F.get("x", F.lit(k)) <= b, _place(splits, nodes, 2 * node + 1)).otherwise(_place(splits, nodes, 2 * node + 2))
 
-    def run(batches):
-        place = np.full(2 << DEPTH, -1)
-        place[nodes] = np.arange(len(nodes))
-        total = np.zeros((3, len(nodes) * features * _CELLS))
-        for batch in batches:
-            x, positive, n = _profiles_of(batch, features)
-            p = 1 / (1 + np.exp(-scores(model, x)))
-            node = place[_at(splits, x)]
-            inside = node >= 0
-            cell = ((node[inside, None] * features + np.arange(features)) * _CELLS + x[inside]).ravel()
-            for out, w in zip(total, (np.rint((positive - n * p) * _UNIT), np.rint(n * p * (1 - p) * _UNIT), n), strict=True):
-                out += np.bincount(cell, np.repeat(w[inside], features), len(out))
-        used = np.flatnonzero(total[2])
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), *(pa.array(t[used].astype(np.int64)) for t in total)], names=["cell", "g", "h", "n"])
 
-    return run
+def _sums(model: tuple[float, list], splits: dict[int, tuple[int, int]], nodes: list[int], profiles: DataFrame, features: int) -> DataFrame:
+    """Sums of gradient, curvature and rows by node, feature and bin."""
+    rows = _scored(model, profiles, features).withColumn("place", _place(splits, nodes)).filter("place >= 0")
+    rows = rows.withColumn("p", 1 / (1 + F.exp(-F.col("score"))))
+    g, h = F.col("positive") - F.col("n") * F.col("p"), F.col("n") * F.col("p") * (1 - F.col("p"))
+    rows = rows.select("x", "place", "n", *[F.rint(c * _UNIT).cast("long").alias(name) for name, c in (("g", g), ("h", h))])
+    cells = rows.select("place", "g", "h", "n", F.posexplode("x").alias("k", "bin"))
+    cell = (F.col("place") * features + F.col("k")) * _CELLS + F.col("bin")
+    return cells.groupBy(cell.alias("cell")).agg(F.sum("g"), F.sum("h"), F.sum("n"))
 
 
 def train_profiles(profiles: DataFrame, cuts: list[np.ndarray]) -> tuple[float, list]:
@@ -131,8 +137,7 @@ def train_profiles(profiles: DataFrame, cuts: list[np.ndarray]) -> tuple[float,
         for depth in range(DEPTH):
             if not nodes:
                 break
-            summed = profiles.mapInArrow(_sums((base, trees), splits, nodes, features), "cell int, g long, h long, n long")
-            cells = summed.groupBy("cell").agg(F.sum("g"), F.sum("h"), F.sum("n")).toArrow()  # at most nodes x features x bins
+            cells = _sums((base, trees), splits, nodes, profiles, features).toArrow()  # at most nodes x features x bins
             total = np.zeros((3, len(nodes) * features * _CELLS))
             total[:, cells.column(0).to_numpy()] = [c.to_numpy() for c in cells.columns[1:]]
             total[:2] /= _UNIT
@@ -172,19 +177,10 @@ def unbinned(model: tuple[float, list], cuts: list[np.ndarray]) -> tuple[float,
     return model[0], [build(t) for t in model[1]]
 
 
-def _ranked(model: tuple[float, list], features: int):
-    def run(batches):
-        for batch in batches:
-            x, positive, n = _profiles_of(batch, features)
-            step = np.floor(scores(model, x) * _STEPS).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(step), pa.array(positive.astype(np.int64)), pa.array(n.astype(np.int64))], names=["step", "positive", "n"])
-
-    return run
-
-
 def precise_threshold(model: tuple[float, list], profiles: DataFrame, features: int, precision: float) -> float:
     """The least log-odds (in steps of 1/512) from which on at least ``precision`` of all rows have label 1; infinity if none."""
-    steps = profiles.mapInArrow(_ranked(model, features), "step int, positive long, n long").groupBy("step").agg(F.sum("positive"), F.sum("n"))
+    step = F.floor(F.col("score") * _STEPS).cast("int")
+    steps = _scored(model, profiles, features).groupBy(step.alias("step")).agg(F.sum("positive"), F.sum("n"))
     step, positive, n = (c.to_numpy() for c in steps.toArrow().columns)  # one row a step of the log-odds
     order = np.argsort(-step)
     precise = np.flatnonzero(np.cumsum(positive[order]) >= precision * np.cumsum(n[order]))

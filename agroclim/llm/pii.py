@@ -14,7 +14,7 @@ overlapping ones the key, then the address). Candidates alike in the bins of all
 are counted together; Spark adds up the gradients of all of them for every level of a tree.
 
 Spans come from ``regexp_extract_all`` and, for positions and context, the parts between
-matches (``split``): no Python runs on the documents. A pattern begins only where a run
+matches (``split``): no Python runs on the documents or the candidates. A pattern begins only where a run
 of its signs begins or the last match ended, and its groups are possessive, so that a run
 of any length is read once. Positions are added up in blocks. A document is one row
 throughout; the only shuffles are of counts.
@@ -29,13 +29,11 @@ from __future__ import annotations
 
 import functools
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agroclim.llm import boosting
-from agroclim.llm.common import prepare, stored, table
+from agroclim.llm.common import stored, table
 
 KINDS = ("email", "ip", "card", "phone")
 PRECISION = 0.98
@@ -219,42 +217,39 @@ def detected(docs: DataFrame) -> DataFrame:
     return rows.withColumn("candidates", _let(every, proposed))
 
 
-def _loosened(x: np.ndarray) -> np.ndarray:
-    """Base spans as they look with other separators, or without their plus."""
-    at = {name: k for k, name in enumerate(FEATURES)}
-    out = x[x[:, at["at"]] == 0].copy()
-    phone = out[:, at["plus"]] == 1
-    out[phone, at["plus"]] = 0
-    out[phone, at["length"]] -= 1
-    out[phone, at["digit_share"]] = out[phone, at["digits"]] / out[phone, at["length"]]
-    card = (out[:, at["luhn"]] == 1) & ~phone & (out[:, at["groups"]] > 1)
-    out[card, at["dots"]] = out[card, at["groups"]] - 1
-    out[card, at["blanks"]] = out[card, at["dashes"]] = 0
-    return out[phone | card]
+def _loosened(f: Column) -> Column:
+    """A base span's features with other separators, or without its plus; null where neither changes."""
+    at = {name: F.get(f, F.lit(k)) for k, name in enumerate(FEATURES)}
+
+    def changed(**to: Column) -> Column:
+        return F.array(*[to.get(name, value) for name, value in at.items()])
+
+    phone = at["plus"] == 1
+    card = (at["luhn"] == 1) & (at["groups"] > 1)
+    plain = F.when(phone, changed(plus=F.lit(0.0), length=at["length"] - 1, digit_share=at["digits"] / (at["length"] - 1)))
+    return F.when(at["at"] == 0, plain.when(card, changed(dots=at["groups"] - 1, blanks=F.lit(0.0), dashes=F.lit(0.0))))
 
 
 CUTS = [boosting.SHARE_CUTS if name.endswith("_share") else boosting.COUNT_CUTS for name in FEATURES]
 
 
-def _profiled(batches):
-    """Candidates by the bins of their features: counted in each batch, changed base spans added to those that train."""
-    for batch in batches:
-        x = batch.column("f").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES))
-        held, base, y = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("held", "base", "label"))
-        more = _loosened(x[~held & base])
-        rows = [boosting.profile_counts(boosting.binned(x, CUTS), held=held, base=base, positive=y.astype(np.int64)),
-                boosting.profile_counts(boosting.binned(more, CUTS), held=np.zeros(len(more), bool), base=np.ones(len(more), bool), positive=np.ones(len(more), np.int64))]
-        counted = pa.concat_tables(rows).group_by(["held", "base", "key"]).aggregate([("positive", "sum"), ("positive", "count")])
-        yield from counted.rename_columns(["held", "base", "key", "positive", "n"]).to_batches()
+def _profiled(each: DataFrame) -> DataFrame:
+    """Candidates by the bins of their features, counted; changed base spans are added to those that train."""
+    more = F.when(~F.col("held") & F.col("base"), _loosened(F.col("f")))
+    own = F.struct(F.col("label").cast("long").alias("positive"), F.col("f"))
+    also = F.struct(F.lit(1).cast("long").alias("positive"), more.alias("f"))
+    rows = each.select("held", "base", F.explode(F.filter(F.array(own, also), lambda x: x["f"].isNotNull())).alias("x"))
+    rows = rows.select("held", "base", "x.positive", F.col("x.f").alias("f"))
+    bins = F.array(*[boosting.bin_column(F.get("f", F.lit(k)), cuts) for k, cuts in enumerate(CUTS)])
+    counted = rows.withColumn("key", boosting.key_column(bins)).groupBy("held", "base", "key")
+    return counted.agg(F.sum("positive").alias("positive"), F.count("*").alias("n"))
 
 
 def fit(docs: DataFrame) -> tuple[tuple[float, list], float]:
     """The trees and the threshold (log-odds) from all candidates."""
-    prepare(docs.sparkSession)
     each = detected(docs).select("doc", F.explode("candidates").alias("c"))
     each = each.select((F.pmod(F.xxhash64("doc", "c.s", "c.e"), F.lit(3)) == 0).alias("held"), F.col("c.is_base").alias("base"), F.col("c.label").alias("label"), F.col("c.f").alias("f"))
-    counted = each.mapInArrow(_profiled, "held boolean, base boolean, key binary, positive long, n long")
-    profiles = stored(counted.groupBy("held", "base", "key").agg(F.sum("positive").alias("positive"), F.sum("n").alias("n")))
+    profiles = stored(_profiled(each))
     groups = profiles.groupBy("held", "base").agg(F.sum("positive").alias("positive"), F.sum("n").alias("n")).collect()
     if sum(r["positive"] for r in groups) in (0, sum(r["n"] for r in groups)):
         return (0.0, []), float("inf")

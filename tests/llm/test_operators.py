@@ -452,6 +452,47 @@ BASE = {
 }
 
 
+def test_personal_data_runs_no_python_on_rows(spark, monkeypatch):
+    def none(self, *args, **kwargs):
+        raise AssertionError("Python on the rows")
+
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", none)
+    monkeypatch.setattr(type(spark.range(1)), "mapInPandas", none)
+    lines = ["tel +1 555 010 9999", "token = \"a1b2c3d4e5f6g7h8i9\"", "card 4111 1111 1111 1111", "0123456789abcdef0123", "x@y.example", "12.34.56.789 at 123456789"]
+    docs = spark.createDataFrame([(k, lines[k % 6] + " " * (k // 6) + str(k)) for k in range(240)], "doc long, text string")
+    assert pii.spans(docs).count() == 240
+    # Profiles are those of numpy's bins, changed base spans among them.
+    at = {name: k for k, name in enumerate(pii.FEATURES)}
+    rng = np.random.default_rng(4)
+    x = np.floor(rng.gamma(1, 30, (400, len(at))))
+    x[:, [at["at"], at["plus"], at["luhn"]]] = rng.integers(0, 2, (400, 3))
+    x[:, at["length"]] += 2
+    for name in ("digit_share", "hex_share"):
+        x[:, at[name]] = rng.integers(0, 129, 400) / 128
+    made = [(bool(k % 3 == 0), bool(k % 2), bool(k % 5), x[k].tolist()) for k in range(400)]
+    frame = spark.createDataFrame(made, "held boolean, base boolean, label boolean, f array<double>")
+    want = Counter()
+
+    def add(held, base, label, f):
+        key = boosting.binned(np.array([f]), pii.CUTS).tobytes()
+        want[held, base, key, "n"] += 1
+        want[held, base, key, "positive"] += int(label)
+
+    for held, base, label, f in made:
+        add(held, base, label, f)
+        if base and not held and f[at["at"]] == 0:
+            f = list(f)
+            if f[at["plus"]] == 1:
+                f[at["plus"]], f[at["length"]] = 0, f[at["length"]] - 1
+                f[at["digit_share"]] = f[at["digits"]] / f[at["length"]]
+                add(False, True, True, f)
+            elif f[at["luhn"]] == 1 and f[at["groups"]] > 1:
+                f[at["dots"]], f[at["blanks"]], f[at["dashes"]] = f[at["groups"]] - 1, 0, 0
+                add(False, True, True, f)
+    got = {(r.held, r.base, bytes(r.key)): (r.n, r.positive) for r in pii._profiled(frame).collect()}
+    assert got == {k[:3]: (want[k], want[*k[:3], "positive"]) for k in list(want) if k[3] == "n"}
+
+
 def test_personal_data_base_equals_brute_force(spark, nothing):
     rng = random.Random(2)
     parts = ["a.b@c.de", "x@y", "@", "1.2.3.4", "256.1.1.1", "001.2.3.4.5", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (017) 555-7713", "+49 30 1", "é世", "12 34 56", "\n", "mail:", "5" * 40, "+", "--", "7.7"]
