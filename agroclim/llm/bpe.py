@@ -165,7 +165,10 @@ def encode_words(words: DataFrame, ranks_path: str) -> DataFrame:
 def hot_words(docs: DataFrame, ranks_path: str, limit: int = HOT_WORDS) -> DataFrame:
     """The most frequent short words with their ids: at most ``limit`` rows (a speed tier, not a cap)."""
     counted = stored(word_counts(docs).filter((F.length("word") <= HOT_WORD_BYTES) & (F.col("n") > 1)))
-    return encode_words(most_frequent(counted, limit).select("word").repartition(max(8, limit // 16384)), ranks_path)
+    kept = most_frequent(counted, limit).select("word").repartition(max(8, limit // 16384))
+    # Stored first: the driver writes out a plan anew whenever it adapts a shuffle, the map's
+    # literal with it, and a plan without shuffles once.
+    return encode_words(stored(kept), ranks_path)
 
 
 _LOADED: dict[str, pa.Array] = {}  # the last hot words, or their ids, of this worker

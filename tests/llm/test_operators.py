@@ -264,6 +264,16 @@ def test_pairs_are_dealt_as_spark_hashes(spark):
     assert dict(map(tuple, got)) == dict(zip(pairs, bpe._hashed(pairs).tolist(), strict=True))
 
 
+def test_hot_words_fold_without_a_shuffle_in_their_plan(docs):
+    hot = bpe.hot_words(docs, RANKS, 1000)
+    plan = hot._jdf.queryExecution().executedPlan().toString()
+    assert "transform(" in plan and "Exchange" not in plan and "AdaptiveSparkPlan" not in plan
+    library = tiktoken.Encoding("x", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.load_ranks(RANKS), special_tokens={})
+    got = hot.collect()
+    assert 0 < len(got) <= 1000
+    assert all(r["ids"] == library._encode_single_piece(bytes(r["word"])) for r in got)
+
+
 def test_long_words_fold_as_the_library_does(spark):
     rng, enc = random.Random(3), encoding()
     words = ["a" * n for n in (1, 2, 63, 64, 65, 66, 1001)] + ["".join(rng.choice("aab") for _ in range(rng.choice([10, 70, 400]))) for _ in range(60)]
