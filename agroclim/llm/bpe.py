@@ -41,7 +41,7 @@ from agroclim.llm.common import most_frequent, prepare, stored, table
 HOT_WORDS = 1 << 18
 HOT_WORD_BYTES = 32
 GROUP_BYTES = 2 << 20  # texts whose other words are folded together
-_BUCKETS = 1 << 15
+_BUCKETS = 1 << 15  # a power of two
 _LONG = 64
 
 
@@ -116,12 +116,12 @@ def fold_words(words: Column, ranks_path: str) -> Column:
     def fold(word: Column, pairs: Column) -> Column:
         def merged(state: Column) -> Column:
             two = F.transform(F.sequence(F.lit(1), F.length(state) - 1), lambda i: F.substring(state, i, F.lit(2)))
-            found = F.transform(two, lambda x: F.try_element_at(F.get(pairs, F.pmod(F.hash(x), F.lit(_BUCKETS))), x))
+            found = F.transform(two, lambda x: F.try_element_at(F.get(pairs, F.hash(x).bitwiseAND(_BUCKETS - 1)), x))
             return _let(found, lambda to: _let(F.array_min(to), lambda best: F.when(best.isNull(), F.concat(F.lit("."), state)).otherwise(
                 replaced(state, best, F.array_position(to, best).cast("int")))))
 
         def replaced(state: Column, best: Column, i: Column) -> Column:
-            one = F.concat(F.substring(state, F.lit(1), i - 1), best, F.substring(state, i + 2, F.length(state)))
+            one = F.overlay(state, best, i, F.lit(2))
             # Long words: all places of the pair at once, from left to right.
             return F.when(F.length(state) > _LONG, F.replace(state, F.substring(state, i, F.lit(2)), best)).otherwise(one)
 
