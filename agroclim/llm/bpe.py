@@ -28,6 +28,7 @@ import base64
 import functools
 import hashlib
 import json
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ from agroclim.llm.common import most_frequent, prepare, stored, table
 HOT_WORDS = 1 << 18
 HOT_WORD_BYTES = 32
 GROUP_BYTES = 2 << 20  # texts whose other words are folded together
-_BUCKETS = 1 << 15  # a power of two
+_BUCKETS = 1 << 14  # a power of two
 _LONG = 64
 
 
@@ -52,32 +53,42 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, lines)}
 
 
-# A piece of rank r is written as the one character U+10000 + r, so that a word is a
-# string of pieces, and strings of one character compare as their ranks do.
-_BASE = 0x10000
+# A piece of rank r is written as one character, so that a word is a string of pieces, and
+# strings of one character compare as their ranks do: U+0800 + r where all ranks fit below
+# the surrogates, which keeps the map's literal and the plans that show it short, or else
+# U+10000 + r.
+_BASE, _SURROGATES, _WIDE_BASE = 0x800, 0xD800, 0x10000
+
+
+def _base(ranks: dict[bytes, int]) -> int:
+    return _BASE if _BASE + max(ranks.values()) < _SURROGATES else _WIDE_BASE
 
 
 def _merge(parts: list[bytes], ranks: dict[bytes, int]) -> list[bytes]:
     while len(parts) > 1:
-        best, i = min((ranks.get(a + b, _BASE), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
-        if best == _BASE:
+        best, i = min((ranks.get(a + b, math.inf), i) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)))
+        if best == math.inf:
             break
         parts = [*parts[:i], parts[i] + parts[i + 1], *parts[i + 2:]]
     return parts
 
 
 def _hashed(pairs: list[str]) -> np.ndarray:
-    """Spark's ``hash`` (Murmur3, seed 42) of strings of two pieces, eight bytes each."""
+    """Spark's ``hash`` (Murmur3, seed 42) of strings of two pieces, all of one length in UTF-8."""
     out = np.full(len(pairs), 42, dtype=np.uint32)
+    size = len(pairs[0].encode()) if pairs else 8
+    signs = np.frombuffer("".join(pairs).encode(), dtype=np.uint8).reshape(-1, size)
+    whole = size // 4 * 4
+    words = [*np.ascontiguousarray(signs[:, :whole]).view("<u4").T, *signs[:, whole:].view(np.int8).astype(np.int32).view(np.uint32).T]
 
     def turned(x: np.ndarray, by: int) -> np.ndarray:
         return x << np.uint32(by) | x >> np.uint32(32 - by)
 
     with np.errstate(over="ignore"):
-        for half in np.frombuffer("".join(pairs).encode(), dtype="<u4").reshape(-1, 2).T:
-            out ^= turned(half * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)
+        for word in words:
+            out ^= turned(word * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)
             out = turned(out, 13) * np.uint32(5) + np.uint32(0xE6546B64)
-        out ^= np.uint32(8)
+        out ^= np.uint32(size)
         for by, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
             out = (out ^ out >> np.uint32(by)) * np.uint32(factor)
     return out.view(np.int32)
@@ -87,7 +98,8 @@ def _hashed(pairs: list[str]) -> np.ndarray:
 def _literals(path: str) -> tuple[str, str, dict[str, int]]:
     """Pairs and what they merge to, as JSON; the characters of the 256 bytes; pieces that no merges reach."""
     ranks = load_ranks(path)
-    shown = {piece: chr(_BASE + rank) for piece, rank in ranks.items()}
+    base = _base(ranks)
+    shown = {piece: chr(base + rank) for piece, rank in ranks.items()}
     buckets: list[dict[str, str]] = [{} for _ in range(_BUCKETS)]
     pairs, odd = {}, {}
     for piece, rank in ranks.items():
@@ -110,6 +122,7 @@ def _let(value: Column, then) -> Column:
 def fold_words(words: Column, ranks_path: str) -> Column:
     """For an array of pre-tokens (binary) the array of their ids (array<array<int>>)."""
     pairs_json, byte_chars, odd = _literals(ranks_path)
+    base = _base(load_ranks(ranks_path))
     literal = F.from_json(F.lit(pairs_json), "array<map<string,string>>")
     latin = "".join(map(chr, range(256)))
 
@@ -131,7 +144,7 @@ def fold_words(words: Column, ranks_path: str) -> Column:
 
         start = F.translate(word, latin, byte_chars)
         end = F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(word) - 1, F.lit(1))), start, step)
-        ids = F.filter(F.transform(F.split(end, ""), lambda c: F.ascii(c) - _BASE), lambda x: x >= 0)
+        ids = F.filter(F.transform(F.split(end, ""), lambda c: F.ascii(c) - base), lambda x: x >= 0)
         for piece, rank in odd.items():
             ids = F.when(word == piece, F.array(F.lit(rank))).otherwise(ids)
         return ids

@@ -264,6 +264,16 @@ def test_pairs_are_dealt_as_spark_hashes(spark):
     assert dict(map(tuple, got)) == dict(zip(pairs, bpe._hashed(pairs).tolist(), strict=True))
 
 
+def test_the_map_is_short_in_plans(spark):
+    folded = bpe.encode_words(spark.createDataFrame([(b"folded",)], "word binary"), RANKS)
+    shown = folded._jdf.queryExecution().optimizedPlan().toString()
+    assert len(shown) < 1_200_000 and max(map(ord, shown)) < bpe._WIDE_BASE
+    wide = [chr(bpe._WIDE_BASE + a) + chr(bpe._WIDE_BASE + b) for a, b in ((0, 0), (60_000, 7))]
+    got = spark.createDataFrame([(x,) for x in wide], "x string").select(F.hash("x")).collect()
+    assert [r[0] for r in got] == bpe._hashed(wide).tolist()
+    assert bpe._base({b"a": 0, b"b": 60_000}) == bpe._WIDE_BASE
+
+
 def test_hot_words_fold_without_a_shuffle_in_their_plan(docs):
     hot = bpe.hot_words(docs, RANKS, 1000)
     plan = hot._jdf.queryExecution().executedPlan().toString()
