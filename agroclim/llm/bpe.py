@@ -2,14 +2,15 @@
 
 A word (pre-token) is folded by ranked merges. Each piece is written as one character
 that stands for its rank, a word as the string of its pieces, at first its bytes; each
-step looks all adjacent pairs up in a literal map, takes the result of lowest rank,
-leftmost first, and puts it in the pair's place, until no pair has one. The map is one
-literal, an array of small maps dealt by hash, as Spark reads a map from its start to
-find a key.
+step looks all adjacent pairs up in a map, takes the result of lowest rank, leftmost
+first, and puts it in the pair's place, until no pair has one. The map is one value, an
+array of small maps dealt by hash, as Spark reads a map from its start to find a key. It
+is a stored table of one row: as a literal, every plan that the driver shows, logs and
+keeps would spell it out.
 
 1. One pass counts the distinct pre-tokens of all texts (per Arrow batch, then by key).
-2. The ``HOT_WORDS`` most frequent, a bound in number and length, are folded once and
-   broadcast with their ids.
+2. The ``HOT_WORDS`` most frequent, a bound in number and length, are folded once, in rows
+   of ``HOT_ROW`` words with the map beside them, and broadcast with their ids.
 3. One pass encodes the texts: words found in the broadcast table get its ids, the
    other distinct words of a chunk of texts are folded in place by the same
    expression. No text or token is shuffled, whatever the vocabulary's size.
@@ -33,7 +34,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agroclim.llm import textarrow
@@ -41,7 +42,9 @@ from agroclim.llm.common import most_frequent, prepare, stored, table
 
 HOT_WORDS = 1 << 18
 HOT_WORD_BYTES = 32
+HOT_ROW = 1 << 14
 GROUP_BYTES = 2 << 20  # texts whose other words are folded together
+BATCH_BYTES = 8 << 20  # groups of texts in an Arrow batch
 _BUCKETS = 1 << 14  # a power of two
 _LONG = 64
 
@@ -55,8 +58,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 # A piece of rank r is written as one character, so that a word is a string of pieces, and
 # strings of one character compare as their ranks do: U+0800 + r where all ranks fit below
-# the surrogates, which keeps the map's literal and the plans that show it short, or else
-# U+10000 + r.
+# the surrogates, which keeps the map short, or else U+10000 + r.
 _BASE, _SURROGATES, _WIDE_BASE = 0x800, 0xD800, 0x10000
 
 
@@ -119,11 +121,16 @@ def _let(value: Column, then) -> Column:
     return F.element_at(F.transform(F.array(value), then), 1)
 
 
-def fold_words(words: Column, ranks_path: str) -> Column:
-    """For an array of pre-tokens (binary) the array of their ids (array<array<int>>)."""
-    pairs_json, byte_chars, odd = _literals(ranks_path)
+def merge_map(spark: SparkSession, ranks_path: str) -> DataFrame:
+    """The map of pairs as a stored table of one row and column (pairs)."""
+    shown = spark.createDataFrame([(_literals(ranks_path)[0],)], "shown string")
+    return stored(shown.select(F.from_json("shown", "array<map<string,string>>").alias("pairs")))
+
+
+def fold_words(words: Column, merges: Column, ranks_path: str) -> Column:
+    """For an array of pre-tokens (binary) the array of their ids (array<array<int>>); ``merges`` is the map."""
+    _, byte_chars, odd = _literals(ranks_path)
     base = _base(load_ranks(ranks_path))
-    literal = F.from_json(F.lit(pairs_json), "array<map<string,string>>")
     latin = "".join(map(chr, range(256)))
 
     def fold(word: Column, pairs: Column) -> Column:
@@ -149,7 +156,9 @@ def fold_words(words: Column, ranks_path: str) -> Column:
             ids = F.when(word == piece, F.array(F.lit(rank))).otherwise(ids)
         return ids
 
-    return _let(literal, lambda pairs: F.transform(words, lambda w: _let(F.decode(w, "ISO-8859-1"), lambda word: fold(word, pairs))))
+    # Read out of the row's bytes once for all words: found in bytes, a key takes longer.
+    opened = F.transform(merges, lambda m: F.map_from_entries(F.map_entries(m)))
+    return _let(opened, lambda pairs: F.transform(words, lambda w: _let(F.decode(w, "ISO-8859-1"), lambda word: fold(word, pairs))))
 
 
 def _count(batches):
@@ -172,16 +181,21 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def encode_words(words: DataFrame, ranks_path: str) -> DataFrame:
     """``words`` with ids (array<int>)."""
-    return words.withColumn("ids", F.element_at(fold_words(F.array("word"), ranks_path), 1))
+    names = words.columns
+    words = words.withColumn("__pairs", merge_map(words.sparkSession, ranks_path).scalar())
+    return words.select(*names, F.element_at(fold_words(F.array("word"), F.col("__pairs"), ranks_path), 1).alias("ids"))
 
 
-def hot_words(docs: DataFrame, ranks_path: str, limit: int = HOT_WORDS) -> DataFrame:
+def hot_words(docs: DataFrame, ranks_path: str, limit: int = HOT_WORDS, merges: DataFrame | None = None) -> DataFrame:
     """The most frequent short words with their ids: at most ``limit`` rows (a speed tier, not a cap)."""
     counted = stored(word_counts(docs).filter((F.length("word") <= HOT_WORD_BYTES) & (F.col("n") > 1)))
-    kept = most_frequent(counted, limit).select("word").repartition(max(8, limit // 16384))
-    # Stored first: the driver writes out a plan anew whenever it adapts a shuffle, the map's
-    # literal with it, and a plan without shuffles once.
-    return encode_words(stored(kept), ranks_path)
+    row = F.pmod(F.xxhash64("word"), F.lit(max(8, limit // HOT_ROW)))
+    kept = most_frequent(counted, limit).groupBy(row.alias("row")).agg(F.collect_list("word").alias("words"))  # at most limit words
+    merges = merge_map(docs.sparkSession, ranks_path) if merges is None else merges
+    # Stored first, the map in every row: the fold is a plan without shuffles or joins.
+    rows = stored(kept.select("words").repartition(max(8, limit // HOT_ROW)).crossJoin(F.broadcast(merges)))
+    folded = rows.select(F.explode(F.arrays_zip(F.col("words").alias("word"), fold_words(F.col("words"), F.col("pairs"), ranks_path).alias("ids"))).alias("w"))
+    return folded.select("w.word", "w.ids")
 
 
 _LOADED: dict[str, pa.Array] = {}  # the last hot words, or their ids, of this worker
@@ -286,8 +300,8 @@ def _assemble(name: str, shared, ranks_path: str, digest: bool):
     return run
 
 
-def _shared_hot(docs: DataFrame, ranks_path: str, limit: int):
-    hot = stored(hot_words(docs, ranks_path, limit)).toArrow()  # bounded: limit rows of short words
+def _shared_hot(docs: DataFrame, ranks_path: str, limit: int, merges: DataFrame):
+    hot = stored(hot_words(docs, ranks_path, limit, merges)).toArrow()  # bounded: limit rows of short words
 
     def sent(column: str):
         sink = pa.BufferOutputStream()
@@ -305,11 +319,18 @@ def encode(docs: DataFrame, ranks_path: str, digest: bool = False, hot: int = HO
     ``ids`` are the token ids and ``decoded`` their bytes; with ``digest`` their SHA-256
     instead (of decimal ids joined by commas, of the bytes).
     """
-    prepare(docs.sparkSession)
-    words, ids = _shared_hot(docs, ranks_path, hot)
+    spark = docs.sparkSession
+    prepare(spark)
+    # A group of texts is one row, so rows alone do not bound its batches (a smaller bound is kept).
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(setting, "0")) <= BATCH_BYTES:
+        spark.conf.set(setting, BATCH_BYTES)
+    merges = merge_map(spark, ranks_path)
+    words, ids = _shared_hot(docs, ranks_path, hot, merges)
     name = f"{docs.sparkSession.sparkContext.applicationId}-{words._jbroadcast.id()}"
     packed = docs.select("doc", "text").mapInArrow(_look_up(f"{name}-words", words), _PACKED)
-    folded = packed.select("rows", "codes", "first", "hot", fold_words(F.col("cold"), ranks_path).alias("ids"))
+    packed = packed.withColumn("pairs", merges.scalar())
+    folded = packed.select("rows", "codes", "first", "hot", fold_words(F.col("cold"), F.col("pairs"), ranks_path).alias("ids"))
     kind = docs.schema["doc"].dataType.simpleString()
     out = f"doc {kind}, n_tokens long, " + ("ids string, decoded string" if digest else "ids array<int>, decoded binary")
     return folded.mapInArrow(_assemble(f"{name}-ids", ids, ranks_path, digest), out)

@@ -18,6 +18,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 # A side is broadcast only below this many rows, counted on a stored table.
 BROADCAST_MAX_ROWS = 50_000
 
+# Bare numbers (one long column) are broadcast below this many: about 14 MB.
+BROADCAST_MAX_IDS = 1 << 18
+
 
 # Rows of a batch of whole texts between Spark and Python: some MB of them, in both memories.
 BATCH_ROWS = 2048
@@ -57,7 +60,8 @@ def stored(df: DataFrame) -> DataFrame:
 
 def join_checked(big: DataFrame, small: DataFrame, on: list[str], how: str = "left") -> DataFrame:
     """Join a stored ``small``; broadcast only if it is counted to be small, else shuffle."""
-    if small.limit(BROADCAST_MAX_ROWS + 1).count() <= BROADCAST_MAX_ROWS:
+    most = BROADCAST_MAX_IDS if [kind for _, kind in small.dtypes] == ["bigint"] else BROADCAST_MAX_ROWS
+    if small.limit(most + 1).count() <= most:
         small = F.broadcast(small)
     return big.join(small, on, how)
 

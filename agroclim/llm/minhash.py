@@ -257,7 +257,10 @@ def _rest(member: DataFrame, texts: DataFrame, width: int) -> DataFrame:
 def links(classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """(doc, comp) of every class that is linked with another."""
     lists = stored(postings(classes))
-    texts = stored(texts.join(lists.select("doc").distinct(), "doc", "left_semi"))
+    # The texts and tokens compared are those of the lists' members, a small part of all.
+    listed = stored(lists.select("doc").distinct())
+    texts = stored(join_checked(texts, listed, ["doc"], "left_semi"))
+    classes = stored(join_checked(classes.select("rep", "tokens"), listed.withColumnRenamed("doc", "rep"), ["rep"], "left_semi"))
     may = F.col("agree") >= MATCHES
 
     # the star of every list's smallest member
@@ -354,16 +357,18 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     plain = docs.toDF(*[f"c{k}" for k in range(len(names))])
     doc, text = (f"c{names.index(x)}" for x in ("doc_id", "text"))
     verdict = stored(near_duplicates(plain.select(F.col(doc).alias("doc_id"), F.col(text).alias("text")), width))
-    gone = verdict.filter("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    kept = plain.join(gone, F.col(doc) == F.col("gone"), "left_anti")
-    repeated = stored(verdict.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("again")))
-    if not repeated.isEmpty():
-        again = F.col(doc) == F.col("again")
-        one = kept.join(repeated, again, "left_semi").groupBy(F.col(doc).cast("long")).agg(F.min_by(F.struct(*kept.columns), F.col(text).cast("binary")).alias("row"))
+    keyed = plain.withColumn("id", F.col(doc).cast("long"))
+    gone = stored(verdict.filter("not kept").select(F.col("doc_id").alias("id")).distinct())
+    kept = join_checked(keyed, gone, ["id"], "left_anti")
+    again = stored(verdict.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("id")))
+    if not again.isEmpty():
+        repeated, row = join_checked(kept, again, ["id"], "left_semi"), F.struct(*plain.columns)
+        one = repeated.groupBy("id").agg(F.min_by(row, F.col(text).cast("binary")).alias("row"))
         # min_by passes null texts over: an id with null texts alone keeps one of those
-        bare = kept.join(repeated, again, "left_semi").groupBy(F.col(doc).cast("long").alias("id")).agg(F.count(text).alias("texts"), F.first(F.struct(*kept.columns)).alias("row")).filter("texts = 0")
-        kept = kept.join(repeated, again, "left_anti").unionByName(one.filter("row is not null").select("row.*")).unionByName(bare.select("row.*"))
-    return kept.toDF(*names)
+        bare = repeated.groupBy("id").agg(F.count(text).alias("texts"), F.first(row).alias("row")).filter("texts = 0")
+        kept = join_checked(kept, again, ["id"], "left_anti").select(*plain.columns)
+        kept = kept.unionByName(one.filter("row is not null").select("row.*")).unionByName(bare.select("row.*"))
+    return kept.select(*plain.columns).toDF(*names)
 
 
 def op1_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:

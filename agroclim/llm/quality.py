@@ -102,24 +102,26 @@ def figures(texts: textarrow.Texts) -> dict[str, np.ndarray]:
     }
 
 
-def _measure(at: int):
+def _measure(at: int, passed: list[int]):
     def run(batches):
         for batch in batches:
             parts = [figures(texts) for texts in textarrow.chunks(batch.column(at))]
             if parts:
                 made = [pa.array(np.concatenate([p[name] for p in parts]), pa.int64() if name in BASE else pa.float64()) for name in (*BASE, *RULES)]
-                names = [f"c{k}" for k in range(batch.num_columns)] + [*BASE, *RULES]
-                yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=names)
+                names = [f"c{k}" for k in passed] + [*BASE, *RULES]
+                yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in passed), *made], names=names)
 
     return run
 
 
-def measured(docs: DataFrame) -> DataFrame:
+def measured(docs: DataFrame, with_text: bool = True) -> DataFrame:
     """``docs`` with columns c0, c1, ... in place of its own names, then the figures."""
     prepare(docs.sparkSession)
-    fields = [T.StructField(f"c{k}", f.dataType) for k, f in enumerate(docs.schema.fields)]
+    at = docs.columns.index("text")
+    passed = [k for k in range(len(docs.columns)) if with_text or k != at]
+    fields = [T.StructField(f"c{k}", docs.schema.fields[k].dataType) for k in passed]
     fields += [T.StructField(name, T.LongType()) for name in BASE] + [T.StructField(name, T.DoubleType()) for name in RULES]
-    return docs.toDF(*[f"c{k}" for k in range(len(docs.columns))]).mapInArrow(_measure(docs.columns.index("text")), T.StructType(fields))
+    return docs.toDF(*[f"c{k}" for k in range(len(docs.columns))]).mapInArrow(_measure(at, passed), T.StructType(fields))
 
 
 def base_failed():
@@ -205,13 +207,13 @@ def judged(rows: DataFrame, lang: str, doc_id: str, labels: DataFrame, learn_fro
 def quality_filter(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that no rule rejects, with their own columns.
 
-    The figures are computed twice (for the labelled documents, then for all) rather
-    than stored beside the texts.
+    The figures are computed twice rather than stored beside the texts: first without
+    the texts, to meet the labels in narrow rows, then to judge. No text is shuffled.
     """
     names = docs.columns
     doc, lang = (f"c{names.index(x)}" for x in ("doc_id", "lang"))
-    labelled = docs.join(labels.filter("quality is not null").select(F.col("doc_id").alias("label_of")).distinct(), F.col("doc_id") == F.col("label_of"), "left_semi")
-    out = judged(measured(docs), lang, doc, labels, learn_from=measured(labelled))
+    narrow = measured(docs.select("doc_id", "lang", "text"), with_text=False).toDF(doc, lang, *BASE, *RULES)
+    out = judged(measured(docs), lang, doc, labels, learn_from=narrow)
     return out.filter("kept").select(*[f"c{k}" for k in range(len(names))]).toDF(*names)
 
 

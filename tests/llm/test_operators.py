@@ -620,3 +620,38 @@ def test_pipeline_equals_brute_force(spark):
     final = encoded.collect()
     assert Counter(r["doc_id"] for r in final) == copies
     assert all(r["token_ids"] == enc.encode_ordinary(left[r["doc_id"]]) and r["decoded"] == left[r["doc_id"]] for r in final)
+
+
+def test_plans_do_not_spell_out_the_map_of_merges(docs):
+    frames = [bpe.hot_words(docs, RANKS, 1000), bpe.encode(docs.select(F.col("doc_id").alias("doc"), "text"), RANKS, hot=1000)]
+    assert all(len(x._jdf.queryExecution().toString()) < 100_000 for x in frames)
+
+
+def test_quality_filter_shuffles_no_text_to_learn(spark, docs, monkeypatch):
+    seen, judged = [], quality.judged
+
+    def spied(*args, learn_from):
+        seen.append(learn_from)
+        return judged(*args, learn_from=learn_from)
+
+    monkeypatch.setattr(quality, "judged", spied)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, quality int")
+    quality.quality_filter(docs, labels)
+    assert "c1" not in seen[0].columns and "Join" not in seen[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_near_dedup_shuffles_no_text_where_ids_are_few(spark, docs, monkeypatch):
+    frames, stored = [], minhash.stored
+
+    def spied(df):
+        frames.append(df)
+        return stored(df)
+
+    monkeypatch.setattr(minhash, "stored", spied)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frames.append(minhash.drop_near_duplicates(docs.filter("doc_id is not null").dropDuplicates(["doc_id"])))
+        plans = [x._jdf.queryExecution().executedPlan().toString() for x in frames if "text" in x.columns]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(plans) == 2 and not any("SortMergeJoin" in plan or "ShuffledHashJoin" in plan for plan in plans)
