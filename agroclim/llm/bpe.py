@@ -321,9 +321,9 @@ def encode(docs: DataFrame, ranks_path: str, digest: bool = False, hot: int = HO
     """
     spark = docs.sparkSession
     prepare(spark)
-    # A group of texts is one row, so rows alone do not bound its batches (a smaller bound is kept).
+    # A group of texts is one row, so rows alone do not bound its batches (a session's own bound is kept).
     setting = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if not 0 < int(spark.conf.get(setting, "0")) <= BATCH_BYTES:
+    if spark.conf.get(setting, None) is None:
         spark.conf.set(setting, BATCH_BYTES)
     merges = merge_map(spark, ranks_path)
     words, ids = _shared_hot(docs, ranks_path, hot, merges)
