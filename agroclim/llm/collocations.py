@@ -99,12 +99,14 @@ class Words:
     def fingerprints(self, length: int, lang: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places where ``length`` words follow in a piece, their fingerprints and check values."""
         if self._sums is None:
-            used = np.unique(self.codes)
+            used = np.flatnonzero(np.bincount(self.codes, minlength=len(self.values)))
             listed = self.values.take(pa.array(used)).to_pylist()
+            # the halves of one 128-bit hash, one for each polynomial
+            halves = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, listed)), dtype=">u8").reshape(-1, 2)
             self._sums = []
             for seed, base in enumerate(_BASES):
                 hashes = np.zeros(len(self.values), dtype=np.uint64)
-                hashes[used] = np.fromiter((xxhash.xxh3_64_intdigest(w, seed) for w in listed), np.uint64, len(listed))
+                hashes[used] = halves[:, seed]
                 with np.errstate(over="ignore"):
                     self._sums.append(np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes[self.codes] * _powers(base, False, len(self)))]))
         at = np.flatnonzero(self.left >= length)

@@ -233,3 +233,21 @@ def test_filter_has_no_false_negatives(spark):
     assert made.holds(np.array(keys, dtype=np.int64).view(np.uint64)).all()
     others = np.random.default_rng(2).integers(0, 1 << 63, 100_000).astype(np.uint64)
     assert made.holds(others).mean() < 0.01
+
+
+def test_a_word_is_hashed_once_for_both_polynomials(monkeypatch):
+    import pyarrow as pa
+    import xxhash
+
+    from agroclim.llm import textarrow
+
+    hashed = []
+
+    class Counted:
+        def __getattr__(self, name):
+            return lambda x, *more: hashed.append(x) or getattr(xxhash, name)(x, *more)
+
+    monkeypatch.setattr(collocations, "xxhash", Counted())
+    words = collocations.Words(next(textarrow.chunks(pa.array(["a b c A, b"]))))
+    words.fingerprints(2, "a language")
+    assert sorted(x for x in hashed if x != b"a language") == [b"a", b"b", b"c"]
