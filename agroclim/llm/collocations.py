@@ -7,13 +7,14 @@ value of 24 bits.
 
 1. One pass per phrase length counts fingerprints: grouped in each chunk, then by Spark's
    shuffle, each with the sum of its check values and a pointer to a text it occurs in
-   (32 bits of the text's hash). A phrase as frequent as asked has only parts that are, so a
-   longer phrase is counted only where both its parts of one word less are frequent.
+   (32 bits of the text's hash, the least of all its texts, so that few texts are pointed at).
+   A phrase as frequent as asked has only parts that are, so a longer phrase is counted,
+   and its fingerprint taken, only where both its parts of one word less are frequent.
    What is frequent stands in a filter of bits sent to the workers; it has no false
    negatives, is bounded by ``FILTER_BITS``, and only saves work.
-2. One pass takes the text of the frequent phrases at their pointers (again through a
-   filter, then by an exact join), so that only frequent phrases are ever materialised,
-   and counts all words of each language.
+2. One pass takes the text of the frequent phrases at their pointers (again through
+   filters, one for the texts pointed at, one for the phrases, then by an exact join), so
+   that only frequent phrases are ever materialised, and counts all words of each language.
 3. A fingerprint holds if its sum of check values is that of its text times the count.
    Where it does not, phrases have collided; they are counted anew as text.
 4. Candidates meet the counts of their two parts by text. Scores are exact decimals.
@@ -47,11 +48,9 @@ FILTER_BITS = 1 << 28  # most bits of a filter: 32 MB
 FEWEST_BITS = 1 << 20
 
 _WORD, _BLANK, _STOP = 0, 1, 2
-_KIND = np.zeros(256, dtype=np.uint8)
-_KIND[[0x20, 0x09]] = _BLANK
-_KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = _STOP
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[ord("A"):ord("Z") + 1] += 32
+_KIND = bytes(_STOP if x in b".,;:!?\n\v\f\r" else _BLANK if x in b" \t" else _WORD for x in range(256))
+_OUTSIDE = bytes(x for x in range(256) if _KIND[x] != _WORD)
+_LOWER = bytes(range(256)).lower()  # of bytes: A-Z alone
 
 # Odd bases of the two polynomials, and their inverses modulo 2**64.
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -70,25 +69,31 @@ def _powers(base: int, inverse: bool, n: int) -> np.ndarray:
     return known[:n]
 
 
+def _runs(texts: textarrow.Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Where the texts' runs of bytes of one kind begin, and their kinds."""
+    kind = np.frombuffer(texts.data.tobytes().translate(_KIND), dtype=np.uint8)
+    edge = np.ones(len(kind), dtype=bool)
+    np.not_equal(kind[1:], kind[:-1], out=edge[1:])
+    edge[texts.offsets[:-1][texts.offsets[:-1] < len(kind)]] = True
+    starts = np.flatnonzero(edge)
+    return starts, kind[starts]
+
+
 class Words:
     """The words of some texts, in order: codes into values, and how many follow in the piece."""
 
     def __init__(self, texts: textarrow.Texts):
-        data = _LOWER[texts.data]
-        kind = _KIND[data]
-        edge = np.ones(len(data), dtype=bool)
-        np.not_equal(kind[1:], kind[:-1], out=edge[1:])
-        edge[texts.offsets[:-1][texts.offsets[:-1] < len(data)]] = True
-        starts = np.flatnonzero(edge)
-        is_word = kind[starts] == _WORD
-        encoded = textarrow.pieces(data, np.append(starts, len(data))).dictionary_encode()
-        self.codes = encoded.indices.to_numpy(zero_copy_only=False)[is_word].astype(np.int32)
-        self.values = encoded.dictionary
+        starts, kinds = _runs(texts)
+        is_word = kinds == _WORD
         at = starts[is_word]
+        data = np.frombuffer(texts.data.tobytes().translate(_LOWER, _OUTSIDE), dtype=np.uint8)  # the words alone
+        sizes = np.diff(np.append(starts, len(texts.data)))[is_word]
+        encoded = textarrow.pieces(data, np.concatenate([[0], np.cumsum(sizes)])).dictionary_encode()
+        self.codes, self.values = encoded.indices.to_numpy(zero_copy_only=False), encoded.dictionary
         self.first = np.searchsorted(at, texts.offsets)
         self.text = np.repeat(np.arange(len(texts)), np.diff(self.first))
         # a number that grows from piece to piece
-        piece = np.cumsum(kind == _STOP)[at] + self.text if len(at) else np.zeros(0, np.int64)
+        piece = np.cumsum(kinds == _STOP)[is_word] + self.text
         ends = np.append(np.flatnonzero(piece[1:] != piece[:-1]) + 1, len(at))
         self.left = np.repeat(ends, np.diff(np.concatenate([[0], ends]))) - np.arange(len(at)) if len(at) else piece
         self._sums = None
@@ -96,27 +101,43 @@ class Words:
     def __len__(self) -> int:
         return len(self.codes)
 
+    def places(self, length: int) -> np.ndarray:
+        """Where ``length`` words follow in a piece."""
+        return np.flatnonzero(self.left >= length)
+
+    def prints(self, at: np.ndarray, length: int, lang: str) -> np.ndarray:
+        """The fingerprints of the ``length`` words from each of these places."""
+        return self._polynomial(0, at, length, lang)
+
+    def checks(self, at: np.ndarray, length: int, lang: str) -> np.ndarray:
+        """Their check values."""
+        return (self._polynomial(1, at, length, lang) >> np.uint64(40)).view(np.int64)
+
     def fingerprints(self, length: int, lang: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Places where ``length`` words follow in a piece, their fingerprints and check values."""
+        at = self.places(length)
+        return at, self.prints(at, length, lang), self.checks(at, length, lang)
+
+    def _polynomial(self, seed: int, at: np.ndarray, length: int, lang: str) -> np.ndarray:
         if self._sums is None:
-            used = np.flatnonzero(np.bincount(self.codes, minlength=len(self.values)))
-            listed = self.values.take(pa.array(used)).to_pylist()
+            listed = self.values.to_numpy(zero_copy_only=False).tolist()
             # the halves of one 128-bit hash, one for each polynomial
-            halves = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, listed)), dtype=">u8").reshape(-1, 2)
+            halves = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, listed)), dtype=">u8").astype(np.uint64).reshape(-1, 2)
             self._sums = []
-            for seed, base in enumerate(_BASES):
-                hashes = np.zeros(len(self.values), dtype=np.uint64)
-                hashes[used] = halves[:, seed]
+            for half, base in enumerate(_BASES):
+                sums = np.zeros(len(self) + 1, dtype=np.uint64)
                 with np.errstate(over="ignore"):
-                    self._sums.append(np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes[self.codes] * _powers(base, False, len(self)))]))
-        at = np.flatnonzero(self.left >= length)
-        out = []
-        for seed, base in enumerate(_BASES):
-            sums, back = self._sums[seed], _powers(base, True, len(self))
-            own = np.uint64(xxhash.xxh3_64_intdigest(lang.encode(), seed + 2))
-            with np.errstate(over="ignore"):
-                out.append((sums[at + length] - sums[at]) * back[at] + own)
-        return at, out[0], (out[1] >> np.uint64(40)).view(np.int64)
+                    np.cumsum(halves[:, half][self.codes] * _powers(base, False, len(self)), out=sums[1:])
+                self._sums.append(sums)
+        sums, back = self._sums[seed], _powers(_BASES[seed], True, len(self))
+        own = np.uint64(xxhash.xxh3_64_intdigest(lang.encode(), seed + 2))
+        with np.errstate(over="ignore"):
+            if 4 * len(at) < len(self):
+                return (sums[at + length] - sums[at]) * back[at] + own
+            out = sums[length:] - sums[:-length]
+            out *= back[:len(out)]
+            out += own
+            return out[at]
 
     def phrases(self, at: np.ndarray, length: int) -> list[str]:
         """The words from each of these places, joined by one blank."""
@@ -177,20 +198,20 @@ def _masked(prints: np.ndarray, kept: int) -> np.ndarray:
 def _count(length: int, shorter: Filter | None, kept: int):
     def run(batches):
         for lang, hashes, words in _by_language(batches):
-            at, prints, checks = words.fingerprints(length, lang)
+            at = words.places(length)
             if shorter is not None and len(at):
-                parts_at, parts, _ = words.fingerprints(length - 1, lang)
+                parts_at = words.places(length - 1)
                 known = np.zeros(len(words) + 1, dtype=bool)
-                known[parts_at] = shorter.holds(_masked(parts, kept))
-                good = known[at] & known[at + 1]
-                at, prints, checks = at[good], prints[good], checks[good]
+                known[parts_at] = shorter.holds(_masked(words.prints(parts_at, length - 1, lang), kept))
+                at = at[known[at] & known[at + 1]]
             if not len(at):
                 continue
-            prints = _masked(prints, kept)
-            order = np.argsort(prints, kind="stable")
-            prints, checks, at = prints[order], checks[order], at[order]
+            prints = _masked(words.prints(at, length, lang), kept)
+            order = np.argsort(prints)
+            prints, at = prints[order], at[order]
             first = np.flatnonzero(np.concatenate([[True], prints[1:] != prints[:-1]]))
-            columns = [prints[first].view(np.int64), np.diff(np.append(first, len(at))), np.add.reduceat(checks, first), _pointers(hashes, words, at[first])]
+            checks, pointers = words.checks(at, length, lang), _pointers(hashes, words, at)
+            columns = [prints[first].view(np.int64), np.diff(np.append(first, len(at))), np.add.reduceat(checks, first), np.minimum.reduceat(pointers, first)]
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["print", "n", "checks", "pointer"])
 
     return run
@@ -205,32 +226,49 @@ def _frequent(docs: DataFrame, length: int, shorter: Filter | None, least: int,
 _SPELLED = "lang string, length int, print long, check long, pointer int, phrase string, n long"
 
 
-def _spelled(wanted: Filter, at_pointers: bool, longest: int, kept: int):
+def _word_total(column: pa.Array) -> int:
+    return sum(int(np.count_nonzero(_runs(texts)[1] == _WORD)) for texts in textarrow.chunks(column, CHUNK))
+
+
+def _totals(batch: pa.RecordBatch) -> pa.Table:
+    """The number of all words of each language, as rows of length 0."""
+    langs = batch.column("lang")
+    n = {lang: _word_total(batch.filter(pc.equal(langs, lang)).column("text")) for lang in langs.unique().to_pylist()}
+    zeros = np.zeros(len(n), dtype=np.int64)
+    return pa.table([list(n), zeros.astype(np.int32), zeros, zeros, zeros.astype(np.int32), [""] * len(n), list(n.values())], schema=_SPELLED_ARROW)
+
+
+_SPELLED_ARROW = pa.schema([("lang", pa.string()), ("length", pa.int32()), ("print", pa.int64()), ("check", pa.int64()), ("pointer", pa.int32()), ("phrase", pa.string()), ("n", pa.int64())])
+
+
+def _spelled(wanted: Filter, spots: Filter | None, longest: int, kept: int):
     """Phrases as text: one of each print in a chunk where a pointer may point, or all of the prints, counted.
 
-    A row of length 0 has the number of all words.
+    With ``spots``, the filter of the pointers alone, other texts are not cut into words,
+    and rows of length 0 have the number of all words.
     """
 
     def run(batches):
-        for lang, hashes, words in _by_language(batches):
-            parts = [pa.table({"length": pa.array([0], pa.int32()), "print": [0], "check": [0], "pointer": pa.array([0], pa.int32()), "phrase": [""], "n": [len(words)]})]
-            for length in range(1, longest + 1):
-                at, prints, checks = words.fingerprints(length, lang)
-                prints, pointers = _masked(prints, kept), _pointers(hashes, words, at)
-                chosen = np.flatnonzero(wanted.holds(_pointer_key(prints, pointers) if at_pointers else prints))
-                if at_pointers:
-                    _, once = np.unique(np.stack([prints[chosen], pointers[chosen].astype(np.uint64)], axis=1), axis=0, return_index=True)
-                    chosen = chosen[once]
-                found = pa.table({
-                    "length": pa.array(np.full(len(chosen), length, np.int32)), "print": prints[chosen].view(np.int64), "check": checks[chosen],
-                    "pointer": pointers[chosen], "phrase": pa.array(words.phrases(at[chosen], length), pa.string()), "n": np.ones(len(chosen), np.int64)})
-                if not at_pointers:
-                    keys = ["length", "print", "phrase"]
-                    found = found.group_by(keys).aggregate([("check", "min"), ("pointer", "min"), ("n", "sum")]).rename_columns([*keys, "check", "pointer", "n"])
-                parts.append(found.select(parts[0].column_names))
-            out = pa.concat_tables(parts)
-            out = out.add_column(0, "lang", pa.array([lang] * len(out), pa.string()))
-            yield from out.to_batches()
+        for batch in batches:
+            if spots is not None:
+                yield from _totals(batch).to_batches()
+                batch = batch.filter(pa.array(spots.holds(batch.column("spot").to_numpy(zero_copy_only=False).view(np.uint64))))
+            for lang, hashes, words in _by_language([batch]):
+                for length in range(1, longest + 1):
+                    at, prints, checks = words.fingerprints(length, lang)
+                    prints, pointers = _masked(prints, kept), _pointers(hashes, words, at)
+                    chosen = np.flatnonzero(wanted.holds(prints if spots is None else _pointer_key(prints, pointers)))
+                    if spots is not None:
+                        _, once = np.unique(np.stack([prints[chosen], pointers[chosen].astype(np.uint64)], axis=1), axis=0, return_index=True)
+                        chosen = chosen[once]
+                    at, prints, checks, pointers = at[chosen], prints[chosen], checks[chosen], pointers[chosen]
+                    found = pa.table({
+                        "lang": pa.array([lang] * len(at), pa.string()), "length": pa.array(np.full(len(at), length, np.int32)), "print": prints.view(np.int64),
+                        "check": checks, "pointer": pointers, "phrase": pa.array(words.phrases(at, length), pa.string()), "n": np.ones(len(at), np.int64)})
+                    if spots is None:
+                        keys = ["lang", "length", "print", "phrase"]
+                        found = found.group_by(keys).aggregate([("check", "min"), ("pointer", "min"), ("n", "sum")]).rename_columns([*keys, "check", "pointer", "n"])
+                    yield from found.select(_SPELLED_ARROW.names).to_batches()
 
     return run
 
@@ -256,7 +294,10 @@ def phrase_counts(docs: DataFrame, least: int = FREQUENT, longest: int = LONGEST
             shorter = _filter(level.select(F.col("print").alias("key")))
     frequent = reduce(DataFrame.unionByName, levels)
     key = F.col("print").bitwiseXOR(F.shiftleft(F.col("pointer").cast("long"), 24))
-    spelled = stored(docs.mapInArrow(_spelled(_filter(frequent.select(key.alias("key"))), True, longest, print_bits), _SPELLED))
+    wanted = _filter(frequent.select(key.alias("key")))
+    spots = _filter(frequent.select("pointer").distinct().select(F.xxhash64("pointer").alias("key")))
+    spotted = docs.withColumn("spot", F.xxhash64(F.shiftright("text_hash", 32).cast("int")))
+    spelled = stored(spotted.mapInArrow(_spelled(wanted, spots, longest, print_bits), _SPELLED))
     total = spelled.filter("length = 0").groupBy("lang").agg(F.sum("n").alias("n"))
     texts = spelled.filter("length > 0").select("lang", "length", "print", "check", "phrase", "pointer").distinct()
     keys = ["print", "length"]
@@ -267,7 +308,7 @@ def phrase_counts(docs: DataFrame, least: int = FREQUENT, longest: int = LONGEST
     if not collided.isEmpty():
         collided = stored(collided)
         wanted = _filter(collided.select(F.col("print").alias("key")))
-        again = docs.mapInArrow(_spelled(wanted, False, longest, print_bits), _SPELLED).filter("length > 0")
+        again = docs.mapInArrow(_spelled(wanted, None, longest, print_bits), _SPELLED)
         again = again.join(collided, keys, "left_semi").groupBy("lang", "phrase", "length").agg(F.sum("n").alias("n"))
         out = out.unionByName(again.filter(F.col("n") >= least))
     return stored(out), total

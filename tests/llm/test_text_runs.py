@@ -251,3 +251,32 @@ def test_a_word_is_hashed_once_for_both_polynomials(monkeypatch):
     words = collocations.Words(next(textarrow.chunks(pa.array(["a b c A, b"]))))
     words.fingerprints(2, "a language")
     assert sorted(x for x in hashed if x != b"a language") == [b"a", b"b", b"c"]
+
+
+def test_only_texts_pointed_at_are_cut_into_words_again(monkeypatch):
+    import pyarrow as pa
+
+    class Holds:
+        def __init__(self, kept):
+            self.kept = kept
+
+        def holds(self, keys):
+            return np.isin(keys, self.kept) if self.kept else np.ones(len(keys), dtype=bool)
+
+    cut, whole = [], collocations.Words
+    monkeypatch.setattr(collocations, "Words", lambda texts: cut.append(bytes(texts.data)) or whole(texts))
+    batch = pa.RecordBatch.from_pydict({
+        "text": ["a b, c", "d\te .;", "", " ,", "F", "g h"], "lang": ["en", "en", "en", "de", "de", "fr"],
+        "text_hash": pa.array([9 << 32, 8 << 32, 7 << 32, -6 << 32, 5 << 32, 4 << 32]), "spot": pa.array([1, 2, 3, 4, 5, 6])})
+    rows = pa.Table.from_batches(collocations._spelled(Holds([]), Holds([2, 5]), 2, 64)([batch])).to_pylist()
+    assert cut == [b"d\te .;", b"F"]
+    assert {r["lang"]: r["n"] for r in rows if r["length"] == 0} == {"en": 5, "de": 1, "fr": 2}
+    assert {(r["lang"], r["pointer"], r["phrase"]) for r in rows if r["length"]} == {("en", 8, "d"), ("en", 8, "e"), ("en", 8, "d e"), ("de", 5, "f")}
+
+
+def test_a_phrase_is_pointed_at_in_its_least_text():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"text": ["x", "x y", "x"], "lang": ["en"] * 3, "text_hash": pa.array([3 << 32, -2 << 32, 1 << 32])})
+    (counted,) = collocations._count(1, None, 64)([batch])
+    assert sorted(zip(counted.column("n").to_pylist(), counted.column("pointer").to_pylist(), strict=True)) == [(1, -2), (3, -2)]
