@@ -111,8 +111,9 @@ class Model:
 
     def context(self, u: np.ndarray, w: np.ndarray) -> np.ndarray:
         """One vector per token, with a 1 for the bias."""
-        out = np.ones((len(u), WIDTH + 1), dtype=np.float32)
-        np.add(self.r1[u], self.r2[w], out=out[:, :WIDTH])
+        out = np.empty((len(u), WIDTH + 1), dtype=np.float32)
+        np.add(self.r1.take(u, axis=0), self.r2.take(w, axis=0), out=out[:, :WIDTH])
+        out[:, WIDTH] = 1
         return out
 
     def group(self, level: int, node: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -125,25 +126,25 @@ class Model:
 
     def log_probability(self, u: np.ndarray, w: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural logs of P(target | u, w), normalised exactly at every level."""
-        context, out = self.context(u, w), np.zeros(len(target))
+        order = np.argsort(target, kind="stable")  # brings the groups of every level together
+        target, context = target[order], self.context(u[order], w[order])
+        logs = np.zeros(len(target))
         for level, stride in enumerate(self.strides):
             node = target // stride
             first, past = self.group(level, node)
-            order = np.argsort(first, kind="stable")
-            first, past, node, own = first[order], past[order], node[order], context[order]
             heads = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]])) if len(first) else []
-            logs = np.empty(len(target), dtype=np.float32)
             for a, b in zip(heads, [*heads[1:], len(first)], strict=True):
                 q = self.q[level][first[a]:past[a]].T
                 for c in range(a, b, BATCH):
                     d = min(c + BATCH, b)
-                    scores = own[c:d] @ q
+                    scores = context[c:d] @ q
                     top = scores.max(1)
                     wanted = scores[np.arange(d - c), node[c:d] - first[a]]
                     scores -= top[:, None]
                     np.exp(scores, out=scores)
-                    logs[c:d] = wanted - top - np.log(scores.sum(1))
-            out[order] += logs
+                    logs[c:d] += wanted - top - np.log(scores.sum(1))
+        out = np.empty(len(target))
+        out[order] = logs
         return out
 
     def tables(self) -> tuple[np.ndarray, np.ndarray]:
@@ -169,19 +170,20 @@ class Trainer:
         """Add up ``rows`` by their place ``at`` and take a step there."""
         n = len(at)
         self.slot[at] = np.arange(n, dtype=np.int32)
-        held = self.slot[at]  # one occurrence stands for all of its place
+        held = self.slot.take(at)  # one occurrence stands for all of its place
         stands = np.zeros(n, dtype=bool)
         stands[held] = True
-        number = (np.cumsum(stands) - 1)[held]
-        order = np.argsort(number.astype(np.uint16) if n < 1 << 16 else number, kind="stable")
-        sizes = np.bincount(number)
-        gradient = np.add.reduceat(rows[order], np.concatenate([[0], np.cumsum(sizes)[:-1]]), axis=0)
-        place = at[stands]
-        self.met[which][place] += sizes
-        sums = self.sums[which][place] + np.einsum("ij,ij->i", gradient, gradient) / np.float32(gradient.shape[1])
+        number, place = (np.cumsum(stands) - 1).take(held), at[stands]
+        gradient = np.empty((len(place), rows.shape[1]), dtype=np.float32)
+        for k in range(rows.shape[1]):
+            gradient[:, k] = np.bincount(number, rows[:, k], len(place))
+        self.met[which][place] += np.bincount(number, minlength=len(place))
+        sums = self.sums[which].take(place) + np.einsum("ij,ij->i", gradient, gradient) / np.float32(gradient.shape[1])
         self.sums[which][place] = sums
         gradient *= (RATE / np.sqrt(sums))[:, None]
-        self.m.arrays()[which][place] += gradient
+        table = self.m.arrays()[which]
+        gradient += table.take(place, axis=0)
+        table[place] = gradient
 
     def step(self, u: np.ndarray, w: np.ndarray, target: np.ndarray) -> None:
         m = self.m
@@ -189,26 +191,30 @@ class Trainer:
         g_context, updates = np.zeros((len(target), WIDTH), dtype=np.float32), []
         for level, stride in enumerate(m.strides):
             q, node = m.q[level], target // stride
-            wanted = q[node]
+            wanted = q.take(node, axis=0)
             if level == 0:
                 noise = self.rng.choice(len(q), NOISE, p=m.mass[0])
                 log_noise = np.log(NOISE * m.mass[0]).astype(np.float32)
                 own, drawn = log_noise[node], log_noise[noise]
                 fake = 1 / (1 + np.exp(-(context @ q[noise].T - drawn)))
-                g_noise = -fake.T @ context
                 pull = fake @ q[noise]
             else:
                 first, past = m.group(level, node)
                 noise = first[:, None] + (self.rng.random((len(node), NOISE_OF_GROUP), dtype=np.float32) * (past - first)[:, None]).astype(np.int64)
                 noise = np.minimum(noise, past[:, None] - 1)
                 own = np.log(NOISE_OF_GROUP / (past - first)).astype(np.float32)
-                other = q[noise]
+                other = q.take(noise, axis=0)
                 fake = 1 / (1 + np.exp(-(np.einsum("ij,ikj->ik", context, other) - own[:, None])))
-                g_noise = (-fake[:, :, None] * context[:, None, :]).reshape(-1, WIDTH + 1)
                 pull = np.einsum("ik,ikj->ij", fake, other)
             up = 1 - 1 / (1 + np.exp(-(np.einsum("ij,ij->i", context, wanted) - own)))
             g_context += (up[:, None] * wanted - pull)[:, :WIDTH]
-            updates.append((level + 2, np.concatenate([node, noise.ravel()]), np.concatenate([up[:, None] * context, g_noise])))
+            rows = np.empty((len(node) + noise.size, WIDTH + 1), dtype=np.float32)  # of the tokens, then of the noise
+            np.multiply(up[:, None], context, out=rows[:len(node)])
+            if level == 0:
+                np.matmul(-fake.T, context, out=rows[len(node):])
+            else:
+                np.multiply(-fake[:, :, None], context[:, None, :], out=rows[len(node):].reshape(len(node), -1, WIDTH + 1))
+            updates.append((level + 2, np.concatenate([node, noise.ravel()]), rows))
         for update in [(0, u, g_context), (1, w, g_context), *updates]:
             self._update(*update)
         self.tokens += len(target)
@@ -219,22 +225,23 @@ def _rare_class(word: bytes) -> int:
 
 
 def _classes(texts: textarrow.Texts, place: dict[bytes, int], end: int, start: int):
-    """Codes of the texts' words, then per token, ends included: class, the two classes before, text."""
+    """The texts' words as codes into values, then per token, ends included: class, the two classes before, text."""
     values, codes, first = textarrow.word_codes(texts, lower=True)
-    listed = values.to_pylist()
-    of_value = np.fromiter((place[x] if x in place else _rare_class(x) for x in listed), np.int64, len(listed))
+    listed = values.to_numpy(zero_copy_only=False).tolist()
+    found = map(place.get, listed)
+    of_value = np.fromiter((_rare_class(x) if k is None else k for x, k in zip(listed, found, strict=True)), np.int64, len(listed))
     n = len(texts)
     counts = np.diff(first) + 1
     begins = np.concatenate([[0], np.cumsum(counts)])
     token = np.full(begins[-1], end, dtype=np.int64)
     is_word = np.ones(begins[-1], dtype=bool)
     is_word[begins[1:] - 1] = False
-    token[is_word] = of_value[codes]
+    token[is_word] = of_value.take(codes)
     before = np.concatenate([[start], token[:-1]])
     before[begins[:-1]] = start
     second = np.concatenate([[start], before[:-1]])
     second[begins[:-1]] = start
-    return listed, codes, is_word, token, second, before, np.repeat(np.arange(n), counts)
+    return values, codes, is_word, token, second, before, np.repeat(np.arange(n), counts)
 
 
 def _train(name: str, shared):
@@ -320,20 +327,20 @@ def _score(name: str, shared):
         for batch in batches:
             ids = batch.column(0)
             for texts in textarrow.chunks(batch.column(2), SCORE_BYTES):
-                listed, codes, is_word, token, second, before, owner = _classes(texts, place, end, start)
+                values, codes, is_word, token, second, before, owner = _classes(texts, place, end, start)
                 n = len(texts)
                 logp = model.log_probability(second, before, token)
-                found = pc.index_in(pa.array(listed, pa.binary()), value_set=hot_words)
+                found = pc.index_in(values, value_set=hot_words)
                 miss = np.asarray(found.is_null())
                 at = found.fill_null(0).to_numpy(zero_copy_only=False)
-                base, rare, seen = (np.where(miss, 0.0, x[at]) if len(x) else np.zeros(len(listed)) for x in (hot_base, hot_rare, np.ones(len(hot_base))))
+                base, rare, seen = (np.where(miss, 0.0, x[at]) if len(x) else np.zeros(len(values)) for x in (hot_base, hot_rare, np.ones(len(hot_base))))
                 doc_of_word = owner[is_word]
                 sums = [np.bincount(doc_of_word, x[codes], n) for x in (base, rare, seen)]
                 score = np.bincount(owner, logp, n) / math.log(10) + sums[1]
                 cold = miss[codes]
-                pair, times = np.unique(doc_of_word[cold] * (len(listed) + 1) + codes[cold], return_counts=True)
-                cut = np.searchsorted(pair // (len(listed) + 1), np.arange(n + 1))
-                word = pa.array(listed, pa.binary()).take(pa.array(pair % (len(listed) + 1)))
+                pair, times = np.unique(doc_of_word[cold] * (len(values) + 1) + codes[cold], return_counts=True)
+                cut = np.searchsorted(pair // (len(values) + 1), np.arange(n + 1))
+                word = values.take(pa.array(pair % (len(values) + 1)))
                 offsets = pa.array(cut, pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [ids.slice(texts.first, n), batch.column(1).slice(texts.first, n), pa.array(np.bincount(owner, minlength=n)), pa.array(sums[2].astype(np.int64) + (end_base[1] > 0)),

@@ -375,6 +375,27 @@ def test_language_model_factored_normalisation():
         assert np.isfinite(logp).all()
 
 
+def test_language_model_steps_without_sorting(monkeypatch):
+    sorts, argsort = [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda x, **more: sorts.append(len(x)) or argsort(x, **more))
+    n = 3001
+    model = language_model.Model(np.arange(n, 0, -1.0))
+    trainer = language_model.Trainer(model, 1)
+    rng = np.random.default_rng(2)
+    u, w, target = rng.integers(0, n, (3, 5000))
+    trainer.step(u, w, target)
+    assert not sorts
+    model.log_probability(u, w, target)
+    assert sorts == [5000]  # once for all levels
+    # a step adds up the rows of one place: as one AdaGrad step on their sum
+    at, rows = rng.integers(0, 40, 5000), rng.standard_normal((5000, language_model.WIDTH)).astype(np.float32)
+    before, squares = model.r1[:40].astype(np.float64), trainer.sums[0][:40].astype(np.float64)
+    total = np.zeros((40, language_model.WIDTH))
+    np.add.at(total, at, rows.astype(np.float64))
+    trainer._update(0, at, rows)
+    assert np.allclose(model.r1[:40], before + language_model.RATE * total / np.sqrt(squares + (total**2).mean(1))[:, None], atol=1e-5)
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(1500, 16)) + 3 * rng.normal(size=(12, 16))[rng.integers(0, 12, 1500)]
